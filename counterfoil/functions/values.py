@@ -60,7 +60,7 @@ def json_type(df: DataFrame, name: str) -> Column:
         kind = df.schema[name].dataType
         known = next((label for types, label in _TYPED if isinstance(kind, types)), "str")
         return F.when(col.isNotNull(), F.lit(known))
-    head = F.regexp_extract(F.schema_of_variant(col), "^[A-Z]+", 0)
+    head = F.substring_index(F.substring_index(F.schema_of_variant(col), "<", 1), "(", 1)
     names = F.create_map(*[F.lit(x) for pair in JSON_TYPE_NAMES.items() for x in pair])
     return F.try_element_at(names, head)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from counterfoil.functions.values import is_variant, json_type, shown, text, truthy
@@ -41,25 +40,32 @@ def key_text(df: DataFrame, name: str) -> Column:
     return (
         F.when(F.col(name).isNull(), F.lit(""))
         .when(F.is_variant_null(name), F.lit("None"))
-        .when(json_type(df, name) == "bool", F.initcap(as_text))
+        .when(F.schema_of_variant(name) == "BOOLEAN", F.initcap(as_text))
         .otherwise(as_text)
     )
 
 
-def dedup(df: DataFrame, key_cols: Sequence[str], order_col: str = "pos") -> DataFrame:
+def dedup(
+    df: DataFrame, key_cols: Sequence[str], order_col: str = "pos", copies: str | None = None
+) -> DataFrame:
     """Keep the first record per key in arrival order.
 
-    Keys are compared column by column. The rank filter is applied before the
-    shuffle too (at most one row per key leaves each map task), so a key that
-    holds a large share of the feed does not travel to one task.
+    Keys are compared column by column. Records of a key are combined before the
+    shuffle, so at most one per key leaves each task and a key that holds a large
+    share of the feed does not gather anywhere. `copies` names a column for the
+    number of records the kept one stands for.
     """
     keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
-    first = W.partitionBy(*keys).orderBy(order_col)
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     return (
-        df.withColumns({k: key_text(df, c) for k, c in zip(keys, key_cols)})
-        .withColumn("_rank", F.row_number().over(first))
-        .where("_rank = 1")
-        .drop("_rank", *keys)
+        df.select(
+            *[key_text(df, c).alias(k) for k, c in zip(keys, key_cols)],
+            F.col(order_col).alias("_order"),
+            F.struct(*df.columns).alias("_record"),
+        )
+        .groupBy(*keys)
+        .agg(F.min_by("_record", "_order").alias("_record"), *counted)
+        .select("_record.*", *([copies] if copies else []))
     )
 
 
@@ -175,9 +181,10 @@ def drift(df: DataFrame, feed: Feed, records: DataFrame | None = None) -> DataFr
     Violating records are only listed here, never dropped. A record without an
     id is named by its place in the file, counting duplicates; pass the raw
     `records` to have the place worked out (only violations are joined for it).
-    No shuffle is needed otherwise.
+    No shuffle is needed otherwise. A column `violations` is used if present.
     """
-    return _rows(df, feed, violations(df, feed), records)
+    known = "violations" in df.columns
+    return _rows(df, feed, F.col("violations") if known else violations(df, feed), records)
 
 
 def drift_enum(df: DataFrame, feed: Feed) -> DataFrame:
@@ -226,27 +233,25 @@ def normalize_server(df: DataFrame) -> DataFrame:
 # --- counts -----------------------------------------------------------------------
 
 
-def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") -> DataFrame:
-    """One row: ingested, duplicates removed, violations, clean records; zeros if empty.
+def with_violations(records: DataFrame, feed: Feed) -> DataFrame:
+    """First record per key with its `violations` and the number of its `copies`."""
+    kept = dedup(records, feed.key, copies="copies")
+    return kept.withColumn("violations", violations(kept, feed))
 
-    Each record shrinks to its key, position and number of violations before it
-    is grouped, and copies of a key are combined before the shuffle.
-    """
-    per_key = (
-        records.select(
-            *[key_text(records, c).alias(f"_key_{i}") for i, c in enumerate(feed.key)],
-            F.col(order_col).alias("_order"),
-            F.size(violations(records, feed)).cast("bigint").alias("_found"),
-        )
-        .groupBy(*[f"_key_{i}" for i, _ in enumerate(feed.key)])
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min_by("_found", "_order").alias("_found"))
-    )
-    ingested = F.coalesce(F.sum("_copies"), F.lit(0))
+
+def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
+    """One row: ingested, duplicates removed, violations, clean records; zeros if empty."""
+    ingested = F.coalesce(F.sum("copies"), F.lit(0))
     clean = F.count(F.lit(1))
-    return per_key.agg(
+    return kept.agg(
         F.lit(feed.name).alias("source"),
         ingested.alias("total_ingested"),
         (ingested - clean).alias("duplicates_removed"),
-        F.coalesce(F.sum("_found"), F.lit(0)).alias("schema_violations"),
+        F.coalesce(F.sum(F.size("violations")), F.lit(0)).alias("schema_violations"),
         clean.alias("clean_records_written"),
     )
+
+
+def extraction_stats(records: DataFrame, feed: Feed) -> DataFrame:
+    """The counts of one feed straight from its raw records."""
+    return stats_of_kept(with_violations(records, feed), feed)

@@ -34,8 +34,9 @@ SERVER_COLUMNS = (
 )
 
 
-def _transaction(server: DataFrame) -> Column:
-    return F.struct(*[F.col(c) for c in SERVER_COLUMNS if c in server.columns])
+def transaction(server: DataFrame) -> Column:
+    """The transaction columns of a journey as one struct."""
+    return F.struct(*[F.col(c) for c in SERVER_COLUMNS ])
 
 
 def _nearest_rows(client: DataFrame, server: DataFrame, window_s: int) -> DataFrame:
@@ -47,7 +48,7 @@ def _nearest_rows(client: DataFrame, server: DataFrame, window_s: int) -> DataFr
             "user_id",
             micros(F.col("transaction_at")).alias("at_us"),
             F.col("transaction_id").alias("id"),
-            _transaction(server).alias("target"),
+            transaction(server).alias("target"),
         ),
         window_s,
     )
@@ -62,7 +63,7 @@ def _nearest_rows(client: DataFrame, server: DataFrame, window_s: int) -> DataFr
 def _linked_rows(client: DataFrame, server: DataFrame) -> DataFrame:
     """Client events with each transaction that names them as struct `tx`."""
     named = server.where("client_event_id IS NOT NULL").select(
-        F.col("client_event_id").alias("event_id"), _transaction(server).alias("tx")
+        F.col("client_event_id").alias("event_id"), transaction(server).alias("tx")
     )
     return client.select(*CLIENT_COLUMNS).join(named, "event_id")
 
@@ -95,6 +96,11 @@ def _journey_columns(rows: DataFrame) -> DataFrame:
     )
 
 
+def best_journey(rows: DataFrame) -> DataFrame:
+    """Journey rows from events with any number of candidate transactions `tx`."""
+    return _journey_columns(_best_per_event(rows))
+
+
 def user_journey(
     client: DataFrame,
     server: DataFrame,
@@ -116,6 +122,6 @@ def user_journey(
             .withColumn("_linked", F.lit(1))
             .unionByName(by_time.withColumn("_linked", F.lit(0)))
         )
-        return _journey_columns(_best_per_event(rows))
+        return best_journey(rows)
     rows = _nearest_rows(client, server, window_s)
-    return _journey_columns(rows if unique_ids else _best_per_event(rows))
+    return _journey_columns(rows) if unique_ids else best_journey(rows)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.functions.money import rounded_total, total
+from counterfoil.functions.money import in_money, rounded_total, total
 from counterfoil.functions.times import day_of
 
 # Rows without a link are dealt out over this many join keys. Only their spread
@@ -146,7 +146,7 @@ def revenue_summary(mart: DataFrame, reference_dates: bool = False) -> DataFrame
         n = F.count_if(counted)
         return [
             F.when(n > 0, n).alias(f"{name}_transaction_count"),
-            total(F.when(counted, amount)).alias(f"{name}_revenue"),
+            F.sum(in_money(F.when(counted, amount))).alias(f"{name}_revenue"),
             total(F.when(counted, F.when(reconciled, amount).otherwise(0.0))).alias(
                 f"{name}_reconciled_revenue"
             ),
@@ -161,16 +161,18 @@ def revenue_summary(mart: DataFrame, reference_dates: bool = False) -> DataFrame
         )
     )
     finance, marketing = F.col("finance_revenue"), F.col("marketing_revenue")
-    n_finance, n_marketing = F.col("finance_transaction_count"), F.col("marketing_transaction_count")
-    percent = F.lit(100.0) * (finance - marketing) / finance
+    n_finance = F.col("finance_transaction_count")
+    n_marketing = F.col("marketing_transaction_count")
+    gap = (finance - marketing).cast("double")
+    percent = F.lit(100.0) * gap / finance.cast("double")
     date = F.when(n_finance.isNotNull(), F.col("day")) if reference_dates else F.col("day")
     return daily.select(
         date.alias("report_date"),
         n_finance,
         n_marketing,
-        finance,
-        marketing,
-        (finance - marketing).alias("revenue_variance"),
+        finance.cast("double").alias("finance_revenue"),
+        marketing.cast("double").alias("marketing_revenue"),
+        gap.alias("revenue_variance"),
         "finance_reconciled_revenue",
         "marketing_reconciled_revenue",
         n_finance.alias("finance_conversions"),

@@ -19,7 +19,8 @@ SECOND = 1_000_000
 PLACED = "user_id IS NOT NULL AND at_us IS NOT NULL"
 
 
-def _cell(at_us: Column, width_us: int) -> Column:
+def cell_of(at_us: Column, width_us: int) -> Column:
+    """Number of the time cell that holds an instant."""
     return ((at_us - F.pmod(at_us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
 
 
@@ -37,11 +38,11 @@ def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:
         probes.where(PLACED)
         .select("user_id", "at_us")
         .distinct()
-        .select("user_id", _cell(at, width).alias("cell"), "at_us", F.lit(1).alias("is_probe"))
+        .select("user_id", cell_of(at, width).alias("cell"), "at_us", F.lit(1).alias("is_probe"))
     )
     offered = targets.where(PLACED).select(
         "user_id",
-        F.explode(F.sequence(_cell(at - reach, width), _cell(at + reach, width))).alias("cell"),
+        F.explode(F.sequence(cell_of(at - reach, width), cell_of(at + reach, width))).alias("cell"),
         "at_us",
         F.lit(0).alias("is_probe"),
         "id",
@@ -96,7 +97,7 @@ def count_before(rows: DataFrame, lookback_s: int) -> DataFrame:
         .agg(F.sum("weight").alias("weight"), F.bool_or("is_probe").alias("is_probe"))
     )
     weight = F.col("weight")
-    home, last = _cell(at, width), _cell(at + lookback, width)
+    home, last = cell_of(at, width), cell_of(at + lookback, width)
 
     def entry(cell: Column, when_us: Column, order: int, change: Column) -> Column:
         return F.struct(
