@@ -65,9 +65,12 @@ def json_type(df: DataFrame, name: str) -> Column:
     return F.try_element_at(names, head)
 
 
-def truthy(df: DataFrame, name: str) -> Column:
-    """False for absent, null, empty text, zero, false, {} and []; never null."""
-    kind = json_type(df, name)
+def truthy(df: DataFrame, name: str, kind: Column | None = None) -> Column:
+    """False for absent, null, empty text, zero, false, {} and []; never null.
+
+    `kind` is the JSON type of the value where it is at hand already.
+    """
+    kind = json_type(df, name) if kind is None else kind
     as_text = text(df, name)
     value = (
         F.when(kind == "str", as_text != "")
@@ -78,9 +81,8 @@ def truthy(df: DataFrame, name: str) -> Column:
     return F.coalesce(value, F.lit(False))
 
 
-def shown(df: DataFrame, name: str) -> Column:
+def shown(df: DataFrame, name: str, kind: Column) -> Column:
     """The value as it appears in a violation message: texts quoted, others bare."""
-    kind = json_type(df, name)
     plain = text(df, name)
     return (
         F.when(kind == "str", F.concat(F.lit("'"), plain, F.lit("'")))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,85 +74,112 @@ def dedup(
 # --- violations -------------------------------------------------------------------
 
 
-def _violation(kind: str, field: str, value=None, expected=None, actual=None) -> Column:
-    parts = (F.lit(kind), F.lit(field), value, expected, actual)
-    names = ("kind", "field", "value", "expected", "actual")
-    return F.struct(
-        *[
-            (F.lit(None) if p is None else p).cast("string").alias(n)
-            for p, n in zip(parts, names)
-        ]
-    )
+@dataclass(frozen=True)
+class Check:
+    """One rule: when it is broken and what is reported then."""
+
+    broken: Column
+    kind: str
+    field: str
+    value: Column | None = None
+    expected: str | None = None
+    actual: Column | None = None
+
+    def report(self) -> Column:
+        parts = {
+            "kind": F.lit(self.kind),
+            "field": F.lit(self.field),
+            "value": F.lit(None) if self.value is None else self.value,
+            "expected": F.lit(self.expected),
+            "actual": F.lit(None) if self.actual is None else self.actual,
+        }
+        return F.when(
+            self.broken, F.struct(*[c.cast("string").alias(n) for n, c in parts.items()])
+        )
 
 
-def _missing(df: DataFrame, field: str, types: Sequence[str]) -> Column:
-    return F.when(
-        F.col(field).isNull(), _violation("MISSING_FIELD", field, expected=F.lit("/".join(types)))
-    )
+def _type(field: str) -> Column:
+    return F.col(f"_type_{field}")
+
+
+def with_types(df: DataFrame, feed: Feed) -> DataFrame:
+    """Add the JSON type of each declared field, so that no rule works it out again."""
+    present = [f for f in feed.fields if f in df.columns]
+    return df.withColumns({f"_type_{f}": json_type(df, f) for f in present})
 
 
-def _mismatch(df: DataFrame, field: str, types: Sequence[str]) -> Column:
+def _missing(field: str, types: Sequence[str]) -> Check:
+    return Check(F.col(field).isNull(), "MISSING_FIELD", field, expected="/".join(types))
+
+
+def _mismatch(df: DataFrame, field: str, types: Sequence[str]) -> Check:
     # A boolean passes where numbers are expected.
     accepted = [*types, "bool"] if "int" in types else list(types)
-    actual = json_type(df, field)
-    return F.when(
-        actual.isNotNull() & ~actual.isin(accepted),
-        _violation(
-            "TYPE_MISMATCH", field, shown(df, field), F.lit("/".join(types)), actual
-        ),
+    broken = ~F.coalesce(_type(field).isin(accepted), F.lit(True))
+    return Check(
+        broken, "TYPE_MISMATCH", field, shown(df, field, _type(field)), "/".join(types), _type(field)
     )
 
 
-def _unknown_enum(df: DataFrame, field: str, allowed: Sequence[str]) -> Column:
-    kind = json_type(df, field)
-    known = (kind == "str") & text(df, field).isin(list(allowed))
+def _unknown_enum(df: DataFrame, field: str, allowed: Sequence[str]) -> Check:
+    known = (_type(field) == "str") & text(df, field).isin(list(allowed))
     listed = "[" + ", ".join(f"'{a}'" for a in sorted(allowed)) + "]"
-    return F.when(
-        kind.isNotNull() & ~known,
-        _violation("UNKNOWN_ENUM", field, shown(df, field), F.lit(listed), kind),
+    return Check(
+        ~F.coalesce(known, F.lit(True)),
+        "UNKNOWN_ENUM",
+        field,
+        shown(df, field, _type(field)),
+        listed,
+        _type(field),
     )
 
 
-def _bad_timestamp(df: DataFrame, field: str = "timestamp") -> Column:
+def _bad_timestamp(df: DataFrame, field: str = "timestamp") -> Check:
     as_text = text(df, field)
     parsed = F.try_to_timestamp(F.regexp_replace(as_text, ",", "."))
     readable = F.coalesce(as_text.rlike(ISO_SHAPE) & parsed.isNotNull(), F.lit(False))
-    return F.when(
-        truthy(df, field) & ~readable,
-        _violation(
-            "BAD_TIMESTAMP", field, shown(df, field), F.lit("ISO 8601"), json_type(df, field)
-        ),
+    return Check(
+        truthy(df, field, _type(field)) & ~readable,
+        "BAD_TIMESTAMP",
+        field,
+        shown(df, field, _type(field)),
+        "ISO 8601",
+        _type(field),
     )
 
 
+def checks(df: DataFrame, feed: Feed) -> list[Check]:
+    """All rules that apply to the columns of `df`, in report order."""
+    found: list[Check] = []
+    for field, types in feed.fields.items():
+        if field in df.columns:
+            if is_variant(df, field):
+                found.append(_missing(field, types))
+            found.append(_mismatch(df, field, types))
+    found += [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]
+    if "timestamp" in df.columns:
+        found.append(_bad_timestamp(df))
+    return found
+
+
 def record_id(df: DataFrame) -> Column:
     """First non-empty id of the record; null when it has none."""
     present = [key for key in ID_KEYS if key in df.columns]
-    return F.coalesce(*[F.when(truthy(df, key), text(df, key)) for key in present])
+    kinds = {key: _type(key) if f"_type_{key}" in df.columns else None for key in present}
+    return F.coalesce(*[F.when(truthy(df, k, kind), text(df, k)) for k, kind in kinds.items()])
 
 
-def violations(df: DataFrame, feed: Feed) -> Column:
-    """Array of all violations of a record, in the order of the rules."""
-    present = set(df.columns)
-    checks: list[Column] = []
-    for field, types in feed.fields.items():
-        if field in present:
-            if is_variant(df, field):
-                checks.append(_missing(df, field, types))
-            checks.append(_mismatch(df, field, types))
-    checks += [_unknown_enum(df, f, allowed) for f, allowed in feed.enums.items() if f in present]
-    if "timestamp" in present:
-        checks.append(_bad_timestamp(df))
-    return F.filter(F.array(*checks), lambda v: v.isNotNull())
+def _reports(rules: Sequence[Check]) -> Column:
+    return F.array(*[rule.report() for rule in rules])
 
 
-def _rows(df: DataFrame, feed: Feed, found: Column, records: DataFrame | None) -> DataFrame:
+def _rows(df: DataFrame, feed: Feed, reports: Column, records: DataFrame | None) -> DataFrame:
     rows = df.select(
         F.lit(feed.name).alias("source"),
         record_id(df).alias("_id"),
         *[c for c in ("pos", "record_no") if c in df.columns],
-        F.explode(found).alias("_v"),
-    )
+        F.explode(reports).alias("_v"),
+    ).where("_v IS NOT NULL")
     if records is not None:
         rows = number_records(rows, records)
     place = F.col("record_no") if "record_no" in rows.columns else F.lit(None)
@@ -181,22 +210,21 @@ def drift(df: DataFrame, feed: Feed, records: DataFrame | None = None) -> DataFr
     Violating records are only listed here, never dropped. A record without an
     id is named by its place in the file, counting duplicates; pass the raw
     `records` to have the place worked out (only violations are joined for it).
-    No shuffle is needed otherwise. A column `violations` is used if present.
+    No shuffle is needed otherwise.
     """
-    known = "violations" in df.columns
-    return _rows(df, feed, F.col("violations") if known else violations(df, feed), records)
+    typed = with_types(df, feed)
+    return _rows(typed, feed, _reports(checks(df, feed)), records)
 
 
 def drift_enum(df: DataFrame, feed: Feed) -> DataFrame:
     """Only the check of allowed texts, also over typed columns."""
-    found = [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]
-    return _rows(df, feed, F.filter(F.array(*found), lambda v: v.isNotNull()), None)
+    rules = [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]
+    return _rows(with_types(df, feed), feed, _reports(rules), None)
 
 
 def drift_timestamp(df: DataFrame, feed: Feed, field: str = "timestamp") -> DataFrame:
     """Only the check of the timestamp, also over typed columns."""
-    found = F.array(_bad_timestamp(df, field))
-    return _rows(df, feed, F.filter(found, lambda v: v.isNotNull()), None)
+    return _rows(with_types(df, feed), feed, _reports([_bad_timestamp(df, field)]), None)
 
 
 # --- clean records ------------------------------------------------------------------
@@ -233,10 +261,17 @@ def normalize_server(df: DataFrame) -> DataFrame:
 # --- counts -----------------------------------------------------------------------
 
 
-def with_violations(records: DataFrame, feed: Feed) -> DataFrame:
-    """First record per key with its `violations` and the number of its `copies`."""
+def _broken_rules(df: DataFrame, feed: Feed) -> Column:
+    broken = [F.when(rule.broken, 1).otherwise(0) for rule in checks(df, feed)]
+    return reduce(Column.__add__, broken).cast("bigint")
+
+
+def with_counts(records: DataFrame, feed: Feed) -> DataFrame:
+    """First record per key, its `copies`, and how many `violations` it has."""
     kept = dedup(records, feed.key, copies="copies")
-    return kept.withColumn("violations", violations(kept, feed))
+    return with_types(kept, feed).select(
+        *kept.columns, _broken_rules(kept, feed).alias("violations")
+    )
 
 
 def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
@@ -247,11 +282,21 @@ def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
         F.lit(feed.name).alias("source"),
         ingested.alias("total_ingested"),
         (ingested - clean).alias("duplicates_removed"),
-        F.coalesce(F.sum(F.size("violations")), F.lit(0)).alias("schema_violations"),
+        F.coalesce(F.sum("violations"), F.lit(0)).alias("schema_violations"),
         clean.alias("clean_records_written"),
     )
 
 
-def extraction_stats(records: DataFrame, feed: Feed) -> DataFrame:
-    """The counts of one feed straight from its raw records."""
-    return stats_of_kept(with_violations(records, feed), feed)
+def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") -> DataFrame:
+    """The counts of one feed straight from its raw records.
+
+    Only key, position and number of violations of a record are shuffled.
+    """
+    keys = [key_text(records, c).alias(f"_key_{i}") for i, c in enumerate(feed.key)]
+    kept = (
+        with_types(records, feed)
+        .select(*keys, F.col(order_col).alias("_order"), _broken_rules(records, feed).alias("_n"))
+        .groupBy(*[f"_key_{i}" for i, _ in enumerate(feed.key)])
+        .agg(F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations"))
+    )
+    return stats_of_kept(kept, feed)

@@ -50,31 +50,27 @@ def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:
     )
     timeline = asked.unionByName(offered, allowMissingColumns=True)
 
-    # Targets come before probes of the same instant, and larger ids before
-    # smaller ones, so the last target seen is the one to prefer. The later side
-    # is the same pass over the reversed order.
-    group = W.partitionBy("user_id", "cell")
-    so_far = (W.unboundedPreceding, W.currentRow)
-    forward = group.orderBy(F.asc("at_us"), "is_probe", F.desc("id")).rowsBetween(*so_far)
-    backward = group.orderBy(F.desc("at_us"), "is_probe", F.desc("id")).rowsBetween(*so_far)
-    found = timeline.select(
+    # One sort serves all three passes. Targets come before probes of the same
+    # instant; of several targets at one instant only the smallest id is kept.
+    order = W.partitionBy("user_id", "cell").orderBy("at_us", "is_probe", "id")
+    first = F.coalesce(F.lag("at_us").over(order) != at, F.lit(True))
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = timeline.withColumn("hit", F.when(first, F.col("hit"))).select(
         "user_id",
         "at_us",
         "is_probe",
-        F.last("hit", ignorenulls=True).over(forward).alias("before"),
-        F.last("hit", ignorenulls=True).over(backward).alias("after"),
+        F.last("hit", ignorenulls=True).over(so_far).alias("before"),
+        F.expr(
+            "lead(hit) IGNORE NULLS OVER "
+            "(PARTITION BY user_id, cell ORDER BY at_us, is_probe, id)"
+        ).alias("after"),
     )
     gap_before = at - F.col("before.at_us")
     gap_after = F.col("after.at_us") - at
+    nearer = F.when(gap_after < gap_before, F.col("after"))
     return (
         found.where("is_probe = 1")
-        .select(
-            "user_id",
-            "at_us",
-            F.when(gap_after < F.coalesce(gap_before, gap_after + 1), F.col("after"))
-            .otherwise(F.col("before"))
-            .alias("hit"),
-        )
+        .select("user_id", "at_us", F.coalesce(nearer, "before", "after").alias("hit"))
         .where(F.abs(at - F.col("hit.at_us")) <= reach)
         .select("user_id", "at_us", F.col("hit.row").alias("target"))
     )

@@ -11,7 +11,7 @@ from counterfoil.operators.ingest import (
     normalize_server,
     record_id,
     stats_of_kept,
-    with_violations,
+    with_counts,
 )
 from counterfoil.plans.tables import written
 from counterfoil.sources.feeds import CLIENT, SERVER, Feed
@@ -30,11 +30,11 @@ def _extract(
     written down, and clean records, violations and counts are read from there.
     """
     records = read_records(spark, path, feed, lines)
-    kept = written(with_violations(records, feed), feed.name)
+    kept = written(with_counts(records, feed), feed.name)
     write_json(NORMALIZE[feed.source](kept), f"{out}/{feed.name}_clean")
     # Places in the file need a second look at the feed, so only if a violating
     # record has no id to be named by.
-    nameless = kept.where(record_id(kept).isNull() & (F.size("violations") > 0))
+    nameless = kept.where(record_id(kept).isNull() & (F.col("violations") > 0))
     return (
         drift(kept, feed, None if nameless.isEmpty() else records),
         stats_of_kept(kept, feed),

@@ -17,6 +17,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Not settable later: plans with hundreds of expressions are built several times
+# faster when Python does not record the call site of each.
+START_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere."""
@@ -27,10 +34,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "counterfoil", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; on a cluster the master comes from spark-submit."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
