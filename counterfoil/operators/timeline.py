@@ -4,8 +4,8 @@ Both lookups work on narrow rows cut into (user, time cell) groups, so that the
 timeline of one very active user is spread over as many tasks as it has cells.
 Rows that matter to a neighbouring cell are copied into it. Inside a cell one
 sorted pass with a running aggregate answers every probe; no pairs of rows are
-formed. Probes at the same instant are folded together before that shuffle, so a
-cell never holds more probes than it has microseconds.
+formed. Rows of one user at the same instant are folded together before that
+shuffle, so the size of a cell is bounded by its microseconds, whatever the data.
 """
 
 from __future__ import annotations
@@ -40,30 +40,31 @@ def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:
         .distinct()
         .select("user_id", cell_of(at, width).alias("cell"), "at_us", F.lit(1).alias("is_probe"))
     )
-    offered = targets.where(PLACED).select(
-        "user_id",
-        F.explode(F.sequence(cell_of(at - reach, width), cell_of(at + reach, width))).alias("cell"),
-        "at_us",
-        F.lit(0).alias("is_probe"),
-        "id",
-        F.struct(at.alias("at_us"), F.col("target").alias("row")).alias("hit"),
+    offered = (
+        targets.where(PLACED)
+        .groupBy("user_id", "at_us")
+        .agg(F.min(F.struct("id", "target")).alias("best"))
+        .select(
+            "user_id",
+            F.explode(F.sequence(cell_of(at - reach, width), cell_of(at + reach, width))).alias(
+                "cell"
+            ),
+            "at_us",
+            F.lit(0).alias("is_probe"),
+            F.struct(at.alias("at_us"), F.col("best.target").alias("row")).alias("hit"),
+        )
     )
     timeline = asked.unionByName(offered, allowMissingColumns=True)
 
-    # One sort serves all three passes. Targets come before probes of the same
-    # instant; of several targets at one instant only the smallest id is kept.
-    order = W.partitionBy("user_id", "cell").orderBy("at_us", "is_probe", "id")
-    first = F.coalesce(F.lag("at_us").over(order) != at, F.lit(True))
-    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = timeline.withColumn("hit", F.when(first, F.col("hit"))).select(
+    # Both passes share one sort. A target comes before a probe of its instant,
+    # so a hit at distance 0 is found on the way forward.
+    group = "PARTITION BY user_id, cell ORDER BY at_us, is_probe"
+    found = timeline.select(
         "user_id",
         "at_us",
         "is_probe",
-        F.last("hit", ignorenulls=True).over(so_far).alias("before"),
-        F.expr(
-            "lead(hit) IGNORE NULLS OVER "
-            "(PARTITION BY user_id, cell ORDER BY at_us, is_probe, id)"
-        ).alias("after"),
+        F.expr(f"last(hit) IGNORE NULLS OVER ({group})").alias("before"),
+        F.expr(f"lead(hit) IGNORE NULLS OVER ({group})").alias("after"),
     )
     gap_before = at - F.col("before.at_us")
     gap_after = F.col("after.at_us") - at
