@@ -2,12 +2,15 @@
 
 from counterfoil.functions.money import in_money, rounded_total, total
 from counterfoil.functions.times import day_of, micros, seconds_between
-from counterfoil.functions.values import json_type, number, shown, text, truthy
+from counterfoil.functions.values import as_variant, is_json, json_name, json_schema, number, shown, text, truthy
 
 __all__ = [
+    "as_variant",
     "day_of",
     "in_money",
-    "json_type",
+    "is_json",
+    "json_name",
+    "json_schema",
     "micros",
     "number",
     "rounded_total",

@@ -7,28 +7,29 @@ ordinary typed columns, where the type is known when the plan is made.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Names under which violations report JSON types.
-JSON_TYPE_NAMES = {
-    "STRING": "str",
-    "BIGINT": "int",
-    "DECIMAL": "float",
-    "DOUBLE": "float",
-    "FLOAT": "float",
-    "BOOLEAN": "bool",
-    "OBJECT": "dict",
-    "ARRAY": "list",
+# Names under which violations report JSON types, and how the schema
+# of a VARIANT of that type starts.
+JSON_TYPES = {
+    "str": ("STRING",),
+    "int": ("BIGINT",),
+    "float": ("DECIMAL", "DOUBLE", "FLOAT"),
+    "bool": ("BOOLEAN",),
+    "dict": ("OBJECT",),
+    "list": ("ARRAY",),
 }
 
 _TYPED = (
-    (T.BooleanType, "bool"),
-    (T.IntegralType, "int"),
-    ((T.FractionalType, T.DecimalType), "float"),
-    ((T.StructType, T.MapType), "dict"),
-    (T.ArrayType, "list"),
+    (T.BooleanType, "BOOLEAN"),
+    (T.IntegralType, "BIGINT"),
+    (T.FractionalType, "DOUBLE"),
+    ((T.StructType, T.MapType), "OBJECT"),
+    (T.ArrayType, "ARRAY"),
 )
 
 
@@ -53,41 +54,74 @@ def number(df: DataFrame, name: str, strict: bool = False) -> Column:
     return read_as(df, name, "double", strict)
 
 
-def json_type(df: DataFrame, name: str) -> Column:
-    """JSON type of the value; null for an absent key and for a JSON null."""
+def json_schema(df: DataFrame, name: str) -> Column:
+    """Schema of the value; null for an absent key, VOID for a JSON null."""
     col = F.col(name)
-    if not is_variant(df, name):
-        kind = df.schema[name].dataType
-        known = next((label for types, label in _TYPED if isinstance(kind, types)), "str")
-        return F.when(col.isNotNull(), F.lit(known))
-    head = F.substring_index(F.substring_index(F.schema_of_variant(col), "<", 1), "(", 1)
-    names = F.create_map(*[F.lit(x) for pair in JSON_TYPE_NAMES.items() for x in pair])
-    return F.try_element_at(names, head)
+    if is_variant(df, name):
+        return F.schema_of_variant(col)
+    kind = df.schema[name].dataType
+    known = next((label for types, label in _TYPED if isinstance(kind, types)), "STRING")
+    return F.when(col.isNotNull(), F.lit(known))
+
+
+def is_json(schema: Column, *names: str) -> Column:
+    """Whether a schema is of one of the named JSON types; null for an absent key."""
+    starts = [start for name in names for start in JSON_TYPES[name]]
+    # Only these carry parameters after the type.
+    tests = [
+        F.startswith(schema, F.lit(start))
+        if start in ("DECIMAL", "OBJECT", "ARRAY")
+        else schema == start
+        for start in starts
+    ]
+    return reduce(Column.__or__, tests)
+
 
+def is_present(schema: Column) -> Column:
+    """Whether there is a value other than null; never null."""
+    return schema.isNotNull() & (schema != "VOID")
 
-def truthy(df: DataFrame, name: str, kind: Column | None = None) -> Column:
+
+def truthy(df: DataFrame, name: str, schema: Column | None = None) -> Column:
     """False for absent, null, empty text, zero, false, {} and []; never null.
 
-    `kind` is the JSON type of the value where it is at hand already.
+    `schema` is that of the value where it is at hand already.
     """
-    kind = json_type(df, name) if kind is None else kind
+    schema = json_schema(df, name) if schema is None else schema
     as_text = text(df, name)
     value = (
-        F.when(kind == "str", as_text != "")
-        .when(kind.isin("int", "float"), number(df, name) != 0)
-        .when(kind == "bool", as_text == "true")
-        .when(kind.isin("dict", "list"), ~_container_text(df, name).isin("{}", "[]"))
+        F.when(is_json(schema, "str"), as_text != "")
+        .when(is_json(schema, "int", "float"), number(df, name) != 0)
+        .when(is_json(schema, "bool"), as_text == "true")
+        .when(is_json(schema, "dict", "list"), ~_container_text(df, name).isin("{}", "[]"))
     )
     return F.coalesce(value, F.lit(False))
 
 
-def shown(df: DataFrame, name: str, kind: Column) -> Column:
-    """The value as it appears in a violation message: texts quoted, others bare."""
-    plain = text(df, name)
+def as_variant(df: DataFrame, name: str) -> Column:
+    """The value with its type, whatever the type of the column."""
+    if is_variant(df, name):
+        return F.col(name)
+    nested = isinstance(df.schema[name].dataType, (T.StructType, T.MapType, T.ArrayType))
+    return F.to_variant_object(name) if nested else F.col(name).cast("variant")
+
+
+def json_name(value: Column) -> Column:
+    """Name of the JSON type of a VARIANT; null for an absent key and for a JSON null."""
+    schema = F.schema_of_variant(value)
+    name = F.lit(None).cast("string")
+    for label in JSON_TYPES:
+        name = F.when(is_json(schema, label), label).otherwise(name)
+    return name
+
+
+def shown(value: Column) -> Column:
+    """A VARIANT as it appears in a violation message: texts quoted, others bare."""
+    schema = F.schema_of_variant(value)
+    plain = F.try_variant_get(value, "$", "string")
     return (
-        F.when(kind == "str", F.concat(F.lit("'"), plain, F.lit("'")))
-        .when(kind == "bool", F.initcap(plain))
-        .when(kind.isin("dict", "list"), _container_text(df, name))
+        F.when(is_json(schema, "str"), F.concat(F.lit("'"), plain, F.lit("'")))
+        .when(is_json(schema, "bool"), F.initcap(plain))
         .otherwise(plain)
     )
 

@@ -9,7 +9,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.functions.values import is_variant, json_type, shown, text, truthy
+from counterfoil.functions.values import (
+    as_variant,
+    is_json,
+    is_present,
+    is_variant,
+    json_name,
+    json_schema,
+    shown,
+    text,
+    truthy,
+)
 from counterfoil.sources.feeds import ID_KEYS, Feed
 from counterfoil.sources.records import number_records
 
@@ -76,76 +86,61 @@ def dedup(
 
 @dataclass(frozen=True)
 class Check:
-    """One rule: when it is broken and what is reported then."""
+    """One rule: when it is broken and what was expected of which field."""
 
     broken: Column
     kind: str
     field: str
+    expected: str
     value: Column | None = None
-    expected: str | None = None
-    actual: Column | None = None
 
     def report(self) -> Column:
-        parts = {
-            "kind": F.lit(self.kind),
-            "field": F.lit(self.field),
-            "value": F.lit(None) if self.value is None else self.value,
-            "expected": F.lit(self.expected),
-            "actual": F.lit(None) if self.actual is None else self.actual,
-        }
+        value = F.lit(None).cast("variant") if self.value is None else self.value
         return F.when(
-            self.broken, F.struct(*[c.cast("string").alias(n) for n, c in parts.items()])
+            self.broken,
+            F.struct(
+                F.lit(self.kind).alias("kind"),
+                F.lit(self.field).alias("field"),
+                F.lit(self.expected).alias("expected"),
+                value.alias("value"),
+            ),
         )
 
 
-def _type(field: str) -> Column:
-    return F.col(f"_type_{field}")
+def _schema(field: str) -> Column:
+    return F.col(f"_schema_{field}")
 
 
-def with_types(df: DataFrame, feed: Feed) -> DataFrame:
-    """Add the JSON type of each declared field, so that no rule works it out again."""
+def with_schemas(df: DataFrame, feed: Feed) -> DataFrame:
+    """Add the JSON schema of each declared field, so that no rule works it out again."""
     present = [f for f in feed.fields if f in df.columns]
-    return df.withColumns({f"_type_{f}": json_type(df, f) for f in present})
+    return df.withColumns({f"_schema_{f}": json_schema(df, f) for f in present})
 
 
 def _missing(field: str, types: Sequence[str]) -> Check:
-    return Check(F.col(field).isNull(), "MISSING_FIELD", field, expected="/".join(types))
+    return Check(F.col(field).isNull(), "MISSING_FIELD", field, "/".join(types))
 
 
 def _mismatch(df: DataFrame, field: str, types: Sequence[str]) -> Check:
     # A boolean passes where numbers are expected.
     accepted = [*types, "bool"] if "int" in types else list(types)
-    broken = ~F.coalesce(_type(field).isin(accepted), F.lit(True))
-    return Check(
-        broken, "TYPE_MISMATCH", field, shown(df, field, _type(field)), "/".join(types), _type(field)
-    )
+    broken = is_present(_schema(field)) & ~is_json(_schema(field), *accepted)
+    return Check(broken, "TYPE_MISMATCH", field, "/".join(types), as_variant(df, field))
 
 
 def _unknown_enum(df: DataFrame, field: str, allowed: Sequence[str]) -> Check:
-    known = (_type(field) == "str") & text(df, field).isin(list(allowed))
+    known = is_json(_schema(field), "str") & text(df, field).isin(list(allowed))
     listed = "[" + ", ".join(f"'{a}'" for a in sorted(allowed)) + "]"
-    return Check(
-        ~F.coalesce(known, F.lit(True)),
-        "UNKNOWN_ENUM",
-        field,
-        shown(df, field, _type(field)),
-        listed,
-        _type(field),
-    )
+    broken = is_present(_schema(field)) & ~known
+    return Check(broken, "UNKNOWN_ENUM", field, listed, as_variant(df, field))
 
 
 def _bad_timestamp(df: DataFrame, field: str = "timestamp") -> Check:
     as_text = text(df, field)
     parsed = F.try_to_timestamp(F.regexp_replace(as_text, ",", "."))
     readable = F.coalesce(as_text.rlike(ISO_SHAPE) & parsed.isNotNull(), F.lit(False))
-    return Check(
-        truthy(df, field, _type(field)) & ~readable,
-        "BAD_TIMESTAMP",
-        field,
-        shown(df, field, _type(field)),
-        "ISO 8601",
-        _type(field),
-    )
+    broken = truthy(df, field, _schema(field)) & ~readable
+    return Check(broken, "BAD_TIMESTAMP", field, "ISO 8601", as_variant(df, field))
 
 
 def checks(df: DataFrame, feed: Feed) -> list[Check]:
@@ -165,43 +160,52 @@ def checks(df: DataFrame, feed: Feed) -> list[Check]:
 def record_id(df: DataFrame) -> Column:
     """First non-empty id of the record; null when it has none."""
     present = [key for key in ID_KEYS if key in df.columns]
-    kinds = {key: _type(key) if f"_type_{key}" in df.columns else None for key in present}
-    return F.coalesce(*[F.when(truthy(df, k, kind), text(df, k)) for k, kind in kinds.items()])
-
-
-def _reports(rules: Sequence[Check]) -> Column:
-    return F.array(*[rule.report() for rule in rules])
+    schemas = {key: _schema(key) if f"_schema_{key}" in df.columns else None for key in present}
+    return F.coalesce(*[F.when(truthy(df, k, schema), text(df, k)) for k, schema in schemas.items()])
 
 
-def _rows(df: DataFrame, feed: Feed, reports: Column, records: DataFrame | None) -> DataFrame:
-    rows = df.select(
-        F.lit(feed.name).alias("source"),
-        record_id(df).alias("_id"),
-        *[c for c in ("pos", "record_no") if c in df.columns],
-        F.explode(reports).alias("_v"),
-    ).where("_v IS NOT NULL")
+def _rows(
+    df: DataFrame, feed: Feed, rules: Sequence[Check], records: DataFrame | None = None
+) -> DataFrame:
+    rows = (
+        with_schemas(df, feed)
+        .transform(
+            lambda d: d.select(
+                record_id(d).alias("rec_id"),
+                *[c for c in ("pos", "record_no") if c in d.columns],
+                F.explode(F.array(*[rule.report() for rule in rules])).alias("_v"),
+            )
+        )
+        .where("_v IS NOT NULL")
+    )
     if records is not None:
         rows = number_records(rows, records)
     place = F.col("record_no") if "record_no" in rows.columns else F.lit(None)
-    rows = rows.select(
-        "source",
-        F.coalesce("_id", F.concat(F.lit("idx:"), place.cast("string"))).alias("rec_id"),
-        "_v.*",
-    )
-    rec = F.coalesce("rec_id", F.lit("?"))
-    message = (
-        F.when(F.col("kind") == "MISSING_FIELD", F.format_string(MISSING, "field", rec))
-        .when(
-            F.col("kind") == "TYPE_MISMATCH",
-            F.format_string(MISMATCH, "field", "expected", "actual", rec),
+    value, rec = F.col("_v.value"), F.coalesce("rec_id", F.lit("?"))
+    return (
+        rows.select(
+            F.lit(feed.name).alias("source"),
+            F.coalesce("rec_id", F.concat(F.lit("idx:"), place.cast("string"))).alias("rec_id"),
+            "_v.kind",
+            "_v.field",
+            shown(value).alias("value"),
+            "_v.expected",
+            json_name(value).alias("actual"),
         )
-        .when(
-            F.col("kind") == "UNKNOWN_ENUM",
-            F.format_string(UNKNOWN, "field", "value", "expected", rec),
+        .withColumn(
+            "message",
+            F.when(F.col("kind") == "MISSING_FIELD", F.format_string(MISSING, "field", rec))
+            .when(
+                F.col("kind") == "TYPE_MISMATCH",
+                F.format_string(MISMATCH, "field", "expected", "actual", rec),
+            )
+            .when(
+                F.col("kind") == "UNKNOWN_ENUM",
+                F.format_string(UNKNOWN, "field", "value", "expected", rec),
+            )
+            .otherwise(F.format_string(BAD_TIME, "value", rec)),
         )
-        .otherwise(F.format_string(BAD_TIME, "value", rec))
     )
-    return rows.withColumn("message", message)
 
 
 def drift(df: DataFrame, feed: Feed, records: DataFrame | None = None) -> DataFrame:
@@ -212,19 +216,18 @@ def drift(df: DataFrame, feed: Feed, records: DataFrame | None = None) -> DataFr
     `records` to have the place worked out (only violations are joined for it).
     No shuffle is needed otherwise.
     """
-    typed = with_types(df, feed)
-    return _rows(typed, feed, _reports(checks(df, feed)), records)
+    return _rows(df, feed, checks(df, feed), records)
 
 
 def drift_enum(df: DataFrame, feed: Feed) -> DataFrame:
     """Only the check of allowed texts, also over typed columns."""
     rules = [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]
-    return _rows(with_types(df, feed), feed, _reports(rules), None)
+    return _rows(df, feed, rules)
 
 
 def drift_timestamp(df: DataFrame, feed: Feed, field: str = "timestamp") -> DataFrame:
     """Only the check of the timestamp, also over typed columns."""
-    return _rows(with_types(df, feed), feed, _reports([_bad_timestamp(df, field)]), None)
+    return _rows(df, feed, [_bad_timestamp(df, field)])
 
 
 # --- clean records ------------------------------------------------------------------
@@ -269,7 +272,7 @@ def _broken_rules(df: DataFrame, feed: Feed) -> Column:
 def with_counts(records: DataFrame, feed: Feed) -> DataFrame:
     """First record per key, its `copies`, and how many `violations` it has."""
     kept = dedup(records, feed.key, copies="copies")
-    return with_types(kept, feed).select(
+    return with_schemas(kept, feed).select(
         *kept.columns, _broken_rules(kept, feed).alias("violations")
     )
 
@@ -294,7 +297,7 @@ def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") ->
     """
     keys = [key_text(records, c).alias(f"_key_{i}") for i, c in enumerate(feed.key)]
     kept = (
-        with_types(records, feed)
+        with_schemas(records, feed)
         .select(*keys, F.col(order_col).alias("_order"), _broken_rules(records, feed).alias("_n"))
         .groupBy(*[f"_key_{i}" for i, _ in enumerate(feed.key)])
         .agg(F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,11 @@ def build_session(app: str = "counterfoil", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="counterfoil-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 
@@ -50,8 +56,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="counterfoil-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

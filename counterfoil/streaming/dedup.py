@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.functions.values import read_as
 from counterfoil.operators.ingest import key_text
 from counterfoil.sources.feeds import Feed
 
@@ -24,26 +23,17 @@ def stream_records(
     )
 
 
-def stream_dedup(
-    records: DataFrame,
-    key_cols: Sequence[str],
-    delay: str = "1 day",
-    time_col: str | None = "timestamp",
-) -> DataFrame:
+def stream_dedup(records: DataFrame, key_cols: Sequence[str], delay: str = "1 day") -> DataFrame:
     """One record per key as long as its copies arrive within `delay` of each other.
 
-    Time is that of the record, or of its arrival where it has no readable one.
-    Unlike in batch, copies further apart than the delay are both kept and
-    records later than the watermark are dropped, which bounds the state.
+    The clock is the time of arrival: a record whose own timestamp is late,
+    unreadable or missing is kept all the same. Unlike in batch, copies that
+    arrive further apart are both kept, which bounds the state.
     """
     keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
-    at = F.col("arrived_at")
-    if time_col:
-        at = F.coalesce(read_as(records, time_col, "timestamp"), at)
     return (
         records.withColumns({k: key_text(records, c) for k, c in zip(keys, key_cols)})
-        .withColumn("_at", at)
-        .withWatermark("_at", delay)
+        .withWatermark("arrived_at", delay)
         .dropDuplicatesWithinWatermark(keys)
-        .drop("_at", *keys)
+        .drop(*keys)
     )
