@@ -1,5 +1,6 @@
 """Column expressions shared by the operators."""
 
+from counterfoil.functions.keys import spread
 from counterfoil.functions.money import in_money, rounded_total, total
 from counterfoil.functions.times import day_of, micros, seconds_between
 from counterfoil.functions.values import as_variant, is_json, json_name, json_schema, number, shown, text, truthy
@@ -16,6 +17,7 @@ __all__ = [
     "rounded_total",
     "seconds_between",
     "shown",
+    "spread",
     "text",
     "total",
     "truthy",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.money import in_money
 from counterfoil.functions.times import micros
-from counterfoil.operators.timeline import count_before
+from counterfoil.operators.timeline import attach, count_before
 
 # Activity that counts as a sign of a session.
 SESSION_ACTIVITY = ("page_view", "add_to_cart")
@@ -80,14 +80,10 @@ def session_check(client: DataFrame, minutes: int = 60) -> DataFrame:
         minutes * 60,
     )
     found = F.coalesce("preceding", F.lit(0))
-    return (
-        events.where(is_purchase)
-        .join(counts, ["user_id", "at_us"], "left")
-        .select(
-            *client.columns,
-            (found > 0).alias("has_preceding_session_activity"),
-            found.alias("preceding_event_count"),
-        )
+    return attach(events.where(is_purchase), counts, F.col("event_id")).select(
+        *client.columns,
+        (found > 0).alias("has_preceding_session_activity"),
+        found.alias("preceding_event_count"),
     )
 
 

@@ -73,11 +73,15 @@ def dedup(
         df.select(
             *[key_text(df, c).alias(k) for k, c in zip(keys, key_cols)],
             F.col(order_col).alias("_order"),
-            F.struct(*df.columns).alias("_record"),
+            F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
         )
         .groupBy(*keys)
-        .agg(F.min_by("_record", "_order").alias("_record"), *counted)
-        .select("_record.*", *([copies] if copies else []))
+        .agg(
+            F.min_by("_record", "_order").alias("_record"),
+            F.min("_order").alias(order_col),
+            *counted,
+        )
+        .select("_record.*", order_col, *([copies] if copies else []))
     )
 
 

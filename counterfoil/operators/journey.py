@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from counterfoil.functions.times import micros, seconds_between
-from counterfoil.operators.timeline import nearest
+from counterfoil.operators.timeline import attach, nearest
 
 # Columns taken over from the two staging tables, in order.
 CLIENT_COLUMNS = (
@@ -52,12 +52,8 @@ def _nearest_rows(client: DataFrame, server: DataFrame, window_s: int) -> DataFr
         ),
         window_s,
     )
-    # One hit at most per user and instant, so this join adds no rows.
-    return (
-        events.join(hits, ["user_id", "at_us"], "left")
-        .withColumnRenamed("target", "tx")
-        .drop("at_us")
-    )
+    rows = attach(events, hits, F.col("event_id"))
+    return rows.withColumnRenamed("target", "tx").drop("at_us")
 
 
 def _linked_rows(client: DataFrame, server: DataFrame) -> DataFrame:

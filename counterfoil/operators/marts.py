@@ -8,33 +8,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from counterfoil.functions.keys import spread
 from counterfoil.functions.money import in_money, rounded_total, total
 from counterfoil.functions.times import day_of
 
-# Rows without a link are dealt out over this many join keys. Only their spread
-# over tasks depends on it, not the result.
-SPREAD = 65_536
-
-
-def _spread(key: Column, fallback: Column) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(key, fallback)), F.lit(SPREAD))
-
-
 def reconcile(server: DataFrame, client: DataFrame) -> DataFrame:
     """One row per transaction with the purchase event it names, both definitions side by side.
 
-    Transactions without a link can match nothing, but a join on the link alone
-    would send them all to the task that holds null. A second key, equal on both
-    sides whenever the links are equal, spreads them by transaction instead. A
-    link that very many transactions share is split by adaptive execution.
+    Transactions without a link are spread over all tasks by a second join key.
+    A link that very many transactions share is split by adaptive execution.
     """
     purchases = client.where("event_name = 'purchase_intent'").select(
         F.col("event_id").alias("purchase_id"),
         F.col("event_value").alias("client_reported_amount"),
-        _spread(F.col("event_id"), F.lit("")).alias("purchase_spread"),
+        spread(F.col("event_id"), F.lit("")).alias("purchase_spread"),
     )
     linked = (F.col("client_event_id") == F.col("purchase_id")) & (
-        _spread(F.col("client_event_id"), F.col("transaction_id")) == F.col("purchase_spread")
+        spread(F.col("client_event_id"), F.col("transaction_id")) == F.col("purchase_spread")
     )
     joined = server.join(purchases, linked, "left")
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from counterfoil.functions.keys import spread
+
 SECOND = 1_000_000
 
 PLACED = "user_id IS NOT NULL AND at_us IS NOT NULL"
@@ -77,6 +79,19 @@ def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:
     )
 
 
+def attach(rows: DataFrame, found: DataFrame, row_id: Column) -> DataFrame:
+    """Left join of the results of a lookup to rows that have user_id and at_us.
+
+    There is at most one result per user and instant, so no rows are added. Rows
+    without a user or a time match nothing and are spread over tasks by `row_id`;
+    an instant that very many rows share is split by adaptive execution.
+    """
+    placed_at = F.when(F.col("user_id").isNotNull(), F.col("at_us").cast("string"))
+    keyed = rows.withColumn("_spread", spread(placed_at, row_id))
+    results = found.withColumn("_spread", spread(placed_at, F.lit("")))
+    return keyed.join(results, ["user_id", "at_us", "_spread"], "left").drop("_spread")
+
+
 def count_before(rows: DataFrame, lookback_s: int) -> DataFrame:
     """Activity in the half-open span [at - lookback, at) before each probe.
 

@@ -10,12 +10,14 @@ from pyspark.sql import SparkSession
 
 # Day boundaries and zone-less texts follow the session zone, so it is pinned.
 # Skewed join sides (one event linked by very many transactions) are split by
-# adaptive execution.
+# adaptive execution, and sides that turn out small per partition are hashed
+# instead of sorted.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 # Not settable later: plans with hundreds of expressions are built several times

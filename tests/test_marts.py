@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from counterfoil.operators import corrections, marts, summaries
+from counterfoil.functions import spread
 from tests.helpers import at, by, client_table, server_table
 
 DAY = 86_400
@@ -66,8 +67,8 @@ def test_categories(mart):
 
 
 def test_rows_without_link_do_not_share_a_join_key(mart, tables):
-    spread = marts._spread(F.col("client_event_id"), F.col("transaction_id"))
-    unlinked = tables[1].where("client_event_id IS NULL").select(spread)
+    key = spread(F.col("client_event_id"), F.col("transaction_id"))
+    unlinked = tables[1].where("client_event_id IS NULL").select(key)
     assert unlinked.distinct().count() == unlinked.count()
 
 
