@@ -57,6 +57,18 @@ def key_text(df: DataFrame, name: str) -> Column:
     )
 
 
+def _keyed(df: DataFrame, key_cols: Sequence[str], *columns: Column) -> tuple[DataFrame, list[str]]:
+    """The columns with the key of each record, and the names to group by.
+
+    A hash of the key leads, because numbers sort faster than long texts with the
+    same beginning; the texts behind it keep different keys apart.
+    """
+    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
+    texts = [key_text(df, c).alias(k) for k, c in zip(keys, key_cols)]
+    keyed = df.select(*texts, *columns).withColumn("_hash", F.xxhash64(*keys))
+    return keyed, ["_hash", *keys]
+
+
 def dedup(
     df: DataFrame, key_cols: Sequence[str], order_col: str = "pos", copies: str | None = None
 ) -> DataFrame:
@@ -67,15 +79,15 @@ def dedup(
     share of the feed does not gather anywhere. `copies` names a column for the
     number of records the kept one stands for.
     """
-    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
+    keyed, keys = _keyed(
+        df,
+        key_cols,
+        F.col(order_col).alias("_order"),
+        F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
+    )
     counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     return (
-        df.select(
-            *[key_text(df, c).alias(k) for k, c in zip(keys, key_cols)],
-            F.col(order_col).alias("_order"),
-            F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
-        )
-        .groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(
             F.min_by("_record", "_order").alias("_record"),
             F.min("_order").alias(order_col),
@@ -299,11 +311,13 @@ def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") ->
 
     Only key, position and number of violations of a record are shuffled.
     """
-    keys = [key_text(records, c).alias(f"_key_{i}") for i, c in enumerate(feed.key)]
-    kept = (
-        with_schemas(records, feed)
-        .select(*keys, F.col(order_col).alias("_order"), _broken_rules(records, feed).alias("_n"))
-        .groupBy(*[f"_key_{i}" for i, _ in enumerate(feed.key)])
-        .agg(F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations"))
+    keyed, keys = _keyed(
+        with_schemas(records, feed),
+        feed.key,
+        F.col(order_col).alias("_order"),
+        _broken_rules(records, feed).alias("_n"),
+    )
+    kept = keyed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations")
     )
     return stats_of_kept(kept, feed)
