@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from counterfoil.functions.times import iso_instant
+
 # Names under which violations report JSON types, and how the schema
 # of a VARIANT of that type starts.
 JSON_TYPES = {
@@ -54,6 +56,17 @@ def number(df: DataFrame, name: str, strict: bool = False) -> Column:
     return read_as(df, name, "double", strict)
 
 
+def instant(df: DataFrame, name: str, strict: bool = False) -> Column:
+    """The column as a timestamp. Texts are cast, and only what a cast cannot read is parsed."""
+    if not is_variant(df, name) and not isinstance(df.schema[name].dataType, T.StringType):
+        return read_as(df, name, "timestamp", strict)
+    steps = [read_as(df, name, "timestamp"), iso_instant(text(df, name))]
+    if strict:
+        # Reached by unreadable values only, and raises for them.
+        steps.append(text(df, name).cast("timestamp"))
+    return F.coalesce(*steps)
+
+
 def json_schema(df: DataFrame, name: str) -> Column:
     """Schema of the value; null for an absent key, VOID for a JSON null."""
     col = F.col(name)

@@ -246,3 +246,10 @@ def missing_event_types(
     wanted = client.sparkSession.range(1).select(F.explode(names).alias("event_name"))
     observed = client.where(F.col("event_name").isin(list(expected))).select("event_name")
     return wanted.join(observed.distinct(), "event_name", "left_anti")
+
+
+def report_counts(report: DataFrame) -> DataFrame:
+    """One row: number of findings and how many of them were verified."""
+    return report.agg(
+        F.count(F.lit(1)).alias("findings"), F.count_if("verified").alias("verified_findings")
+    )

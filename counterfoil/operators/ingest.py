@@ -9,8 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from counterfoil.functions.times import is_iso
 from counterfoil.functions.values import (
     as_variant,
+    instant,
     is_json,
     is_present,
     is_variant,
@@ -29,13 +31,6 @@ MISMATCH = "TYPE_MISMATCH field=%s expected=%s actual=%s record=%s"
 UNKNOWN = "UNKNOWN_ENUM field=%s value=%s allowed=%s record=%s"
 BAD_TIME = "BAD_TIMESTAMP value=%s record=%s"
 
-# Accepted ISO 8601 shapes, a date or a date and time with optional zone.
-ISO_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?"
-    r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2}([.]\d{1,6})?)?)?)?)?$"
-)
-
 
 # --- duplicates -----------------------------------------------------------------
 
@@ -152,10 +147,8 @@ def _unknown_enum(df: DataFrame, field: str, allowed: Sequence[str]) -> Check:
 
 
 def _bad_timestamp(df: DataFrame, field: str = "timestamp") -> Check:
-    as_text = text(df, field)
-    parsed = F.try_to_timestamp(F.regexp_replace(as_text, ",", "."))
-    readable = F.coalesce(as_text.rlike(ISO_SHAPE) & parsed.isNotNull(), F.lit(False))
-    broken = truthy(df, field, _schema(field)) & ~readable
+    readable = is_iso(text(df, field)) & instant(df, field).isNotNull()
+    broken = truthy(df, field, _schema(field)) & ~F.coalesce(readable, F.lit(False))
     return Check(broken, "BAD_TIMESTAMP", field, "ISO 8601", as_variant(df, field))
 
 
@@ -321,3 +314,10 @@ def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") ->
         F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations")
     )
     return stats_of_kept(kept, feed)
+
+
+def total_violations(stats: DataFrame) -> DataFrame:
+    """One row: violations over all feeds."""
+    return stats.agg(
+        F.coalesce(F.sum("schema_violations"), F.lit(0)).alias("total_schema_violations")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from counterfoil.functions.values import is_variant, number, read_as, text
+from counterfoil.functions.values import instant, is_variant, number, text
 
 
 def _property(clean: DataFrame, name: str, type_name: str, strict: bool) -> Column:
@@ -44,7 +44,7 @@ def stg_client_events(clean: DataFrame, strict: bool = False) -> DataFrame:
     return clean.select(
         text(clean, "event_id", strict).alias("event_id"),
         text(clean, "user_id", strict).alias("user_id"),
-        read_as(clean, "timestamp", "timestamp", strict).alias("event_at"),
+        instant(clean, "timestamp", strict).alias("event_at"),
         name.alias("event_name"),
         event_value(clean, strict).alias("event_value"),
         F.coalesce(_property(clean, "product_id", "string", strict), empty).alias("product_id"),
@@ -69,7 +69,7 @@ def stg_server_logs(clean: DataFrame, strict: bool = False) -> DataFrame:
         text(clean, "tx_id", strict).alias("transaction_id"),
         text(clean, "user_id", strict).alias("user_id"),
         F.when(F.trim(link) != "", link).alias("client_event_id"),
-        read_as(clean, "timestamp", "timestamp", strict).alias("transaction_at"),
+        instant(clean, "timestamp", strict).alias("transaction_at"),
         F.coalesce(number(clean, "amount", strict), F.lit(0.0)).alias("transaction_amount"),
         F.lower(text(clean, "status", strict)).alias("transaction_status"),
         F.lit("server").alias("_source"),

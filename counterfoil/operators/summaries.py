@@ -112,3 +112,16 @@ def summary_server(clean: DataFrame) -> DataFrame:
             "revenue_without_client_link"
         ),
     )
+
+
+def repeated_event_ids(clean: DataFrame) -> DataFrame:
+    """Event ids that several clean records share.
+
+    The id is not part of the key by which duplicates are removed, so it may
+    repeat; the journey then keeps one row per id, the mart one per record.
+    """
+    return (
+        clean.groupBy(text(clean, "event_id").alias("event_id"))
+        .agg(F.count(F.lit(1)).alias("records"))
+        .where("records > 1")
+    )

@@ -6,6 +6,8 @@ sweep a timeline, full joins and unions where they group once.
 
 from __future__ import annotations
 
+from counterfoil.operators.corrections import DEFINITIONS
+
 CLIENT = """
 client AS (
   SELECT concat('e', event_id) AS event_id, concat('u', user_id) AS user_id, ts AS event_at,
@@ -187,36 +189,17 @@ FROM mart WHERE {where}"""
 
 
 DECOMPOSITION = f"WITH {MART}" + " UNION ALL ".join(
-    [
-        definition(
-            "finance_completed",
-            "server_amount",
-            "conversion_definition_finance",
-            "Server-side completed transactions only. "
-            "Source of truth for financial reporting.",
-        ),
-        definition(
-            "marketing_purchase_intents",
-            REPORTED,
-            "conversion_definition_marketing",
-            "Client-side purchase_intent events. Used for attribution only, "
-            "not financial reporting.",
-        ),
-        definition(
+    definition(label, amount, where, DEFINITIONS[label])
+    for label, amount, where in (
+        ("finance_completed", "server_amount", "conversion_definition_finance"),
+        ("marketing_purchase_intents", REPORTED, "conversion_definition_marketing"),
+        (
             "variance_dark_revenue",
             "server_amount",
             "attribution_category = 'finance_only' AND conversion_definition_finance",
-            "Completed server transactions with no client event. "
-            "Finance sees this; marketing cannot attribute it.",
         ),
-        definition(
-            "variance_failed_but_tracked",
-            REPORTED,
-            "attribution_category = 'marketing_only'",
-            "Marketing counted these as conversions but the payment failed. "
-            "Finance correctly excludes them.",
-        ),
-    ]
+        ("variance_failed_but_tracked", REPORTED, "attribution_category = 'marketing_only'"),
+    )
 )
 
 # --- raw records ------------------------------------------------------------------
@@ -488,6 +471,8 @@ SELECT {SERVER_FIELDS}, {quoted('status')} AS status, {AMOUNT}, {quoted('ext_id'
   'server' AS _source
 FROM raw""",
     "extraction_stats": STATS,
+    "total_violations": f"""
+SELECT CAST(sum(schema_violations) AS BIGINT) AS total_schema_violations FROM ({STATS})""",
     "write_clean": f"""
 WITH {RAW_CLIENT} SELECT {client_fields(CLEAN_PROPERTIES)}, 'client' AS _source FROM kept""",
     "write_drift": DRIFT_SERVER,
@@ -556,6 +541,11 @@ SELECT count(*) AS total_events,
   count(*) FILTER (WHERE event_name = 'purchase_intent') AS purchase_intent_count,
   {cents(money('event_value', "event_name = 'purchase_intent'"))} AS purchase_intent_value_total
 FROM client""",
+    "repeated_event_ids": f"""
+WITH {RAW_CLIENT}
+SELECT event_id, count(*) AS records
+FROM (SELECT event_id FROM raw UNION ALL SELECT event_id FROM raw)
+GROUP BY 1 HAVING count(*) > 1""",
     "server_status_counts": f"""
 WITH {TRANSACTIONS} SELECT status, count(*) AS transactions FROM logs GROUP BY 1""",
     "summary_server": f"""
@@ -585,6 +575,10 @@ FROM server""",
     "audit_verified": f"WITH {VERIFIED} SELECT * FROM verified",
     "new_findings": report("rule_id NOT IN ('R-ATTR', 'R-GAP')"),
     "write_report": report("true"),
+    "report_counts": f"""
+WITH {VERIFIED}
+SELECT count(*) AS findings, count(*) FILTER (WHERE verified) AS verified_findings
+FROM verified""",
     "missing_event_types": f"""
 WITH {CLIENT},
 expected AS (SELECT unnest({CLIENT_NAMES}) AS event_name)

@@ -218,12 +218,18 @@ def test_columns_of_the_key_do_not_run_together(read):
         ("2026-01-01 10:00:00", True),
         ("2026-01-01T10:00:00.123456+02:00", True),
         ("2026-01-01T10:00:00,5Z", True),
+        ("20260101T100000", True),
+        ("2026-W01-1", True),
+        ("2026-W54-1", False),
+        ("2026-01-01T10:00Z", True),
+        ("2026-01-01T24:30", False),
         ("2026-02-30", False),
         ("2026-13-01T00:00:00Z", False),
         ("2026", False),
         ("now", False),
         ("01/02/2026", False),
-        (20260101, False),
+        (20260101, True),
+        (7, False),
         (True, False),
         ("", True),
         (None, True),
