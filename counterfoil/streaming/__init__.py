@@ -1,7 +1,15 @@
 """Structured Streaming forms of deduplication and time matching."""
 
 from counterfoil.streaming.dedup import stream_dedup, stream_records
-from counterfoil.streaming.journey import best_candidates, stream_journey
+from counterfoil.streaming.journey import best_candidates, journey_between, land, stream_journey
 from counterfoil.streaming.run import drain
 
-__all__ = ["best_candidates", "drain", "stream_dedup", "stream_journey", "stream_records"]
+__all__ = [
+    "best_candidates",
+    "drain",
+    "journey_between",
+    "land",
+    "stream_dedup",
+    "stream_journey",
+    "stream_records",
+]

@@ -1,13 +1,25 @@
-"""Time matching of events and transactions as both arrive."""
+"""Time matching of events and transactions as both arrive.
+
+Two ways. `stream_journey` joins the two streams and gives candidates at once;
+what it writes grows with the transactions a user has within the window. For
+feeds with very busy users, `land` only appends both streams to tables by hour,
+and `journey_between` matches the hours that are complete in linear time.
+"""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.functions.times import micros
-from counterfoil.operators.journey import CLIENT_COLUMNS, best_journey, transaction
+from counterfoil.operators.journey import CLIENT_COLUMNS, best_journey, transaction, user_journey
 from counterfoil.operators.timeline import SECOND, cell_of
+from counterfoil.streaming.run import drain
+
+# Fixed value: hours in this form sort as texts.
+HOUR = "yyyy-MM-dd-HH"
 
 
 def stream_journey(
@@ -52,3 +64,33 @@ def stream_journey(
 def best_candidates(candidates: DataFrame) -> DataFrame:
     """The journey rows from what `stream_journey` has written so far."""
     return best_journey(candidates)
+
+
+def land(stream: DataFrame, time_col: str, path: str) -> DataFrame:
+    """Append a staged stream to a table partitioned by the hour of `time_col`."""
+    by_hour = stream.withColumn("hour", F.date_format(time_col, HOUR))
+    return drain(by_hour, "landed", path, partition_by="hour")
+
+
+def _within(table: DataFrame, time_col: str, start: datetime, end: datetime) -> DataFrame:
+    """Rows with start <= time <= end; other hours are not read."""
+    first, last = (F.date_format(F.lit(t), HOUR) for t in (start, end))
+    return table.where(
+        F.col("hour").between(first, last) & F.col(time_col).between(F.lit(start), F.lit(end))
+    )
+
+
+def journey_between(
+    client: DataFrame, server: DataFrame, start: datetime, end: datetime, window_s: int = 300
+) -> DataFrame:
+    """The journey rows of the events with start <= event_at < end, from landed tables.
+
+    Give the bounds with a time zone. Complete once transactions up to `end` plus
+    the window have landed. Spans
+    next to each other give together what one batch over all of them gives, as
+    long as event ids do not repeat.
+    """
+    reach = timedelta(seconds=window_s)
+    events = _within(client, "event_at", start, end).where(F.col("event_at") < F.lit(end))
+    near = _within(server, "transaction_at", start - reach, end + reach)
+    return user_journey(events, near, window_s)

@@ -10,22 +10,25 @@ from counterfoil.session import work_folder
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def drain(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def drain(
+    stream: DataFrame, name: str, path: str | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Process all files that are there, append the rows to a table, and give that table.
 
-    Offsets and state live in the shared work folder, so a restart goes on where
-    the run was interrupted.
+    Offsets and state are kept next to the table, so a later run on the same
+    `path` goes on with the files that have come since, also after a failure.
     """
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path = path or work_folder(spark, name)
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", work_folder(spark, f"{name}-state"))
+        .option("checkpointLocation", f"{path}-state")
         .option("path", path)
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 import json
 import os
+import re
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +87,34 @@ def test_journey_over_files(spark, tmp_path, tables):
     assert unmatched.count() > 500
     assert unmatched.exceptAll(batch).isEmpty()
     assert ours.groupBy("event_id").count().where("count > 1").isEmpty()
+
+
+def test_landing_goes_on_and_spans_join_up(spark, tmp_path, tables):
+    """Files that come after the first run are added; spans give what one batch gives."""
+    border = datetime(2024, 1, 15, 12, 30, tzinfo=UTC)
+
+    def landed(df, name, time_col):
+        source, table = str(tmp_path / name), str(tmp_path / f"{name}-landed")
+        df.where(F.col(time_col) < F.lit(border)).write.parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        first = streaming.land(stream, time_col, table).count()
+        df.where(F.col(time_col) >= F.lit(border)).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        result = streaming.land(stream, time_col, table)
+        assert 0 < first < result.count() == df.count()
+        return result
+
+    client = landed(tables.client, "client", "event_at")
+    server = landed(tables.server, "server", "transaction_at")
+    batch = user_journey(tables.client, tables.server)
+    ends = [datetime(2024, 1, d, tzinfo=UTC) for d in (1, 22, 31)]
+    ends = [ends[0], border, ends[1], ends[2]]
+    spans = [
+        streaming.journey_between(client, server, a, b) for a, b in zip(ends, ends[1:])
+    ]
+    ours = spans[0].unionByName(spans[1]).unionByName(spans[2])
+    assert ours.count() == batch.count()
+    assert ours.exceptAll(batch).isEmpty()
+    plan = spans[1]._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan)
+    assert filters and all("hour" in f for f in filters)
