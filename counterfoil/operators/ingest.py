@@ -169,8 +169,8 @@ def checks(df: DataFrame, feed: Feed) -> list[Check]:
 def record_id(df: DataFrame) -> Column:
     """First non-empty id of the record; null when it has none."""
     present = [key for key in ID_KEYS if key in df.columns]
-    schemas = {key: _schema(key) if f"_schema_{key}" in df.columns else None for key in present}
-    return F.coalesce(*[F.when(truthy(df, k, schema), text(df, k)) for k, schema in schemas.items()])
+    known = {key: _schema(key) for key in present if f"_schema_{key}" in df.columns}
+    return F.coalesce(*[F.when(truthy(df, k, known.get(k)), text(df, k)) for k in present])
 
 
 def _rows(

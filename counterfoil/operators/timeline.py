@@ -21,6 +21,15 @@ SECOND = 1_000_000
 PLACED = "user_id IS NOT NULL AND at_us IS NOT NULL"
 
 
+def cell_width(reach_us: int) -> int:
+    """Width of the cells for targets that matter `reach_us` before and after them.
+
+    Narrow cells spread a busy user further, wide ones copy fewer targets: here
+    two thirds of them go into a second cell.
+    """
+    return 3 * reach_us
+
+
 def cell_of(at_us: Column, width_us: int) -> Column:
     """Number of the time cell that holds an instant."""
     return ((at_us - F.pmod(at_us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
@@ -34,7 +43,7 @@ def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:
     has a target: smallest distance first, then earliest, then smallest id.
     """
     reach = window_s * SECOND
-    width = 6 * reach
+    width = cell_width(reach)
     at = F.col("at_us")
     asked = (
         probes.where(PLACED)
@@ -101,7 +110,6 @@ def count_before(rows: DataFrame, lookback_s: int) -> DataFrame:
     after the lookback has passed, so each cell is one pass.
     """
     lookback = lookback_s * SECOND
-    width = 2 * lookback
     at = F.col("at_us")
     folded = (
         rows.where(PLACED)
@@ -109,7 +117,8 @@ def count_before(rows: DataFrame, lookback_s: int) -> DataFrame:
         .agg(F.sum("weight").alias("weight"), F.bool_or("is_probe").alias("is_probe"))
     )
     weight = F.col("weight")
-    home, last = cell_of(at, width), cell_of(at + lookback, width)
+    # Cells as wide as the lookback: what enters in one cell leaves in the next.
+    home = cell_of(at, lookback)
 
     def entry(cell: Column, when_us: Column, order: int, change: Column) -> Column:
         return F.struct(
@@ -125,8 +134,8 @@ def count_before(rows: DataFrame, lookback_s: int) -> DataFrame:
     entries = F.array(
         F.when(F.col("is_probe"), entry(home, at, 0, F.lit(0))),
         F.when(active, entry(home, at, 1, weight)),
-        F.when(active & (last > home), entry(last, at, 1, weight)),
-        F.when(active, entry(last, at + lookback, 1, -weight)),
+        F.when(active, entry(home + 1, at, 1, weight)),
+        F.when(active, entry(home + 1, at + lookback, 1, -weight)),
     )
     running = (
         W.partitionBy("user_id", "cell")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.times import micros
 from counterfoil.operators.journey import CLIENT_COLUMNS, best_journey, transaction, user_journey
-from counterfoil.operators.timeline import SECOND, cell_of
+from counterfoil.operators.timeline import SECOND, cell_of, cell_width
 from counterfoil.streaming.run import drain
 
 # Fixed value: hours in this form sort as texts.
@@ -33,7 +33,7 @@ def stream_journey(
     `best_candidates` reduces the rows to one per event afterwards.
     """
     reach = window_s * SECOND
-    width = 6 * reach
+    width = cell_width(reach)
     event_us = micros(F.col("event_at"))
     transaction_us = micros(F.col("transaction_at"))
     events = client.select(*CLIENT_COLUMNS, cell_of(event_us, width).alias("cell"))

@@ -105,7 +105,10 @@ MARKETING_DAILY = daily("marketing", "conversion_definition_marketing", REPORTED
 
 
 def summary(report_date: str) -> str:
-    gap = "CAST(CAST(f.gross_revenue AS DECIMAL(24,6)) - CAST(m.gross_revenue AS DECIMAL(24,6)) AS DOUBLE)"
+    gap = (
+        "CAST(CAST(f.gross_revenue AS DECIMAL(24,6)) "
+        "- CAST(m.gross_revenue AS DECIMAL(24,6)) AS DOUBLE)"
+    )
     return f"""
 WITH {MART}, f AS ({FINANCE_DAILY}), m AS ({MARKETING_DAILY})
 SELECT {report_date} AS report_date,
@@ -367,7 +370,8 @@ totals AS (
   FROM mart),
 findings AS (
   SELECT 'R-ATTR' AS rule_id, n_failed AS n, failed AS amount,
-    printf('%d transactions without a completed payment have a purchase event; marketing counts %.2f for them.', n_failed, failed) AS description,
+    printf('%d transactions without a completed payment have a purchase event;'
+      || ' marketing counts %.2f for them.', n_failed, failed) AS description,
     'high' AS severity, 'ATTRIBUTION_ERROR' AS category,
     printf('%.2f of conversion credit without revenue.', failed) AS financial_impact,
     'Count a purchase event as a conversion only once its payment is completed.' AS recommended_fix,

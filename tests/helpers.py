@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 START = datetime(2026, 1, 1, 12, 0, 0)
 
-CLIENT_SCHEMA = "event_id string, user_id string, event_at timestamp, event_name string, event_value double"
+CLIENT_SCHEMA = (
+    "event_id string, user_id string, event_at timestamp, event_name string, event_value double"
+)
 SERVER_SCHEMA = (
     "transaction_id string, user_id string, client_event_id string, transaction_at timestamp, "
     "transaction_amount double, transaction_status string"
