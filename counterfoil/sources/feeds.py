@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 
 @dataclass(frozen=True)
 class Feed:
     """Rules for one feed.
 
-    `fields` maps each required key to the JSON types it may have; `enums` lists
-    the allowed texts of some keys; `key` holds the keys that identify a record
-    when duplicates are removed.
+    `fields` maps each required key to the JSON types it may have, `optional` the
+    same for keys that may be absent; `enums` lists the allowed texts of some
+    keys; `key` holds the keys that identify a record when duplicates are removed.
     """
 
     name: str
@@ -19,6 +19,12 @@ class Feed:
     fields: dict[str, tuple[str, ...]]
     enums: dict[str, tuple[str, ...]]
     key: tuple[str, ...]
+    optional: dict[str, tuple[str, ...]] = field(default_factory=dict)
+
+    @property
+    def types(self) -> dict[str, tuple[str, ...]]:
+        """The JSON types of all declared keys."""
+        return {**self.fields, **self.optional}
 
 
 # Record ids are looked up under these keys, in this order.

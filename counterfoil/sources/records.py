@@ -36,7 +36,7 @@ def read_records(
     large feeds should come as JSON Lines (`lines=True`), which split by block,
     or as many array files.
     """
-    keys = list(feed.fields) + [key for key in ID_KEYS if key not in feed.fields]
+    keys = list(feed.types) + [key for key in ID_KEYS if key not in feed.types]
     paths = path if isinstance(path, str) else list(path)
     return (
         spark.read.schema(", ".join(f"`{key}` variant" for key in keys))

@@ -15,7 +15,7 @@ def stream_records(
     spark: SparkSession, folder: str, feed: Feed, files_per_trigger: int | None = None
 ) -> DataFrame:
     """Raw records of JSON Lines files as they arrive, with `arrived_at`."""
-    reader = spark.readStream.schema(", ".join(f"`{key}` variant" for key in feed.fields))
+    reader = spark.readStream.schema(", ".join(f"`{key}` variant" for key in feed.types))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(folder).select(

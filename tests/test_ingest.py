@@ -1,6 +1,7 @@
 """Raw JSON records with hand-worked expectations."""
 
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -258,6 +259,21 @@ def test_checks_over_typed_columns(spark):
     assert [r.rec_id for r in drift_enum(table, CLIENT).collect()] == ["e2"]
 
 
+def test_optional_keys(spark, tmp_path):
+    feed = replace(SERVER, optional={"currency": ("str",)})
+    records = [
+        {**SERVER_RECORDS[0], "currency": "EUR"},
+        {**SERVER_RECORDS[2], "currency": None, "status": "failed", "amount": 1, "meta": {}},
+        {**SERVER_RECORDS[3], "currency": 978},
+        {**SERVER_RECORDS[3], "tx_id": "t4"},
+    ]
+    path = as_array(tmp_path / "t.json", records)
+    rows = drift(read_records(spark, path, feed), feed).collect()
+    assert [(r.rec_id, r.kind, r.field, r.actual) for r in rows] == [
+        ("t3", "TYPE_MISMATCH", "currency", "int")
+    ]
+
+
 def test_places_in_several_files(spark, tmp_path):
     for name in ("a", "b", "c"):
         as_lines(tmp_path / f"{name}.json", [{"event_id": f"{name}{i}"} for i in range(1, 6)])

@@ -180,3 +180,21 @@ def test_busy_user_is_spread_over_cells(spark):
     plan = journey._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in plan and "cell" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_one_cell_holds_everything(spark):
+    """Within a cell the work is one pass, not a comparison of all pairs."""
+    n = 300_000
+    rows = spark.range(n).selectExpr(
+        "'u' AS user_id", "1767225600000000 + id * 100 AS at_us", "1L AS weight", "true AS is_probe"
+    )
+    targets = spark.range(n).selectExpr(
+        "'u' AS user_id", "1767225600000000 + id * 100 + 30 AS at_us", "concat('t', id) AS id",
+        "named_struct('place', id) AS target",
+    )
+    found = nearest(rows, targets, 300).selectExpr(
+        "count(*) AS n", "count_if(target.place * 100 = at_us - 1767225600000000) AS right"
+    )
+    assert tuple(found.first()) == (n, n)
+    counted = count_before(rows, 3600).selectExpr("count(*) AS n", "sum(preceding) AS total")
+    assert tuple(counted.first()) == (n, n * (n - 1) // 2)
