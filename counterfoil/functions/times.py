@@ -5,58 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted ISO 8601 texts, with Z written as +00:00. A date (plain,
-# compact, or by week), then optionally any separator, a time and an offset.
-_CLOCK = r"(?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?|[0-5]\d(?:[0-5]\d(?:[.,]\d+)?)?)?"
-ISO_SHAPE = (
-    r"^(?!0000)(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?)"
-    rf"(?:.({_CLOCK})([+-]{_CLOCK})?)?$"
+# Accepted ISO 8601 texts. A date, plain or compact, then optionally
+# any separator, a time with parts left out at the end, and an offset or Z.
+_HOUR, _SIXTY = r"(?:[01]\d|2[0-3])", r"[0-5]\d"
+_TIME = (
+    rf"{_HOUR}(?::{_SIXTY}(?::{_SIXTY}(?:[.,]\d+)?)?|{_SIXTY}(?:{_SIXTY}(?:[.,]\d+)?)?)?"
+)
+_OFFSET = rf"(?:Z|[+-](?:0\d|1[0-7])(?::?{_SIXTY})?|[+-]18(?::?00)?)"
+ISO_SHAPE = rf"^(?!0000)(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?:.{_TIME}{_OFFSET}?)?$"
+
+# Rewriting steps towards yyyy-MM-ddTHH:mm:ss and an offset.
+_REWRITES = (
+    (r"^(\d{4})(\d\d)(\d\d)", "$1-$2-$3"),
+    (r"^(.{10}).(\d\d):?(\d\d)?:?(\d\d)?", "$1T$2:0$3:0$4"),
+    (r":0(\d\d)", ":$1"),
+    (r":0(?!\d)", ":00"),
+    (r"[.,](\d{1,6})\d*", ".$1"),
+    (r"(T.*[+-]\d\d):?(\d\d)?$", "$1:0$2"),
+    (r"(T.*[+-]\d\d:)0(\d\d)$", "$1$2"),
+    (r"(T.*[+-]\d\d:)0$", "$100"),
 )
-
-_DAY_US = 86_400_000_000
-
-
-def _clock_us(text: Column) -> Column:
-    """Microseconds since midnight of a time with any of its parts left out at the end."""
-    digits = F.rpad(F.regexp_replace(text, "[^0-9]", ""), 12, "0")
-    parts = ((1, 2, 3_600_000_000), (3, 2, 60_000_000), (5, 2, 1_000_000), (7, 6, 1))
-    values = [F.substring(digits, at, n).cast("bigint") * unit for at, n, unit in parts]
-    return values[0] + values[1] + values[2] + values[3]
-
-
-def _iso_day(text: Column) -> Column:
-    """The date of a calendar or week date; null if there is no such day."""
-    digits = F.regexp_replace(text, "[-W]", "")
-    calendar = F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("date")
-    year, week = F.substring(digits, 1, 4), F.substring(digits, 5, 2).cast("int")
-    place = F.coalesce(F.nullif(F.substring(digits, 7, 1), F.lit("")).cast("int"), F.lit(1))
-    first_monday = F.trunc(F.concat(year, F.lit("-01-04")).cast("date"), "week")
-    last_week = F.weekofyear(F.concat(year, F.lit("-12-28")).cast("date"))
-    by_week = F.when(
-        week.between(1, last_week) & place.between(1, 7),
-        F.date_add(first_monday, (week - 1) * 7 + place - 1),
-    )
-    return F.when(text.contains("W"), by_week).otherwise(calendar)
 
 
 def is_iso(text: Column) -> Column:
     """Whether a text has the shape of an ISO 8601 date or date and time."""
-    return F.regexp_replace(text, "Z", "+00:00").rlike(ISO_SHAPE)
+    return text.rlike(ISO_SHAPE)
 
 
 def iso_instant(text: Column) -> Column:
     """The instant of an ISO 8601 text, UTC where it names no offset; else null.
 
-    Covers the forms a cast does not read: compact, by week, without seconds,
-    other separators, any offset below a day.
+    Reads the forms a cast does not: compact ones, other separators, an offset
+    after a time without seconds.
     """
-    plain = F.regexp_replace(text, "Z", "+00:00")
-    date, clock, offset = (F.regexp_extract(plain, ISO_SHAPE, i) for i in (1, 2, 3))
-    sign = F.when(offset.startswith("-"), -1).otherwise(1)
-    since_epoch = F.unix_date(_iso_day(date)) * F.lit(_DAY_US)
-    return F.when(
-        date != "", F.timestamp_micros(since_epoch + _clock_us(clock) - sign * _clock_us(offset))
-    )
+    plain = text
+    for pattern, replacement in _REWRITES:
+        plain = F.regexp_replace(plain, pattern, replacement)
+    return F.when(is_iso(text), plain.try_cast("timestamp"))
 
 
 def micros(at: Column) -> Column:

@@ -123,9 +123,14 @@ def _schema(field: str) -> Column:
 
 
 def with_schemas(df: DataFrame, feed: Feed) -> DataFrame:
-    """Add the JSON schema of each declared field, so that no rule works it out again."""
-    present = [f for f in feed.types if f in df.columns]
-    return df.withColumns({f"_schema_{f}": json_schema(df, f) for f in present})
+    """Add what the rules ask more than once, so that it is worked out once per record.
+
+    The JSON schema of each declared field, and whether the timestamp reads.
+    """
+    facts = {f"_schema_{f}": json_schema(df, f) for f in feed.types if f in df.columns}
+    if "timestamp" in df.columns:
+        facts["_readable"] = is_iso(text(df, "timestamp")) & instant(df, "timestamp").isNotNull()
+    return df.withColumns(facts)
 
 
 def _missing(field: str, types: Sequence[str]) -> Check:
@@ -146,10 +151,10 @@ def _unknown_enum(df: DataFrame, field: str, allowed: Sequence[str]) -> Check:
     return Check(broken, "UNKNOWN_ENUM", field, listed, as_variant(df, field))
 
 
-def _bad_timestamp(df: DataFrame, field: str = "timestamp") -> Check:
-    readable = is_iso(text(df, field)) & instant(df, field).isNotNull()
-    broken = truthy(df, field, _schema(field)) & ~F.coalesce(readable, F.lit(False))
-    return Check(broken, "BAD_TIMESTAMP", field, "ISO 8601", as_variant(df, field))
+def _bad_timestamp(df: DataFrame) -> Check:
+    schema = _schema("timestamp")
+    broken = truthy(df, "timestamp", schema) & ~F.coalesce("_readable", F.lit(False))
+    return Check(broken, "BAD_TIMESTAMP", "timestamp", "ISO 8601", as_variant(df, "timestamp"))
 
 
 def checks(df: DataFrame, feed: Feed) -> list[Check]:
@@ -234,9 +239,9 @@ def drift_enum(df: DataFrame, feed: Feed) -> DataFrame:
     return _rows(df, feed, rules)
 
 
-def drift_timestamp(df: DataFrame, feed: Feed, field: str = "timestamp") -> DataFrame:
+def drift_timestamp(df: DataFrame, feed: Feed) -> DataFrame:
     """Only the check of the timestamp, also over typed columns."""
-    return _rows(df, feed, [_bad_timestamp(df, field)])
+    return _rows(df, feed, [_bad_timestamp(df)])
 
 
 # --- clean records ------------------------------------------------------------------
