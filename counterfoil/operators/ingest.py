@@ -52,18 +52,6 @@ def key_text(df: DataFrame, name: str) -> Column:
     )
 
 
-def _keyed(df: DataFrame, key_cols: Sequence[str], *columns: Column) -> tuple[DataFrame, list[str]]:
-    """The columns with the key of each record, and the names to group by.
-
-    A hash of the key leads, because numbers sort faster than long texts with the
-    same beginning; the texts behind it keep different keys apart.
-    """
-    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
-    texts = [key_text(df, c).alias(k) for k, c in zip(keys, key_cols)]
-    keyed = df.select(*texts, *columns).withColumn("_hash", F.xxhash64(*keys))
-    return keyed, ["_hash", *keys]
-
-
 def dedup(
     df: DataFrame, key_cols: Sequence[str], order_col: str = "pos", copies: str | None = None
 ) -> DataFrame:
@@ -74,15 +62,18 @@ def dedup(
     share of the feed does not gather anywhere. `copies` names a column for the
     number of records the kept one stands for.
     """
-    keyed, keys = _keyed(
-        df,
-        key_cols,
-        F.col(order_col).alias("_order"),
-        F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
-    )
+    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
     counted = [F.count(F.lit(1)).alias(copies)] if copies else []
     return (
-        keyed.groupBy(*keys)
+        df.select(
+            *[key_text(df, c).alias(k) for k, c in zip(keys, key_cols)],
+            F.col(order_col).alias("_order"),
+            F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
+        )
+        # Numbers sort faster than texts with the same beginning, so a hash leads;
+        # the texts behind it keep different keys apart.
+        .withColumn("_hash", F.xxhash64(*keys))
+        .groupBy("_hash", *keys)
         .agg(
             F.min_by("_record", "_order").alias("_record"),
             F.min("_order").alias(order_col),
@@ -278,17 +269,12 @@ def normalize_server(df: DataFrame) -> DataFrame:
 # --- counts -----------------------------------------------------------------------
 
 
-def _broken_rules(df: DataFrame, feed: Feed) -> Column:
-    broken = [F.when(rule.broken, 1).otherwise(0) for rule in checks(df, feed)]
-    return reduce(Column.__add__, broken).cast("bigint")
-
-
 def with_counts(records: DataFrame, feed: Feed) -> DataFrame:
     """First record per key, its `copies`, and how many `violations` it has."""
     kept = dedup(records, feed.key, copies="copies")
-    return with_schemas(kept, feed).select(
-        *kept.columns, _broken_rules(kept, feed).alias("violations")
-    )
+    broken = [F.when(rule.broken, 1).otherwise(0) for rule in checks(kept, feed)]
+    count = reduce(Column.__add__, broken).cast("bigint")
+    return with_schemas(kept, feed).select(*kept.columns, count.alias("violations"))
 
 
 def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
@@ -304,21 +290,9 @@ def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
-def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") -> DataFrame:
-    """The counts of one feed straight from its raw records.
-
-    Only key, position and number of violations of a record are shuffled.
-    """
-    keyed, keys = _keyed(
-        with_schemas(records, feed),
-        feed.key,
-        F.col(order_col).alias("_order"),
-        _broken_rules(records, feed).alias("_n"),
-    )
-    kept = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("copies"), F.min_by("_n", "_order").alias("violations")
-    )
-    return stats_of_kept(kept, feed)
+def extraction_stats(records: DataFrame, feed: Feed) -> DataFrame:
+    """The counts of one feed straight from its raw records."""
+    return stats_of_kept(with_counts(records, feed), feed)
 
 
 def total_violations(stats: DataFrame) -> DataFrame:
