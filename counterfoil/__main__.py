@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from counterfoil.plans import run_audit, run_extraction, run_models
+from counterfoil.plans import derive_models, extract_feeds, report_findings
 from counterfoil.session import build_session
 
 
@@ -33,12 +33,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session()
     if args.step == "extract":
-        run_extraction(spark, args.client, args.server, args.out, args.lines).show(truncate=False)
+        extract_feeds(spark, args.client, args.server, args.out, args.lines).show(truncate=False)
     elif args.step == "models":
-        for result in run_models(spark, args.clean, args.out, args.save_db, args.strict):
+        for result in derive_models(spark, args.clean, args.out, args.save_db, args.strict):
             result.show(truncate=False)
     else:
-        run_audit(spark, args.clean, args.mart, args.out, args.history).show(truncate=False)
+        report_findings(spark, args.clean, args.mart, args.out, args.history).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -1,7 +1,7 @@
 """Whole runs: extraction, models, audit."""
 
-from counterfoil.plans.audit import run_audit
-from counterfoil.plans.extraction import run_extraction
-from counterfoil.plans.models import build_models, run_models
+from counterfoil.plans.audit import report_findings
+from counterfoil.plans.extraction import extract_feeds
+from counterfoil.plans.models import build_models, derive_models
 
-__all__ = ["build_models", "run_audit", "run_extraction", "run_models"]
+__all__ = ["build_models", "derive_models", "extract_feeds", "report_findings"]

@@ -19,7 +19,7 @@ MART_SCHEMA = """
 """
 
 
-def run_audit(
+def report_findings(
     spark: SparkSession, clean: str, mart: str, out: str, history: str | None = None
 ) -> DataFrame:
     """Write the report below `out` and give it; `history` is an earlier report."""
@@ -28,5 +28,5 @@ def run_audit(
     exported = spark.read.schema(MART_SCHEMA).json(mart)
     earlier = spark.read.schema("description string").json(history) if history else None
     report = new_findings(verify(audit_findings(exported, client), client, server), earlier)
-    write_json(report, f"{out}/audit_report")
-    return spark.read.schema(report.schema).json(f"{out}/audit_report")
+    write_json(report, f"{out}/findings")
+    return spark.read.schema(report.schema).json(f"{out}/findings")

@@ -41,7 +41,7 @@ def _extract(
     )
 
 
-def run_extraction(
+def extract_feeds(
     spark: SparkSession, client_path: str, server_path: str, out: str, lines: bool = False
 ) -> DataFrame:
     """Write both clean tables and the violations below `out`; give the counts per feed."""

@@ -41,7 +41,7 @@ def build_models(
     }
 
 
-def run_models(
+def derive_models(
     spark: SparkSession, clean: str, out: str, db: str | None = None, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Register or save the models and export the mart; give row counts and the snapshot."""

@@ -3,7 +3,7 @@
 import json
 
 from counterfoil import __main__ as command
-from counterfoil.plans import run_audit, run_extraction, run_models
+from counterfoil.plans import derive_models, extract_feeds, report_findings
 from counterfoil.sources import CLIENT, SERVER, read_clean
 from tests.test_ingest import CLIENT_RECORDS, SERVER_RECORDS, as_array
 
@@ -17,7 +17,7 @@ def test_extract_models_audit(spark, tmp_path):
     server = as_array(tmp_path / "server.json", SERVER_RECORDS)
     out = tmp_path / "out"
 
-    counts = [tuple(r) for r in run_extraction(spark, client, server, str(out)).collect()]
+    counts = [tuple(r) for r in extract_feeds(spark, client, server, str(out)).collect()]
     assert counts == [("client_events", 5, 1, 6, 4), ("server_logs", 4, 1, 2, 3)]
     written = {r["event_id"]: r for r in lines(out / "client_events_clean")}
     assert written["e3"]["user_id"] == 7 and written[None]["properties"] == {}
@@ -35,7 +35,7 @@ def test_extract_models_audit(spark, tmp_path):
     found = lines(out / "schema_drift")
     assert len(found) == 8 and {"idx:4"} < {r["rec_id"] for r in found}
 
-    rows, snapshot = run_models(spark, str(out), str(out))
+    rows, snapshot = derive_models(spark, str(out), str(out))
     assert [tuple(r) for r in rows.collect()] == [
         ("stg_client_events", 4),
         ("stg_server_logs", 3),
@@ -52,31 +52,31 @@ def test_extract_models_audit(spark, tmp_path):
     assert mart["t1"]["client_reported_amount"] is None
     assert spark.table("mart_reconciliation").count() == 3
 
-    report = run_audit(spark, str(out), str(out / "mart_reconciliation"), str(out)).collect()
+    report = report_findings(spark, str(out), str(out / "mart_reconciliation"), str(out)).collect()
     assert [(r.anomaly_id, r.category, r.verdict) for r in report] == [
         ("A001", "DARK_REVENUE", "confirmed"),
         ("A002", "TRACKING_GAP", "confirmed"),
         ("A003", "REVENUE_VARIANCE", "confirmed"),
     ]
-    again = run_audit(
+    again = report_findings(
         spark,
         str(out),
         str(out / "mart_reconciliation"),
         str(tmp_path / "second"),
-        history=str(out / "audit_report"),
+        history=str(out / "findings"),
     )
     assert again.isEmpty()
 
 
 def test_models_as_tables(spark, tmp_path):
     out = str(tmp_path / "out")
-    run_extraction(
+    extract_feeds(
         spark,
         as_array(tmp_path / "client.json", CLIENT_RECORDS),
         as_array(tmp_path / "server.json", SERVER_RECORDS),
         out,
     )
-    rows, _ = run_models(spark, out, out, db="recon_test")
+    rows, _ = derive_models(spark, out, out, db="recon_test")
     assert rows.count() == 5
     assert spark.table("recon_test.int_user_journey").count() == 4
 
@@ -95,9 +95,9 @@ def test_empty_feeds(spark, tmp_path):
     client = as_array(tmp_path / "client.json", [])
     server = as_array(tmp_path / "server.json", [])
     out = str(tmp_path / "out")
-    counts = [tuple(r) for r in run_extraction(spark, client, server, out).collect()]
+    counts = [tuple(r) for r in extract_feeds(spark, client, server, out).collect()]
     assert counts == [("client_events", 0, 0, 0, 0), ("server_logs", 0, 0, 0, 0)]
     assert read_clean(spark, f"{out}/client_events_clean", CLIENT).count() == 0
     assert read_clean(spark, f"{out}/server_logs_clean", SERVER).count() == 0
-    rows, _ = run_models(spark, out, out)
+    rows, _ = derive_models(spark, out, out)
     assert {r.row_count for r in rows.collect()} == {0}
