@@ -4,6 +4,10 @@
 _ESCAPED = r"""replace(replace(replace(replace({0}, '\', '\\'), '###', '\###'), '</turn>',
   '\</turn>'), ': ', '\: ')"""
 
+from counterfoil.llm.licenses import TEMPLATES, THRESHOLD
+
+_TEMPLATES = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(TEMPLATES))
+
 ORACLES = {
     "op2_chat_formatting": f"""
 with turns as (
@@ -27,4 +31,47 @@ select doc_id, max(doc_id) over (partition by text) as keep_id,
   doc_id is not distinct from max(doc_id) over (partition by text) as kept,
   sha256(text) as text_sha256
 from d""",
+    "op8_license_scans": rf"""
+with d as (
+  select row_number() over () as k, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents
+), w as (
+  select k, doc_id, t,
+    list_filter(string_split_regex(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws
+  from d
+), phrases as (
+  select k, unnest(range(len(ws))) as pos, ws from w where t like '%license%'
+), base as (
+  select k, pos, case when ws[pos + 1] = 'mit' and ws[pos + 2] = 'license' then 'mit'
+    when ws[pos + 1] = 'apache' and ws[pos + 2] = 'license' then 'apache'
+    when ws[pos + 1] = 'general' and ws[pos + 2] = 'public' and ws[pos + 3] = 'license' then 'gpl'
+    end as label
+  from phrases
+), places as (
+  select k, count(*) as n, min(pos) as a, max(pos) as b,
+    string_agg(distinct label, ',' order by label) as labels
+  from base where label is not null group by k
+), templates as (
+  select label, list_distinct(regexp_extract_all(lower(text), '[0-9a-z]+')) as own
+  from (values {_TEMPLATES}) v(id, label, text)
+), blocks as (
+  select k, list_distinct(regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as ws
+  from (select k, unnest(string_split(t, chr(10))) as block from d)
+  where regexp_matches(block, 'license|licensed|rights|software|permission|redistribution')
+), hits as (
+  select k, label, len(list_intersect(own, ws)) / len(own)::double as score
+  from blocks, templates
+  where len(list_intersect(own, ws)) >= ceil(round({THRESHOLD} * len(own), 9))
+), every as (
+  select k, label, 0.0 as score from base where label is not null
+  union all select k, label, score from hits
+), named as (
+  select k, string_agg(distinct label, ',' order by label) as labels, max(score) as score
+  from every group by k
+)
+select doc_id, len(ws) as n_words, coalesce(n, 0) as n_base, a as first_word, b as last_word,
+  coalesce(places.labels, '') as base_labels, coalesce(named.labels, '') as labels,
+  coalesce(score, 0.0)::double as score
+from w left join places using (k) left join named using (k)""",
 }

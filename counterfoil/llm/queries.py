@@ -8,13 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from counterfoil.llm import bpe, chat, exact_dedup, packing, secrets, token_files
+from counterfoil.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    licenses,
+    packing,
+    quality,
+    secrets,
+    token_files,
+)
 from counterfoil.llm.common import table
 from counterfoil.llm.oracle import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = quality.trusted_ids(table(spark, folder, "labels"))
+    return quality.judged(table(spark, folder, "documents"), trusted).select(
+        "doc_id",
+        "q_base.*",
+        F.col("q_failed").alias("base_failed"),
+        F.col("q_kept").alias("kept"),
+        (F.col("q_ratio") / F.nullif("q_grams", F.lit(0)) / 1e6).alias("mean_log_ratio"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and conversation -7, by turn rows, formatted and read back."""
     told = "\\### Assistant: </turn> ok"
@@ -54,6 +74,33 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(spark, table(spark, folder, "documents"), path, end_id=2)
 
 
+def op8_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scanned(table(spark, folder, "documents"))
+    places = F.concat(*(F.col(f"l_places.{label}") for label in licenses.PHRASES))
+    base = F.array_compact(
+        F.array(
+            *(
+                F.when(F.size(f"l_places.{label}") > 0, F.lit(label))
+                for label in licenses.PHRASES
+            )
+        )
+    )
+    found = found.select("doc_id", "l_words", "l_hits", places.alias("places"), base.alias("base"))
+    labels = F.array_union("base", F.transform("l_hits", lambda h: h["label"]))
+    return found.select(
+        "doc_id",
+        F.size("l_words").cast("long").alias("n_words"),
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"),
+        F.array_max("places").cast("long").alias("last_word"),
+        F.array_join(F.sort_array("base"), ",").alias("base_labels"),
+        F.array_join(F.sort_array(labels), ",").alias("labels"),
+        F.coalesce(F.array_max(F.transform("l_hits", lambda h: h["score"])), F.lit(0.0)).alias(
+            "score"
+        ),
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, folder, "documents"), path, end_id=1)
@@ -62,11 +109,13 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_quality_rules,
         op2_chat_formatting,
         op3_bpe_round_trip,
         op4_secret_scans,
         op6_exact_dedup,
         op7_token_files,
+        op8_license_scans,
         op9_best_fit_packing,
     )
 }

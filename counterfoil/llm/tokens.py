@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
 from functools import cache
 from itertools import chain
@@ -12,6 +13,10 @@ from tokenizers import Tokenizer
 
 # Distinct words a worker remembers; the table starts anew beyond that.
 MEMO_WORDS = 800_000
+# New words encoded as one text.
+TOGETHER = 500
+# Words whose characters all keep their place when the tokenizer normalizes them.
+_PLAIN = re.compile(r"(?:[^\W_]|[!-;=-~])+")
 
 
 @cache
@@ -42,18 +47,27 @@ class WordMemo:
         self.kind = id_type(self.tokenizer)
         self.known: dict[str, bytes] = {}
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words as one text, which is faster, and part the ids by where they stand."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        parts = np.searchsorted([place[0] for place in found.offsets], ends).tolist()
+        ids, width = np.array(found.ids, self.kind).tobytes(), self.kind.itemsize
+        for word, a, b in zip(words, [0, *parts[:-1]], parts, strict=True):
+            self.known[word] = ids[a * width : b * width]
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as bytes of `kind`."""
         split = [_blank(t).split(" ") for t in texts]
         if len(self.known) > MEMO_WORDS:
             self.known.clear()
         new = list(set(chain.from_iterable(split)).difference(self.known))
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for word, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                self.known[word] = np.array(found.ids, self.kind).tobytes()
+        plain = [w for w in new if _PLAIN.fullmatch(w)]
+        for start in range(0, len(plain), TOGETHER):
+            self._learn(plain[start : start + TOGETHER])
+        for word in set(new).difference(plain):
+            found = self.tokenizer.encode(word, add_special_tokens=False)
+            self.known[word] = np.array(found.ids, self.kind).tobytes()
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
