@@ -13,9 +13,11 @@ from counterfoil.llm import (
     chat,
     exact_dedup,
     licenses,
+    near_dedup,
     packing,
     quality,
     secrets,
+    suffixes,
     token_files,
 )
 from counterfoil.llm.common import table
@@ -65,6 +67,10 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, folder, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
 
@@ -106,6 +112,10 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), path, end_id=1)
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,9 +123,11 @@ QUERIES: dict[str, Query] = {
         op2_chat_formatting,
         op3_bpe_round_trip,
         op4_secret_scans,
+        op5_suffix_dedup,
         op6_exact_dedup,
         op7_token_files,
         op8_license_scans,
         op9_best_fit_packing,
+        op10_near_dedup,
     )
 }
