@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from counterfoil.llm.common import named
+from counterfoil.llm.quality import only_once
 
 # Phrases and labels of the base scan.
 PHRASES = {
@@ -111,7 +112,7 @@ def scanned(
     docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     threshold: float = THRESHOLD, separator: str = "\n", text_col: str = "text",
 ) -> DataFrame:
-    """docs with l_words, the places of each base phrase in l_places, and l_hits.
+    """docs with l_n_words, the places of each base phrase in l_places, and l_hits.
 
     l_hits: array of (label, score) of every template that some block meets, score being
     the share of the template's words in its best block.
@@ -129,16 +130,13 @@ def scanned(
     ).withColumn("l_words", words_in(F.col("l_text")))
     words = F.col("l_words")
     none = F.array().cast("array<int>")
-    prepared = prepared.withColumn(
-        "l_places",
-        F.struct(
-            *(
-                F.when(F.array_contains(words, phrase[-1]), _phrase_places(words, phrase))
-                .otherwise(none)
-                .alias(label)
-                for label, phrase in PHRASES.items()
-            )
-        ),
+    places = F.struct(
+        *(
+            F.when(F.array_contains(words, phrase[-1]), _phrase_places(words, phrase))
+            .otherwise(none)
+            .alias(label)
+            for label, phrase in PHRASES.items()
+        )
     )
     # template words of each block, rarest first, of documents with any prefix word
     blocks = F.filter(
@@ -177,9 +175,12 @@ def scanned(
         for (label, own), prefix, need in zip(sets, prefixes, needs, strict=True)
     ]
     found = F.filter(F.array(*hits), lambda h: h["score"] >= h["need"] - 1e-9)
+    no_hits = F.array().cast("array<struct<label: string, score: double, need: double>>")
     return prepared.withColumn(
-        "l_hits",
-        F.when(F.size("l_blocks") > 0, found).otherwise(
-            F.array().cast("array<struct<label: string, score: double, need: double>>")
+        "l",
+        only_once(
+            F.size("l_words").cast("long").alias("l_n_words"),
+            places.alias("l_places"),
+            F.when(F.size("l_blocks") > 0, found).otherwise(no_hits).alias("l_hits"),
         ),
-    )
+    ).select(*map(named, docs.columns), "l.*")

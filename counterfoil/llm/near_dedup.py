@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import Columns, id_and_text, map_columns, written
+from counterfoil.llm.common import Columns, id_and_text, map_columns, named, written
 from counterfoil.llm.graph import components
 from counterfoil.llm.words import mixed, window_hashes, word_hashes
 
@@ -219,7 +219,7 @@ def _new(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
 def near_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), kept.
+    """One row per document: doc_id, class_id (smallest doc_id of its class), kept, text_hash.
 
     Equal texts are folded first, by content hash. Then come ROUNDS rounds: each bucket of
     texts with a common sketch picks one of its texts, another one each round, and
@@ -259,6 +259,18 @@ def near_classes(
         "text_hash", F.coalesce("label", "id").alias("class_id")
     )
     return found.select("doc_id", "text_hash").join(per_text, "text_hash", "left").select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+        "doc_id",
+        "class_id",
+        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+        F.lower(F.hex("text_hash")).alias("text_hash"),
     )
 
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stand for their class, all columns as they came."""
+    marks = near_classes(docs, id_col, text_col).where("kept")
+    marks = marks.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).distinct()
+    own = F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")))
+    same = named(id_col).eqNullSafe(F.col("m_id")) & (own == F.col("m_hash"))
+    return docs.join(marks, same, "left_semi")
+

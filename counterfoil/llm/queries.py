@@ -91,11 +91,11 @@ def op8_license_scans(spark: SparkSession, folder: str) -> DataFrame:
             )
         )
     )
-    found = found.select("doc_id", "l_words", "l_hits", places.alias("places"), base.alias("base"))
+    found = found.select("doc_id", "l_n_words", "l_hits", places.alias("places"), base.alias("base"))
     labels = F.array_union("base", F.transform("l_hits", lambda h: h["label"]))
     return found.select(
         "doc_id",
-        F.size("l_words").cast("long").alias("n_words"),
+        F.col("l_n_words").alias("n_words"),
         F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"),
         F.array_max("places").cast("long").alias("last_word"),

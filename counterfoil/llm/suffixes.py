@@ -3,17 +3,18 @@
 Of all suffixes (by words) only those are kept that start at a minimiser: the smallest
 of WINDOW neighbouring k-mer hashes. Equal passages of MIN_WORDS words have a minimiser
 at the same place within their first WINDOW words, so the suffixes there agree in
-PREFIX words. Suffixes are sorted by that prefix over the whole corpus; neighbours with
-equal prefixes are compared, runs of neighbours that keep their distance are joined, and
-each run is extended word by word to the left and to the right. What reaches MIN_WORDS
-words is a repeated passage of both documents; passages that overlap in a document are
+PREFIX words. Suffixes are sorted by that prefix, then by what follows it, over the whole corpus;
+neighbours with
+equal prefixes are compared, runs of neighbours that keep their distance are joined,
+and each run is extended word by word to the left and to the right. What reaches
+MIN_WORDS words is a repeated passage of both documents; passages that overlap in a document are
 reported as one.
 
-Each suffix meets its two neighbours only, so a passage in a third of all documents
-costs one comparison per document. Passages that all documents of a group share are
-found in each of them. Where three or more texts agree around a word to different
+Each suffix meets NEAR neighbours on each side only, so a passage in a third of all
+documents costs NEAR comparisons per document. Passages that all documents of a group
+share are found in each of them. Where several texts agree around a word to different
 lengths, two of them may have others between them at every minimiser of their passage;
-such a passage can be missed if it is shorter than 50 + WINDOW words.
+such a passage can be missed if it is not much longer than MIN_WORDS words.
 
 Definite results: a null text is the empty text; null ids are kept; rows that repeat
 both id and text count as one document; texts of fewer than MIN_WORDS words have no
@@ -34,13 +35,18 @@ from counterfoil.llm.words import window_hashes, word_hashes
 
 MIN_WORDS, KMER, WINDOW = 50, 5, 20
 PREFIX = MIN_WORDS - WINDOW + 1
+NEAR = 2  # so many neighbours on each side are compared
 CONTEXT = WINDOW - 1  # a longer extension would meet the next minimiser
 NO_ID = -(1 << 63)
 
 _SUFFIX = pa.schema(
-    [("key", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64()), ("pos", pa.int32())]
-)
-_SUFFIX_TYPE = "key long, doc long, hash long, pos int"
+    [
+        ("key", pa.int64()), ("next", pa.int32()), ("doc", pa.int64()), ("hash", pa.int64()),
+        ("pos", pa.int32()),
+    ]
+)
+_SUFFIX_TYPE = "key long, next int, doc long, hash long, pos int"
+_ORDER = ["key", "next", "doc", "hash", "pos"]
 _PAIR = pa.schema([*_SUFFIX, ("doc2", pa.int64()), ("hash2", pa.int64()), ("pos2", pa.int32())])
 
 
@@ -61,7 +67,8 @@ def minimisers(words: np.ndarray) -> np.ndarray:
 
 
 def sparse_suffixes(docs: DataFrame) -> DataFrame:
-    """Kept suffixes: key (hash of the prefix), doc, hash (of the text), pos."""
+    """Kept suffixes: key (hash of the prefix), next (hash of what follows it up to
+    MIN_WORDS words), doc, hash (of the text), pos."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,15 +78,18 @@ def sparse_suffixes(docs: DataFrame) -> DataFrame:
                 places = minimisers(words)
                 if len(places):
                     keys = window_hashes(words, PREFIX)[places].view(np.int64)
-                    parts.append((keys, doc, own, places))
+                    later = window_hashes(words, MIN_WORDS)
+                    later = np.r_[later, np.zeros(MIN_WORDS, np.uint64)][places]
+                    parts.append((keys, later.astype(np.uint32).view(np.int32), doc, own, places))
             if parts:
                 sizes = [len(p[0]) for p in parts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([p[0] for p in parts])),
-                        pa.array(np.repeat([p[1] for p in parts], sizes)),
+                        pa.array(np.concatenate([p[1] for p in parts])),
                         pa.array(np.repeat([p[2] for p in parts], sizes)),
-                        pa.array(np.concatenate([p[3] for p in parts]).astype(np.int32)),
+                        pa.array(np.repeat([p[3] for p in parts], sizes)),
+                        pa.array(np.concatenate([p[4] for p in parts]).astype(np.int32)),
                     ],
                     schema=_SUFFIX,
                 )
@@ -94,46 +104,48 @@ def _neighbours(suffixes: DataFrame) -> DataFrame:
     prefix are spread over as many partitions as they fill. Each partition also gives its
     first and last suffix (without a partner), which are compared among themselves.
     """
-    order = ["key", "doc", "hash", "pos"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch[c].to_numpy(zero_copy_only=False) for c in range(4)]
+            now = [batch[c].to_numpy(zero_copy_only=False) for c in range(len(_ORDER))]
             if last is None:
                 yield _rows([c[:1] for c in now], None)
-                left, right = [c[:-1] for c in now], [c[1:] for c in now]
-            else:
-                left = [np.concatenate([p, c[:-1]]) for p, c in zip(last, now, strict=True)]
-                right = now
-            last = [c[-1:].copy() for c in now]
-            same = left[0] == right[0]
-            same &= ~((left[1] == right[1]) & (left[2] == right[2]) & (left[3] == right[3]))
-            if same.any():
-                yield _rows([c[same] for c in left], [c[same] for c in right[1:]])
+                last = [c[:0] for c in now]
+            new = len(now[0])
+            now = [np.concatenate([p, c]) for p, c in zip(last, now, strict=True)]
+            for away in range(1, NEAR + 1):
+                start = max(0, len(now[0]) - new - away)
+                left = [c[start : len(c) - away] for c in now]
+                right = [c[start + away :] for c in now]
+                same = left[0] == right[0]
+                same &= ~np.logical_and.reduce([a == b for a, b in zip(left[2:], right[2:])])
+                if same.any():
+                    yield _rows([c[same] for c in left], [c[same] for c in right[2:]])
+            last = [c[-NEAR:].copy() for c in now]
         if last is not None:
-            yield _rows(last, None)
+            yield _rows([c[-1:] for c in last], None)
 
     def _rows(own: list[np.ndarray], other: list[np.ndarray] | None) -> pa.RecordBatch:
         if other is None:
-            rest = [pa.nulls(len(own[0]), f.type) for f in list(_PAIR)[4:]]
+            rest = [pa.nulls(len(own[0]), f.type) for f in list(_PAIR)[len(_ORDER) :]]
         else:
             rest = [pa.array(c) for c in other]
         return pa.RecordBatch.from_arrays([*map(pa.array, own), *rest], schema=_PAIR)
 
-    ranged = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = suffixes.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
     found = written(
         ranged.mapInArrow(compare, _SUFFIX_TYPE + ", doc2 long, hash2 long, pos2 int"), "neighbours"
     )
     # two rows per partition, whatever the table
-    along = Window.orderBy(*order)
+    along = Window.orderBy(*_ORDER)
     ends = found.where("doc2 IS NULL").select(
-        *order, *(F.lead(c).over(along).alias(f"{c}2") for c in order)
+        *_ORDER, *(F.lead(c).over(along).alias(f"{c}2") for c in _ORDER)
     )
     across = ends.where("key = key2 AND NOT (doc = doc2 AND hash = hash2 AND pos = pos2)")
-    return found.where("doc2 IS NOT NULL").unionByName(across.drop("key2"))
+    return found.where("doc2 IS NOT NULL").unionByName(across.drop("key2", "next2"))
 
 
 def _runs(pairs: DataFrame) -> DataFrame:

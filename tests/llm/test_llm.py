@@ -1,0 +1,388 @@
+"""The training-data operators against SQL, brute force, round trips and odd input."""
+
+from __future__ import annotations
+
+import json
+import math
+import random
+import re
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from counterfoil.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    licenses,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    suffixes,
+    token_files,
+)
+from counterfoil.llm.queries import ORACLES, QUERIES
+from counterfoil.llm.tokens import word_memo
+from tests.llm import brute
+
+SMALL = "/root/testdata/sf0.001"
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+rng = random.Random(11)
+VOCABULARY = ["".join(rng.choices("abcdeéß", k=rng.randint(1, 7))) for _ in range(400)]
+
+
+def prose(n: int) -> str:
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+LONG = prose(4000)
+BASE = prose(300).split()
+ODD = [
+    (1, LONG), (2, LONG), (3, None), (4, ""), (5, "one"), (6, " \n\t "), (None, prose(60)),
+    (7, "tie tie tie tie"), (7, "tie tie tie tie"), (8, "same id"), (8, "other text"),
+    (9, " ".join(BASE)), (10, " ".join([*BASE[:150], "changed", *BASE[151:]])),
+    (11, prose(20) + " " + " ".join(BASE[40:95]) + " " + prose(20)),
+    (12, "Released under the\nMIT License. GNU General Public License\nAll rights reserved."),
+    (13, 'password = "hunter2Fgh8z"\nkey = "Zk9#fQ2mPx"\nsecret = key\nAKIA' + "A1" * 8),
+    (14, "a" * 70000), (15, "|\0́ <|endoftext|> İΣ " * 40),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows and ids, further columns with own names."""
+    rows = [(k, t, "en", "s", len(t or ""), "x", [1], None) for k, t in ODD]
+    return spark.createDataFrame(
+        rows, DOCS + ", q_words string, l_blocks array<int>, label string"
+    ).withColumnRenamed("label", "key")
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.where("false")
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    return {r.doc_id: r.text for r in rows}
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_same_as_sql(spark, name, sf):
+    folder = f"/root/testdata/{sf}"
+    found = QUERIES[name](spark, folder)
+    with duckdb.connect() as db:
+        for path in Path(folder).glob("*.parquet"):
+            db.sql(f"create view {path.stem} as select * from '{path}'")
+        wanted = db.sql(f"select {', '.join(found.columns)} from ({ORACLES[name]})").fetchall()
+    assert sorted(map(repr, rows(found))) == sorted(map(repr, wanted))
+
+
+def test_quality_against_brute_force(spark, small):
+    labels = {
+        r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").collect()
+    }
+    ratios = brute.mean_ratios(small, labels, quality.BUCKETS)
+    found = QUERIES["op1_quality_rules"](spark, SMALL).collect()
+    good = [math.trunc(1e6 * ratios[r.doc_id]) for r in found if r.doc_id in labels and not r.base_failed]
+    least = np.mean(good) - quality.DEVIATIONS * np.std(good)
+    for r in found:
+        base = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert base == brute.base_counts(small[r.doc_id])
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert r.base_failed == failed
+        mean = ratios.get(r.doc_id)
+        assert r.mean_log_ratio == pytest.approx(mean)
+        if abs(1e6 * (mean or 0) - least) > 10:
+            assert r.kept == (not failed and 1e6 * mean >= least)
+
+
+def test_quality_keeps_good_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen = QUERIES["op1_quality_rules"](spark, folder).join(labels, "doc_id").where("NOT base_failed")
+    share = dict(seen.groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect())
+    assert share[1] == 1.0
+    assert share[0] < 0.5
+
+
+def test_quality_of_odd_rows(odd, none):
+    trusted = odd.select(F.col("doc_id").alias("trusted_id")).where("trusted_id < 3")
+    plain = odd
+    found = quality.judged(plain, trusted)
+    assert found.count() == len(ODD)
+    assert found.select("q_base.*").where("n_words = 0").count() == 3
+    assert quality.judged(none, trusted).count() == 0
+    assert quality.judged(plain, trusted.where("false")).where("q_ratio <> 0").count() == 0
+
+
+def test_chat_layouts():
+    known = chat.registry()
+    turns = [("user", "hi"), ("assistant", "yes")]
+    for record in (
+        {"messages": [{"role": r, "content": t} for r, t in turns]},
+        {"id": "7", "conversations": [{"from": "human", "value": "hi"}, {"from": "gpt", "value": "yes"}]},
+        {"prompt": "hi", "response": "yes"},
+        {"instruction": "hi", "output": "yes"},
+        {"data": {"question": "hi", "answer": "yes", "id": 3}},
+    ):
+        assert chat.canonical(record, known)[2] == turns
+    assert chat.canonical({"instruction": "a", "input": "b", "output": None}, known)[2] == [
+        ("user", "a\nb"), ("assistant", ""),
+    ]
+    assert chat.canonical({"what": 1}, known) == (None, None, [])
+    assert chat.canonical([1], known)[0] is None
+
+
+def test_chat_round_trip():
+    pieces = ["\\", "###", "### ", "</turn>", "\n", ": ", ":", " ", "x", "é", "### assistant: "]
+    for _ in range(2000):
+        turns = [
+            (rng.choice(["user", "assistant", "a: b", "\\", ""]), "".join(rng.choices(pieces, k=rng.randint(0, 8))))
+            for _ in range(rng.randint(0, 4))
+        ]
+        text, mask = chat.render(turns)
+        assert chat.parse(text) == turns
+        assert [chat.unescape(text[a:b]) for a, b in mask] == [t for r, t in turns if r == "assistant"]
+
+
+def test_chat_of_odd_rows(spark):
+    records = [
+        (1, json.dumps({"conv_id": 1, "turn": 1, "role": "assistant", "text": None})),
+        (1, json.dumps({"conv_id": 1, "turn": 0, "role": None, "text": "q"})),
+        (1, json.dumps({"conv_id": 1, "turn": 0, "role": None, "text": "q"})),
+        (2, "no json"), (2, None), (None, json.dumps({"prompt": "a", "response": "b"})),
+    ]
+    df = spark.createDataFrame(records, "conv_id long, record string")
+    turns = chat.canonical_turns(df)
+    found = {r.conv_id: r for r in chat.formatted_chats(turns).collect()}
+    assert chat.parse(found[1].formatted) == [("", "q"), ("", "q"), ("assistant", "")]
+    assert found[2].formatted == ""
+    assert len(chat.parse(found[None].formatted)) == 2
+    assert chat.formatted_chats(turns.where("false")).count() == 0
+
+
+def test_bpe_is_exact():
+    own, tokenizer = bpe.encoder(BYTES), Tokenizer.from_file(BYTES)
+    pieces = [*"ab cd  's're'll\n\t   \x85　é中1234  ,.!'\"\0́\U0001f600\x1c", "'ve ", "<|endoftext|>"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 300))) for _ in range(3000)]
+    for text in [*texts, LONG, "a" * 5000, " " * 5000, "\n \n" * 900, "x " * 3000]:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == ids
+        assert bpe.decode(ids, BYTES) == tokenizer.decode(ids, skip_special_tokens=False) == text
+
+
+def test_bpe_query(spark, small, odd, none):
+    tokenizer = Tokenizer.from_file(BYTES)
+    for r in QUERIES["op3_bpe_round_trip"](spark, SMALL).collect():
+        ids = tokenizer.encode(small[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), brute.sha(",".join(map(str, ids))))
+        assert r.decoded_sha256 == brute.sha(small[r.doc_id])
+    found = bpe.encoded(odd, BYTES)
+    assert sorted((r[0] or 0, bpe.decode(r[1], BYTES)) for r in rows(found)) == sorted(
+        (k or 0, t or "") for k, t in ODD
+    )
+    assert bpe.encoded(none, BYTES).count() == 0
+
+
+def test_word_memo_is_exact():
+    own, tokenizer = word_memo(WORDS), Tokenizer.from_file(WORDS)
+    pieces = [*"ab cd  's\n\t   \x85é中12 ,.!́\U0001f600\x1cİKͅ", "ΑΣ ΣΑΣ", "<|startoftext|>"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 60))) for _ in range(3000)] + [LONG]
+    for text, found in zip(texts, own.encode(texts), strict=True):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(found, own.kind).tolist() == ids
+
+
+def _crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_files(spark, small, odd, none):
+    tokenizer, at = Tokenizer.from_file(WORDS), 0
+    wanted = []
+    for k in sorted(small):
+        ids = [*tokenizer.encode(small[k], add_special_tokens=False).ids, 2]
+        wanted.append((k, at, len(ids), _crc(ids)))
+        at += len(ids)
+    assert sorted(rows(QUERIES["op7_token_files"](spark, SMALL))) == wanted
+    parts = token_files.write_token_files(odd, WORDS, 2)
+    found = token_files.read_token_files(parts, with_ids=True).collect()
+    assert len(found) == len(ODD)
+    assert all(r.ids[-1] == 2 and len(r.ids) == r.n_tokens for r in found)
+    ordered = sorted(found, key=lambda r: r.start)
+    assert [r.doc_id for r in ordered] == sorted((k for k, _ in ODD), key=lambda k: (k is not None, k))
+    assert sum(r.n_tokens for r in found) == ordered[-1].start + ordered[-1].n_tokens
+    assert token_files.read_token_files(token_files.write_token_files(none, WORDS, 2)).count() == 0
+
+
+def test_secrets_base_and_literals():
+    text = (
+        'k = "hunter2Fgh8z"\npassword = k\nclientSecret: \'abC9\' + k\nexport DB_PASS=Tr0ub4dor3x\n'
+        'note: hello world\ntoken = "changeme123"\napi_key = token: abcdefghijklmnop\nPASSWD=x\n'
+    )
+    spans = secrets.listed(secrets.base_spans(text) + secrets.literal_spans(text))
+    words = {text[a:b] for kind, a, b in spans if kind == "literal"}
+    assert {"hunter2Fgh8z", "Tr0ub4dor3x"} <= words
+    assert not {"hello", "changeme123"} & words
+    for m in re.finditer("[0-9a-f]+", LONG):
+        assert len(m[0]) < 16 or ("hex", *m.span()) in secrets.base_spans(LONG)
+    assert secrets.literal_spans(LONG) == []
+    assert "hunter2Fgh8z" not in secrets.masked(text)
+    assert secrets.masked(LONG) == LONG
+
+
+def test_secrets_of_odd_rows(spark, odd, none):
+    found = {r.doc_id: r for r in secrets.find_secrets(odd).collect()}
+    assert [s.kind for s in found[13].base] == ["assign", "access"]
+    assert len([s for s in found[13].spans if s.kind == "literal"]) == 2
+    assert found[3].spans == []
+    assert secrets.redacted(odd).where("text IS NULL").count() == 1
+    assert secrets.redacted(odd).columns == odd.columns
+    assert secrets.find_secrets(none).count() == 0
+    assert QUERIES["op4_secret_scans"](spark, SMALL).count() == 200
+
+
+def test_exact_dedup_of_odd_rows(odd, none):
+    found = exact_dedup.exact_groups(odd, keep="largest").collect()
+    assert len(found) == len(ODD)
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in found if r.group_size > 1} == {
+        (1, 2, 2), (2, 2, 2), (3, 4, 2), (4, 4, 2), (7, 7, 2),
+    }
+    for keep, out in (("largest", {1, 3}), ("smallest", {2, 4})):
+        kept = exact_dedup.deduplicated(odd, keep=keep)
+        assert kept.columns == odd.columns
+        ids = [r.doc_id for r in kept.collect()]
+        assert len(ids) == len(ODD) - 3 and not out & set(ids)
+    assert exact_dedup.exact_groups(none).count() == exact_dedup.deduplicated(none).count() == 0
+
+
+def test_near_dedup_against_brute_force(spark, small):
+    found = {r.doc_id: r.class_id for r in QUERIES["op10_near_dedup"](spark, SMALL).collect()}
+    assert found == brute.near_classes(small)
+
+
+def test_near_dedup_of_odd_rows(odd, none):
+    found = near_dedup.near_classes(odd).collect()
+    assert len(found) == len(ODD)
+    by_id = {r.doc_id: r.class_id for r in found if r.doc_id not in (None, 7, 8)}
+    assert by_id[2] == 1 and by_id[4] == 3 and by_id[10] == 9 and by_id[11] == 11
+    assert near_dedup.near_classes(none).count() == 0
+    assert near_dedup.deduplicated(odd).columns == odd.columns
+    assert near_dedup.deduplicated(odd).count() == len(ODD) - 3
+
+
+def test_common_in_order():
+    for _ in range(2000):
+        a = [rng.randint(0, 6) for _ in range(rng.randint(0, 25))]
+        b = [x if rng.random() < 0.8 else rng.randint(0, 6) for x in a if rng.random() < 0.9]
+        wanted = brute.longest_common(a, b)
+        for least in (0, wanted):
+            found = near_dedup.common_in_order(np.array(a, np.uint64), np.array(b, np.uint64), least)
+            assert found == wanted
+
+
+def test_repeated_passages_against_brute_force(spark, small):
+    wanted = brute.repeated_words(small, suffixes.MIN_WORDS)
+    found = {}
+    for r in QUERIES["op5_suffix_dedup"](spark, SMALL).collect():
+        assert r.n_words == r.end_word - r.start_word >= suffixes.MIN_WORDS
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert all(found[k] <= wanted[k] for k in found)
+    assert sum(map(len, found.values())) >= 0.999 * sum(map(len, wanted.values()))
+
+
+def test_repeated_passages_of_odd_rows(odd, none):
+    found = suffixes.repeated_passages(odd).collect()
+    spans = {(r.doc_id, r.start_word, r.end_word) for r in found}
+    assert (11, 20, 75) in spans
+    assert (1, 0, 4000) in spans and (2, 0, 4000) in spans
+    assert suffixes.repeated_passages(none).count() == 0
+
+
+def test_licenses_of_odd_rows(odd, none):
+    found = licenses.scanned(odd)
+    assert found.count() == len(ODD)
+    hit = {r.doc_id: r for r in found.collect()}[12]
+    assert hit.l_places.mit == [3] and hit.l_places.gpl == [6]
+    assert [h.label for h in hit.l_hits] == ["all-rights-reserved"]
+    assert licenses.scanned(none).count() == 0
+
+
+def _check_packing(found, capacity):
+    used = {}
+    for r in found:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in used.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(used)
+
+
+def test_packing(spark, small, odd, none):
+    found = QUERIES["op9_best_fit_packing"](spark, SMALL).collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    pieces = {}
+    for k, text in small.items():
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        for p, s in enumerate(range(0, len(ids), 4096)):
+            pieces[k, p] = (s, len(ids[s : s + 4096]), _crc(ids[s : s + 4096]))
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in found} == pieces
+    total = sum(r.length for r in found)
+    assert _check_packing(found, 4096) <= -(-total // 4096) + 1
+    odd_found = packing.packed(odd, WORDS, 1, capacity=128).collect()
+    assert len({(r.doc_id, r.piece) for r in odd_found}) < len(odd_found)  # repeated ids stay
+    _check_packing(odd_found, 128)
+    assert packing.packed(none, WORDS, 1).count() == 0
+    ids = packing.cut(odd.where("doc_id < 7"), WORDS, 1, with_ids=True)
+    filled = packing.sequences(ids, packing.pack(ids)).collect()
+    assert sum(len(r.ids) for r in filled) == ids.agg(F.sum("length")).first()[0]
+
+
+def test_best_two_fit_swaps_the_smallest():
+    bins = packing.best_two_fit(np.array([60, 30, 25, 14]), 100)
+    assert sorted(map(sorted, bins)) == [[14, 25, 60], [30]]
+
+
+def test_pipeline(spark, small):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = {r.doc_id for r in QUERIES["op1_quality_rules"](spark, SMALL).where("kept").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, SMALL)
+        assert docs.dtypes == before.dtypes
+        now = {r.doc_id: r.text for r in docs.collect()}
+        if name == "quality_rules":
+            assert set(now) == kept
+            last = now
+        elif name == "exact_dedup":
+            assert sorted(now) == sorted({t: k for k, t in sorted(last.items())}.values())
+            last = now
+        elif name == "near_dedup":
+            classes = brute.near_classes(last)
+            assert set(now) == set(classes.values())
+            last = now
+        else:
+            assert now == {k: secrets.masked(t) for k, t in last.items()}
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    assert {r.doc_id for r in found} == set(last)
+    _check_packing(found, packing.CAPACITY)
