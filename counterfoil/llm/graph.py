@@ -9,14 +9,14 @@ from counterfoil.llm.common import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links (a, b) to (id, label): the smallest id of each component, for ids with links.
+    """written links (a, b) to (id, label): the smallest id of each component, for ids with links.
 
     Every round takes the smallest label among neighbours and then the label of that
     label, so paths shorten by half at least; rounds go on until nothing changes. Labels
     are written each round, nothing is collected but the count of changes.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = written(both.where("a <> b").distinct(), "edges")
+    edges = both.where("a <> b")
     labels = written(
         edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")),
         "labels",

@@ -35,7 +35,7 @@ SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 4
 # Buckets of so many texts are compared in full at the end.
 SMALL = 32
-ROUNDS = 3
+ROUNDS, CENTERS = 2, 3
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 # Elements of the table of hashes worked on at once.
 _AT_ONCE = 1 << 18
@@ -192,13 +192,21 @@ def _as_pairs(both: DataFrame, least: float) -> DataFrame:
 
 
 def _center_pairs(placed: DataFrame, turn: int, least: float) -> DataFrame:
-    """The first center is the smallest id, which is often what the others were copied from."""
-    lead = F.xxhash64("id", "key", F.lit(turn)) if turn else F.lit(0).cast("long")
-    own = F.struct(lead, "id", "n", "label")
-    centers = placed.groupBy("key").agg(F.min(own).alias("c")).select(
+    """Each text with CENTERS texts of its bucket, other ones each round.
+
+    The smallest id is one of them at first: it is often what the others were copied from.
+    """
+    text = F.struct("id", "n", "label")
+    picks = [
+        F.min(F.struct(F.xxhash64("id", "key", F.lit(turn * CENTERS + k)).alias("h"), text.alias("t")))["t"]
+        for k in range(1, CENTERS)
+    ]
+    first = F.min(text) if turn == 0 else F.max(text)
+    centers = placed.groupBy("key").agg(F.array(first, *picks).alias("centers"))
+    each = centers.select("key", F.explode(F.array_distinct("centers")).alias("c")).select(
         "key", F.col("c.id").alias("c"), F.col("c.n").alias("n_c"), F.col("c.label").alias("label_c")
     )
-    return _as_pairs(placed.join(centers, "key"), least)
+    return _as_pairs(placed.join(each, "key"), least)
 
 
 def _cross_pairs(placed: DataFrame, least: float) -> DataFrame:
@@ -222,10 +230,11 @@ def near_classes(
     """One row per document: doc_id, class_id (smallest doc_id of its class), kept, text_hash.
 
     Equal texts are folded first, by content hash. Then come ROUNDS rounds: each bucket of
-    texts with a common sketch picks one of its texts, another one each round, and
-    compares it with those of the bucket that are in another class so far. A round costs
-    one comparison per text and bucket at most, however large the bucket. Buckets of at
-    most SMALL texts that still hold several classes are then compared in full. A link
+    texts with a common sketch picks CENTERS of its texts, other ones each round, and
+    compares them with those of the bucket that are in another class so far. A round costs
+    CENTERS comparisons per text and bucket at most, however large the bucket. Buckets of
+    at most SMALL texts that still hold several classes after the rounds before the last
+    are compared in full. A link
     goes unseen only if its texts share large buckets alone, meet no common center in
     any of them in any round, and are not joined through other texts either.
     """
@@ -244,16 +253,17 @@ def near_classes(
 
     placed = buckets.withColumn("label", F.col("id"))
     links = compared = None
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            pairs = _new(_center_pairs(placed, turn, least), compared)
-        else:
-            pairs = _new(_cross_pairs(placed.where(F.col("members") <= SMALL), least), compared)
+    for turn in range(ROUNDS):
+        pairs = _center_pairs(placed, turn, least)
+        if turn == ROUNDS - 1:
+            small = placed.where(F.col("members") <= SMALL)
+            pairs = pairs.unionByName(_cross_pairs(small, least))
+        pairs = _new(pairs, compared)
         more = written(_verified(pairs, texts, plain, least), "links")
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = more if links is None else links.unionByName(more)
         labels = components(links)
-        if turn < ROUNDS:
+        if turn < ROUNDS - 1:
             placed = _placed(buckets, labels)
     per_text = texts.join(labels, "id", "left").select(
         "text_hash", F.coalesce("label", "id").alias("class_id")
