@@ -57,14 +57,18 @@ def number(df: DataFrame, name: str, strict: bool = False) -> Column:
 
 
 def instant(df: DataFrame, name: str, strict: bool = False) -> Column:
-    """The column as a timestamp. Texts are cast, and only what a cast cannot read is parsed."""
+    """The column as a timestamp. Texts are read where they are ISO 8601 and in no other case."""
     if not is_variant(df, name) and not isinstance(df.schema[name].dataType, T.StringType):
         return read_as(df, name, "timestamp", strict)
-    steps = [read_as(df, name, "timestamp"), iso_instant(text(df, name))]
+    as_text = text(df, name)
+    found = iso_instant(as_text)
+    if is_variant(df, name):
+        is_text = is_json(json_schema(df, name), "str")
+        found = F.when(is_text, found).otherwise(read_as(df, name, "timestamp"))
     if strict:
-        # Reached by unreadable values only, and raises for them.
-        steps.append(text(df, name).cast("timestamp"))
-    return F.coalesce(*steps)
+        why = F.concat(F.lit("no ISO 8601 timestamp: "), as_text)
+        found = F.coalesce(found, F.when(as_text.isNotNull(), F.raise_error(why).cast("timestamp")))
+    return found
 
 
 def json_schema(df: DataFrame, name: str) -> Column:

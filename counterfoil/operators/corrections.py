@@ -64,7 +64,7 @@ def session_check(client: DataFrame, minutes: int = 60) -> DataFrame:
     """Purchase events with the browsing of the same user in the minutes before.
 
     The span includes its start and excludes the purchase itself. Purchases
-    without a user or a time have no preceding activity.
+    without a user, a time or an event id have no preceding activity.
     """
     name = F.col("event_name")
     events = client.withColumn("at_us", micros(F.col("event_at")))
@@ -79,7 +79,7 @@ def session_check(client: DataFrame, minutes: int = 60) -> DataFrame:
         ),
         minutes * 60,
     )
-    found = F.coalesce("preceding", F.lit(0))
+    found = F.when(F.col("event_id").isNull(), 0).otherwise(F.coalesce("preceding", F.lit(0)))
     return attach(events.where(is_purchase), counts, F.col("event_id")).select(
         *client.columns,
         (found > 0).alias("has_preceding_session_activity"),

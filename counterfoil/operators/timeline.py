@@ -32,7 +32,7 @@ def cell_width(reach_us: int) -> int:
 
 def cell_of(at_us: Column, width_us: int) -> Column:
     """Number of the time cell that holds an instant."""
-    return ((at_us - F.pmod(at_us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
+    return F.call_function("div", at_us - F.pmod(at_us, F.lit(width_us)), F.lit(width_us))
 
 
 def nearest(probes: DataFrame, targets: DataFrame, window_s: int) -> DataFrame:

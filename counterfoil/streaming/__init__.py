@@ -1,7 +1,14 @@
 """Structured Streaming forms of deduplication and time matching."""
 
 from counterfoil.streaming.dedup import stream_dedup, stream_records
-from counterfoil.streaming.journey import best_candidates, journey_between, land, stream_journey
+from counterfoil.streaming.journey import (
+    best_candidates,
+    journey_between,
+    land,
+    landed_span,
+    stream_journey,
+    untimed_journey,
+)
 from counterfoil.streaming.run import drain
 
 __all__ = [
@@ -9,7 +16,9 @@ __all__ = [
     "drain",
     "journey_between",
     "land",
+    "landed_span",
     "stream_dedup",
     "stream_journey",
     "stream_records",
+    "untimed_journey",
 ]

@@ -8,7 +8,7 @@ and `journey_between` matches the hours that are complete in linear time.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,15 +61,45 @@ def stream_journey(
     )
 
 
-def best_candidates(candidates: DataFrame) -> DataFrame:
-    """The journey rows from what `stream_journey` has written so far."""
+def best_candidates(candidates: DataFrame, client: DataFrame | None = None) -> DataFrame:
+    """The journey rows from what `stream_journey` has written so far.
+
+    An event that waits for the watermark, or has no time, is not written by the stream.
+    Given the staged events, such events appear as unmatched.
+    """
+    if client is not None:
+        candidates = candidates.unionByName(_unmatched(client, candidates))
     return best_journey(candidates)
 
 
-def land(stream: DataFrame, time_col: str, path: str) -> DataFrame:
-    """Append a staged stream to a table partitioned by the hour of `time_col`."""
+def _unmatched(client: DataFrame, like: DataFrame) -> DataFrame:
+    return client.select(*CLIENT_COLUMNS, F.lit(None).cast(like.schema["tx"].dataType).alias("tx"))
+
+
+def land(stream: DataFrame, time_col: str, path: str, files_per_hour: int = 1) -> DataFrame:
+    """Append a staged stream to a table partitioned by the hour of `time_col`.
+
+    A run adds at most `files_per_hour` files to an hour; raise it for feeds whose hours
+    are too large for one task. Rows without a time lie in an hour of their own (null).
+    """
     by_hour = stream.withColumn("hour", F.date_format(time_col, HOUR))
-    return drain(by_hour, "landed", path, partition_by="hour")
+    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(files_per_hour))
+    return drain(by_hour.repartition("hour", salt), "landed", path, partition_by="hour")
+
+
+def landed_span(client: DataFrame) -> tuple[datetime, datetime] | None:
+    """Start of the first and end of the last hour that has landed; None if there is none."""
+    hour = F.to_timestamp("hour", HOUR)
+    first, last = client.agg(F.unix_seconds(F.min(hour)), F.unix_seconds(F.max(hour))).first()
+    if first is None:
+        return None
+    return tuple(datetime.fromtimestamp(s, UTC) for s in (first, last + 3600))
+
+
+def untimed_journey(client: DataFrame, server: DataFrame) -> DataFrame:
+    """The journey rows of landed events without a time, all unmatched."""
+    like = server.select(transaction(server).alias("tx"))
+    return best_journey(_unmatched(client.where("hour IS NULL"), like))
 
 
 def _within(table: DataFrame, time_col: str, start: datetime, end: datetime) -> DataFrame:
@@ -87,8 +117,8 @@ def journey_between(
 
     Give the bounds with a time zone. Complete once transactions up to `end` plus
     the window have landed. Spans
-    next to each other give together what one batch over all of them gives, as
-    long as event ids do not repeat.
+    next to each other, from `landed_span`, give together with `untimed_journey` what
+    one batch over all of them gives, as long as event ids do not repeat.
     """
     reach = timedelta(seconds=window_s)
     events = _within(client, "event_at", start, end).where(F.col("event_at") < F.lit(end))

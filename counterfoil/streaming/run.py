@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame
 
 from counterfoil.session import work_folder
 
-# Keeps state on disk instead of in the executor heap.
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def drain(
     stream: DataFrame, name: str, path: str | None = None, partition_by: str | None = None
@@ -19,7 +16,6 @@ def drain(
     `path` goes on with the files that have come since, also after a failure.
     """
     spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     path = path or work_folder(spark, name)
     writer = (
         stream.writeStream.format("parquet")

@@ -593,5 +593,5 @@ SELECT DISTINCT CASE WHEN numeric_user THEN user_id ELSE {quoted('user_id')} END
   {quoted('event_name')} AS event_name, {quoted('sent')} AS timestamp
 FROM raw""",
     "stream_landed_journey": f"WITH {STAGED} {JOURNEY}",
-    "stream_journey": f"WITH {STAGED} SELECT * FROM ({JOURNEY}) WHERE transaction_id IS NOT NULL",
+    "stream_journey": f"WITH {STAGED} {JOURNEY}",
 }

@@ -208,3 +208,17 @@ def test_samples(mart):
 def test_row_counts(mart):
     counts = marts.model_row_counts({"a": mart, "b": mart.limit(2)}).collect()
     assert [tuple(r) for r in counts] == [("a", 9), ("b", 2)]
+
+
+def test_session_check_without_event_id(spark):
+    """A purchase without an id has no preceding activity, whatever its user did."""
+    from counterfoil.operators.corrections import session_check
+
+    client = spark.sql(
+        "SELECT * FROM VALUES ('e1', 'u', timestamp'2024-01-01 10:00:00', 'page_view', 0d),"
+        " (null, 'u', timestamp'2024-01-01 10:10:00', 'purchase_intent', 1d),"
+        " ('e3', 'u', timestamp'2024-01-01 10:20:00', 'purchase_intent', 1d)"
+        " AS t(event_id, user_id, event_at, event_name, event_value)"
+    )
+    found = {r.event_id: r.preceding_event_count for r in session_check(client).collect()}
+    assert found == {None: 0, "e3": 1}

@@ -87,6 +87,14 @@ def test_journey_over_files(spark, tmp_path, tables):
     assert unmatched.count() > 500
     assert unmatched.exceptAll(batch).isEmpty()
     assert ours.groupBy("event_id").count().where("count > 1").isEmpty()
+    # with the staged events, one of them without a time, nothing is missing
+    some = tables.client.limit(1).select(
+        *[F.lit(None).cast("timestamp").alias(c) if c == "event_at" else F.concat(c, F.lit("-x")).alias(c) if c == "event_id" else F.col(c) for c in tables.client.columns]
+    )
+    staged = tables.client.unionByName(some)
+    whole = streaming.best_candidates(candidates, staged)
+    expected = user_journey(staged, tables.server)
+    assert whole.count() == expected.count() and whole.exceptAll(expected).isEmpty()
 
 
 def test_landing_goes_on_and_spans_join_up(spark, tmp_path, tables):

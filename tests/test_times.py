@@ -85,6 +85,19 @@ def test_staging_reads_what_is_not_flagged(spark):
     assert {t: rows[t] for t in readable} == readable
 
 
+FLAGGED = ("T12:30", "12:30", "2026", "2026-1-5", " 2026-01-05 ", "2026-01-05T10:00:00 America/New_York")
+
+
+def test_staging_reads_nothing_that_is_flagged(spark):
+    texts = [t for t in [*TEXTS, *FLAGGED] if t and standard(t) is None]
+    table = spark.createDataFrame(
+        [(t, t, "u", "completed", 1.0, None) for t in texts],
+        "tx_id string, timestamp string, user_id string, status string, amount double, ext_id string",
+    ).withColumn("_extracted_at", F.current_timestamp())
+    assert set(FLAGGED) <= set(texts)
+    assert stg_server_logs(table).where("transaction_at IS NOT NULL").isEmpty()
+
+
 moments = st.datetimes(min_value=datetime(1, 1, 2), max_value=datetime(9999, 12, 30))
 
 
