@@ -21,6 +21,7 @@ from counterfoil.llm import (
     bpe,
     chat,
     exact_dedup,
+    graph,
     licenses,
     near_dedup,
     packing,
@@ -386,3 +387,16 @@ def test_pipeline(spark, small):
     found = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in found} == set(last)
     _check_packing(found, packing.CAPACITY)
+
+
+def test_components(spark):
+    for size in (0, 1, 40):
+        links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(size)]
+        links += [(100 + k, 101 + k) for k in range(size)]  # a long path
+        label = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+        for _ in links:
+            for a, b in links:
+                if a != b:
+                    label[a] = label[b] = min(label[a], label[b])
+        found = graph.components(spark.createDataFrame(links, "a long, b long"))
+        assert dict(rows(found)) == label
