@@ -202,11 +202,22 @@ def _center_pairs(placed: DataFrame, turn: int, least: float) -> DataFrame:
         for k in range(1, CENTERS)
     ]
     first = F.min(text) if turn == 0 else F.max(text)
-    centers = placed.groupBy("key").agg(F.array(first, *picks).alias("centers"))
-    each = centers.select("key", F.explode(F.array_distinct("centers")).alias("c")).select(
-        "key", F.col("c.id").alias("c"), F.col("c.n").alias("n_c"), F.col("c.label").alias("label_c")
+    centers = placed.groupBy("key").agg(F.array_distinct(F.array(first, *picks)).alias("centers"))
+    # a text has at most SKETCHES buckets, so what it meets is bounded; each center once
+    met = (
+        placed.join(centers, "key")
+        .groupBy("id", "n", "label")
+        .agg(F.array_distinct(F.flatten(F.collect_list("centers"))).alias("met"))
     )
-    return _as_pairs(placed.join(each, "key"), least)
+    open_ = F.filter("met", lambda t: t["label"] != F.col("label"))
+    each = met.select("id", "n", "label", F.explode(open_).alias("t"))
+    return _as_pairs(
+        each.select(
+            "id", "n", "label",
+            F.col("t.id").alias("c"), F.col("t.n").alias("n_c"), F.col("t.label").alias("label_c"),
+        ),
+        least,
+    )
 
 
 def _cross_pairs(placed: DataFrame, least: float) -> DataFrame:
