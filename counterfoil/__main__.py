@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     extract.add_argument("--server", required=True)
     extract.add_argument("--out", required=True)
     extract.add_argument("--lines", action="store_true", help="JSON Lines, not one array per file")
+    extract.add_argument("--strict", action="store_true", help="fail on unreadable records")
 
     models = steps.add_parser("models", help="clean tables to marts")
     models.add_argument("--clean", required=True)
@@ -33,7 +34,10 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session()
     if args.step == "extract":
-        extract_feeds(spark, args.client, args.server, args.out, args.lines).show(truncate=False)
+        counts = extract_feeds(
+            spark, args.client, args.server, args.out, args.lines, args.strict
+        )
+        counts.show(truncate=False)
     elif args.step == "models":
         for result in derive_models(spark, args.clean, args.out, args.save_db, args.strict):
             result.show(truncate=False)

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from counterfoil.functions.money import in_money
+from counterfoil.functions.values import text
 from counterfoil.sources.feeds import CLIENT
 
 # Severity and category of each rule, in report order.
@@ -80,7 +81,7 @@ def _figures(totals: DataFrame, *figures: Column) -> DataFrame:
 
 
 def _session_figure(client: DataFrame) -> DataFrame:
-    starts = client.agg(F.count_if(F.col("event_name") == "session_start").alias("n"))
+    starts = client.agg(F.count_if(text(client, "event_name") == "session_start").alias("n"))
     return _figures(starts, _figure("R-GAP", F.col("n"), F.lit(None)))
 
 
@@ -155,7 +156,12 @@ def _per_rule(texts: dict[str, Column | str]) -> Column:
 
 
 def audit_findings(mart: DataFrame, client: DataFrame) -> DataFrame:
-    """One row per rule that fires, with its figures; `client` is the staged table."""
+    """One row per rule that fires, with its figures.
+
+    `client` is the clean table (raw event names), so that a gap that only comes from
+    the way names are written is not confirmed from the staged one; it may be the staged
+    table as well.
+    """
     figures = _mart_figures(mart).unionByName(_session_figure(client))
     fires = (
         F.when(F.col("rule_id").isin("R-ATTR", "R-DARK"), F.col("n") > 0)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from counterfoil.functions.money import LIMIT, fits
 from counterfoil.functions.times import is_iso
 from counterfoil.functions.values import (
     as_variant,
@@ -18,6 +19,7 @@ from counterfoil.functions.values import (
     is_variant,
     json_name,
     json_schema,
+    number,
     shown,
     text,
     truthy,
@@ -30,6 +32,8 @@ MISSING = "MISSING_FIELD field=%s record=%s"
 MISMATCH = "TYPE_MISMATCH field=%s expected=%s actual=%s record=%s"
 UNKNOWN = "UNKNOWN_ENUM field=%s value=%s allowed=%s record=%s"
 BAD_TIME = "BAD_TIMESTAMP value=%s record=%s"
+TOO_LARGE = "AMOUNT_OUT_OF_RANGE field=%s value=%s record=%s"
+UNREADABLE = "UNREADABLE_RECORD record=%s"
 
 
 # --- duplicates -----------------------------------------------------------------
@@ -148,6 +152,11 @@ def _bad_timestamp(df: DataFrame) -> Check:
     return Check(broken, "BAD_TIMESTAMP", "timestamp", "ISO 8601", as_variant(df, "timestamp"))
 
 
+def _too_large(df: DataFrame, field: str, amount: Column) -> Check:
+    value = amount.cast("variant")
+    return Check(~fits(amount), "AMOUNT_OUT_OF_RANGE", field, f"below {LIMIT:.0e}", value)
+
+
 def checks(df: DataFrame, feed: Feed) -> list[Check]:
     """All rules that apply to the columns of `df`, in report order."""
     found: list[Check] = []
@@ -159,6 +168,11 @@ def checks(df: DataFrame, feed: Feed) -> list[Check]:
     found += [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]
     if "timestamp" in df.columns:
         found.append(_bad_timestamp(df))
+    if "amount" in df.columns:
+        found.append(_too_large(df, "amount", number(df, "amount")))
+    if "properties" in df.columns and is_variant(df, "properties"):
+        value = F.try_variant_get("properties", "$.value", "double")
+        found.append(_too_large(df, "properties.value", value))
     return found
 
 
@@ -208,6 +222,10 @@ def _rows(
                 F.col("kind") == "UNKNOWN_ENUM",
                 F.format_string(UNKNOWN, "field", "value", "expected", rec),
             )
+            .when(
+                F.col("kind") == "AMOUNT_OUT_OF_RANGE",
+                F.format_string(TOO_LARGE, "field", "value", rec),
+            )
             .otherwise(F.format_string(BAD_TIME, "value", rec)),
         )
     )
@@ -224,6 +242,23 @@ def drift(df: DataFrame, feed: Feed, records: DataFrame | None = None) -> DataFr
     return _rows(df, feed, checks(df, feed), records)
 
 
+def unreadable(landed: DataFrame, feed: Feed) -> DataFrame:
+    """One violation per landed row that is no JSON object, named by its place, with its text."""
+    found = number_records(landed.where("unreadable IS NOT NULL"), landed.select("pos"))
+    rec = F.concat(F.lit("idx:"), F.col("record_no").cast("string"))
+    none = F.lit(None).cast("string")
+    return found.select(
+        F.lit(feed.name).alias("source"),
+        rec.alias("rec_id"),
+        F.lit("UNREADABLE_RECORD").alias("kind"),
+        none.alias("field"),
+        F.col("unreadable").alias("value"),
+        F.lit("JSON object").alias("expected"),
+        none.alias("actual"),
+        F.format_string(UNREADABLE, rec).alias("message"),
+    )
+
+
 def drift_enum(df: DataFrame, feed: Feed) -> DataFrame:
     """Only the check of allowed texts, also over typed columns."""
     rules = [_unknown_enum(df, f, a) for f, a in feed.enums.items() if f in df.columns]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from counterfoil.functions.money import fits
 from counterfoil.functions.values import instant, is_variant, number, text
 
 
@@ -28,8 +29,18 @@ def _bag_text(clean: DataFrame) -> Column:
     return F.to_json("properties", {"ignoreNullFields": "false"})
 
 
+def summable(amount: Column, strict: bool = False) -> Column:
+    """The amount; one too large for exact sums counts as unreadable."""
+    found = F.when(fits(amount), amount)
+    if strict:
+        why = F.concat(F.lit("amount out of range: "), amount.cast("string"))
+        found = F.when(~fits(amount), F.raise_error(why).cast("double")).otherwise(amount)
+    return found
+
+
 def event_value(clean: DataFrame, strict: bool = False) -> Column:
-    return F.coalesce(_property(clean, "value", "double", strict), F.lit(0.0))
+    value = _property(clean, "value", "double", strict)
+    return F.coalesce(summable(value, strict), F.lit(0.0))
 
 
 def stg_client_events(clean: DataFrame, strict: bool = False) -> DataFrame:
@@ -70,7 +81,7 @@ def stg_server_logs(clean: DataFrame, strict: bool = False) -> DataFrame:
         text(clean, "user_id", strict).alias("user_id"),
         F.when(F.trim(link) != "", link).alias("client_event_id"),
         instant(clean, "timestamp", strict).alias("transaction_at"),
-        F.coalesce(number(clean, "amount", strict), F.lit(0.0)).alias("transaction_amount"),
+        F.coalesce(summable(number(clean, "amount", strict), strict), F.lit(0.0)).alias("transaction_amount"),
         F.lower(text(clean, "status", strict)).alias("transaction_status"),
         F.lit("server").alias("_source"),
         F.col("_extracted_at").cast("timestamp").alias("_extracted_at"),

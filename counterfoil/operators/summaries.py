@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.money import in_money
 from counterfoil.functions.values import number, text, truthy
-from counterfoil.operators.staging import event_value
+from counterfoil.operators.staging import event_value, summable
 
 
 def _or_zero(amount: Column) -> Column:
@@ -101,7 +101,7 @@ def summary_server(clean: DataFrame) -> DataFrame:
     rows = clean.select(
         truthy(clean, "ext_id").alias("linked"),
         text(clean, "status").alias("status"),
-        _or_zero(number(clean, "amount")).alias("amount"),
+        _or_zero(summable(number(clean, "amount"))).alias("amount"),
     )
     unlinked = ~F.col("linked")
     return rows.agg(

@@ -23,10 +23,11 @@ def report_findings(
     spark: SparkSession, clean: str, mart: str, out: str, history: str | None = None
 ) -> DataFrame:
     """Write the report below `out` and give it; `history` is an earlier report."""
-    client = stg_client_events(read_clean(spark, f"{clean}/{CLIENT.name}_clean", CLIENT))
+    events = read_clean(spark, f"{clean}/{CLIENT.name}_clean", CLIENT)
+    client = stg_client_events(events)
     server = stg_server_logs(read_clean(spark, f"{clean}/{SERVER.name}_clean", SERVER))
-    exported = spark.read.schema(MART_SCHEMA).json(mart)
+    exported = spark.read.schema(MART_SCHEMA).option("mode", "FAILFAST").json(mart)
     earlier = spark.read.schema("description string").json(history) if history else None
-    report = new_findings(verify(audit_findings(exported, client), client, server), earlier)
+    report = new_findings(verify(audit_findings(exported, events), client, server), earlier)
     write_json(report, f"{out}/findings")
     return spark.read.schema(report.schema).json(f"{out}/findings")

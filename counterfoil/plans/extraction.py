@@ -11,41 +11,60 @@ from counterfoil.operators.ingest import (
     normalize_server,
     record_id,
     stats_of_kept,
+    unreadable,
     with_counts,
 )
 from counterfoil.plans.tables import written
 from counterfoil.sources.feeds import CLIENT, SERVER, Feed
-from counterfoil.sources.records import read_records
+from counterfoil.sources.records import land_records, readable
 from counterfoil.sources.sinks import write_json
 
 NORMALIZE = {"client": normalize_client, "server": normalize_server}
 
 
 def _extract(
-    spark: SparkSession, path: str, feed: Feed, out: str, lines: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Write the clean table of one feed; give its violations and counts.
+    spark: SparkSession, path: str, feed: Feed, out: str, lines: bool, strict: bool
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write the clean table of one feed; give its violations, unreadable texts and counts.
 
     The feed is parsed and shuffled once. What is left after deduplication is
     written down, and clean records, violations and counts are read from there.
     """
-    records = read_records(spark, path, feed, lines)
-    kept = written(with_counts(records, feed), feed.name)
+    landed = land_records(spark, path, feed, lines, strict)
+    kept = written(with_counts(readable(landed), feed), feed.name)
     write_json(NORMALIZE[feed.source](kept), f"{out}/{feed.name}_clean")
-    # Places in the file need a second look at the feed, so only if a violating
-    # record has no id to be named by.
+    # Places in the file need a second look at the landed feed, so only if a
+    # violating record has no id to be named by.
     nameless = kept.where(record_id(kept).isNull() & (F.col("violations") > 0))
     return (
-        drift(kept, feed, None if nameless.isEmpty() else records),
+        drift(kept, feed, None if nameless.isEmpty() else landed),
+        unreadable(landed, feed),
         stats_of_kept(kept, feed),
     )
 
 
 def extract_feeds(
-    spark: SparkSession, client_path: str, server_path: str, out: str, lines: bool = False
+    spark: SparkSession,
+    client_path: str,
+    server_path: str,
+    out: str,
+    lines: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    """Write both clean tables and the violations below `out`; give the counts per feed."""
-    client_drift, client_stats = _extract(spark, client_path, CLIENT, out, lines)
-    server_drift, server_stats = _extract(spark, server_path, SERVER, out, lines)
-    write_json(client_drift.unionByName(server_drift), f"{out}/schema_drift")
+    """Write both clean tables and the violations below `out`; give the counts per feed.
+
+    What is no JSON object is neither a record nor a duplicate: it is listed with the
+    violations and counted per feed in `unreadable_records`; `strict` raises instead.
+    """
+    client_drift, client_broken, client_stats = _extract(
+        spark, client_path, CLIENT, out, lines, strict
+    )
+    server_drift, server_broken, server_stats = _extract(
+        spark, server_path, SERVER, out, lines, strict
+    )
+    broken = written(client_broken.unionByName(server_broken), "unreadable")
+    found = client_drift.unionByName(server_drift).unionByName(broken)
+    write_json(found, f"{out}/schema_drift")
+    counts = broken.groupBy("source").agg(F.count(F.lit(1)).alias("unreadable_records"))
+    write_json(counts, f"{out}/unreadable_records")
     return client_stats.unionByName(server_stats)

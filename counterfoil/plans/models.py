@@ -19,19 +19,30 @@ from counterfoil.sources.sinks import save_models, write_json
 
 
 def build_models(
-    client_clean: DataFrame, server_clean: DataFrame, strict: bool = False, write: bool = False
+    client_clean: DataFrame,
+    server_clean: DataFrame,
+    strict: bool = False,
+    write: bool = False,
+    db: str | None = None,
 ) -> dict[str, DataFrame]:
     """The five models by name, in the order in which they depend on each other.
 
     With `write` the tables that others read (both staging tables and the
-    reconciliation mart) are written to the shared work folder first.
+    reconciliation mart) are written to the shared work folder first; with `db` they
+    are saved as tables there instead, and the rest is built from those.
     """
-    keep = written if write else lambda df, _: df
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if db is not None:
+            save_models({name: df}, db)
+            return df.sparkSession.table(f"`{db}`.`{name}`")
+        return written(df, name) if write else df
+
     client = stg_client_events(client_clean, strict)
     # Purchase events next to each other let the mart skip most row groups.
-    client = keep(client.sortWithinPartitions("event_name") if write else client, "stg_client")
-    server = keep(stg_server_logs(server_clean, strict), "stg_server")
-    mart = keep(reconcile(server, client), "mart")
+    client = keep(client.sortWithinPartitions("event_name") if write or db else client, "stg_client_events")
+    server = keep(stg_server_logs(server_clean, strict), "stg_server_logs")
+    mart = keep(reconcile(server, client), "mart_reconciliation")
     return {
         "stg_client_events": client,
         "stg_server_logs": server,
@@ -50,9 +61,13 @@ def derive_models(
         read_clean(spark, f"{clean}/{SERVER.name}_clean", SERVER),
         strict,
         write=True,
+        db=db,
     )
-    save_models(models, db)
-    if db is not None:
-        models = {name: spark.table(f"`{db}`.`{name}`") for name in models}
+    if db is None:
+        save_models(models)
+    else:
+        rest = {n: models[n] for n in ("int_user_journey", "mart_revenue_summary")}
+        save_models(rest, db)
+        models |= {name: spark.table(f"`{db}`.`{name}`") for name in rest}
     write_json(models["mart_reconciliation"], f"{out}/mart_reconciliation")
     return model_row_counts(models), attribution_snapshot(models["mart_reconciliation"])

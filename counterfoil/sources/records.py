@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from counterfoil.session import work_folder
 from counterfoil.sources.feeds import ID_KEYS, Feed
 
 # Columns of the clean tables, in order.
@@ -23,27 +24,35 @@ CLEAN_SCHEMA = {
 }
 
 
-def read_records(
-    spark: SparkSession, path: str | Sequence[str], feed: Feed, lines: bool = False
+def land_records(
+    spark: SparkSession, path: str | Sequence[str], feed: Feed, lines: bool = False, strict: bool = False
 ) -> DataFrame:
-    """One row per JSON object, one VARIANT column per declared key, and `pos`.
+    """One row per JSON object, one VARIANT column per declared key, `unreadable` and `pos`.
 
     A declared key that is absent reads as SQL NULL, a JSON null as a variant
-    null; keys that are not declared are never parsed into the plan. `pos`
-    (file, block, row) sorts records in file order however the files were split.
+    null; keys that are not declared are never parsed into the plan. What is no
+    JSON object is a row with its text in `unreadable` and no keys: a line, or a
+    whole file with an array (a cut array gives no single records). `strict`
+    raises instead. `pos` (file, block, row) sorts records in file order however
+    the files were split.
 
-    A file holding one JSON array cannot be split, so one task parses it whole;
-    large feeds should come as JSON Lines (`lines=True`), which split by block,
-    or as many array files.
+    The feed is parsed once and written to the work folder, so places, records
+    and counts taken from the result agree even if files are split in another
+    way the next time. A file holding one JSON array cannot be split, so one task
+    parses it whole; large feeds should come as JSON Lines (`lines=True`), which
+    split by block, or as many array files.
     """
     keys = list(feed.types) + [key for key in ID_KEYS if key not in feed.types]
     paths = path if isinstance(path, str) else list(path)
-    return (
-        spark.read.schema(", ".join(f"`{key}` variant" for key in keys))
+    parsed = (
+        spark.read.schema(", ".join([*(f"`{key}` variant" for key in keys), "unreadable string"]))
+        .option("columnNameOfCorruptRecord", "unreadable")
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("multiLine", not lines)
         .json(paths)
         .select(
             *keys,
+            "unreadable",
             F.struct(
                 F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("block"),
@@ -51,6 +60,21 @@ def read_records(
             ).alias("pos"),
         )
     )
+    folder = work_folder(spark, f"{feed.name}-landed")
+    parsed.write.parquet(folder)
+    return spark.read.schema(parsed.schema).parquet(folder)
+
+
+def readable(landed: DataFrame) -> DataFrame:
+    """The records among landed rows."""
+    return landed.where("unreadable IS NULL").drop("unreadable")
+
+
+def read_records(
+    spark: SparkSession, path: str | Sequence[str], feed: Feed, lines: bool = False, strict: bool = False
+) -> DataFrame:
+    """Landed records without what is unreadable, which `land_records` gives as well."""
+    return readable(land_records(spark, path, feed, lines, strict))
 
 
 def number_records(rows: DataFrame, records: DataFrame) -> DataFrame:
@@ -73,5 +97,8 @@ def number_records(rows: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
-    """Clean records as `write_clean` leaves them; the schema is given, never inferred."""
-    return spark.read.schema(CLEAN_SCHEMA[feed.source]).json(path)
+    """Clean records as `write_clean` leaves them; a damaged table raises.
+
+    The schema is given, never inferred.
+    """
+    return spark.read.schema(CLEAN_SCHEMA[feed.source]).option("mode", "FAILFAST").json(path)

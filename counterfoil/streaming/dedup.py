@@ -14,8 +14,13 @@ from counterfoil.sources.feeds import Feed
 def stream_records(
     spark: SparkSession, folder: str, feed: Feed, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Raw records of JSON Lines files as they arrive, with `arrived_at`."""
-    reader = spark.readStream.schema(", ".join(f"`{key}` variant" for key in feed.types))
+    """Raw records of JSON Lines files as they arrive, with `arrived_at`.
+
+    A line that is no JSON object is a row with its text in `unreadable` and no keys.
+    """
+    columns = [*(f"`{key}` variant" for key in feed.types), "unreadable string"]
+    reader = spark.readStream.schema(", ".join(columns))
+    reader = reader.option("columnNameOfCorruptRecord", "unreadable")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(folder).select(
@@ -28,11 +33,15 @@ def stream_dedup(records: DataFrame, key_cols: Sequence[str], delay: str = "1 da
 
     The clock is the time of arrival: a record whose own timestamp is late,
     unreadable or missing is kept all the same. Unlike in batch, copies that
-    arrive further apart are both kept, which bounds the state.
+    arrive further apart are both kept, which bounds the state. Unreadable lines, where
+    the records have that column, are copies of each other only if their texts are equal.
     """
-    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
+    own = {f"_key_{i}": key_text(records, c) for i, c in enumerate(key_cols)}
+    if "unreadable" in records.columns:
+        own["_key_unreadable"] = F.col("unreadable")
+    keys = list(own)
     return (
-        records.withColumns({k: key_text(records, c) for k, c in zip(keys, key_cols)})
+        records.withColumns(own)
         .withWatermark("arrived_at", delay)
         .dropDuplicatesWithinWatermark(keys)
         .drop(*keys)
