@@ -35,7 +35,9 @@ SIMILARITY = 0.8
 SKETCHES, LENGTH = 24, 4
 # Buckets of so many texts are compared in full at the end.
 SMALL = 32
-ROUNDS, CENTERS = 2, 3
+# Texts each bucket compares with its others, round by round: one first, to which most of
+# a large group joins, so that the next round meets few texts of another class.
+CENTERS = (1, 4)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 # Elements of the table of hashes worked on at once.
 _AT_ONCE = 1 << 18
@@ -192,14 +194,15 @@ def _as_pairs(both: DataFrame, least: float) -> DataFrame:
 
 
 def _center_pairs(placed: DataFrame, turn: int, least: float) -> DataFrame:
-    """Each text with CENTERS texts of its bucket, other ones each round.
+    """Each text with the centers of its buckets, other ones each round.
 
-    The smallest id is one of them at first: it is often what the others were copied from.
+    The smallest id comes first: it is often what the others were copied from.
     """
     text = F.struct("id", "n", "label")
+    seeds = range(sum(CENTERS[:turn]) + 1, sum(CENTERS[: turn + 1]))
     picks = [
-        F.min(F.struct(F.xxhash64("id", "key", F.lit(turn * CENTERS + k)).alias("h"), text.alias("t")))["t"]
-        for k in range(1, CENTERS)
+        F.min(F.struct(F.xxhash64("id", "key", F.lit(seed)).alias("h"), text.alias("t")))["t"]
+        for seed in seeds
     ]
     first = F.min(text) if turn == 0 else F.max(text)
     centers = placed.groupBy("key").agg(F.array_distinct(F.array(first, *picks)).alias("centers"))
@@ -240,10 +243,11 @@ def near_classes(
 ) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), kept, text_hash.
 
-    Equal texts are folded first, by content hash. Then come ROUNDS rounds: each bucket of
-    texts with a common sketch picks CENTERS of its texts, other ones each round, and
-    compares them with those of the bucket that are in another class so far. A round costs
-    CENTERS comparisons per text and bucket at most, however large the bucket. Buckets of
+    Equal texts are folded first, by content hash. Then come rounds, one for each number in
+    CENTERS: each bucket of texts with a common sketch picks so many of its texts, other
+    ones each round, and compares them with those of the bucket that are in another class
+    so far. A round costs that many comparisons per text and bucket at most, however large
+    the bucket. Buckets of
     at most SMALL texts that still hold several classes after the rounds before the last
     are compared in full. A link
     goes unseen only if its texts share large buckets alone, meet no common center in
@@ -264,9 +268,9 @@ def near_classes(
 
     placed = buckets.withColumn("label", F.col("id"))
     links = compared = None
-    for turn in range(ROUNDS):
+    for turn in range(len(CENTERS)):
         pairs = _center_pairs(placed, turn, least)
-        if turn == ROUNDS - 1:
+        if turn == len(CENTERS) - 1:
             small = placed.where(F.col("members") <= SMALL)
             pairs = pairs.unionByName(_cross_pairs(small, least))
         pairs = _new(pairs, compared)
@@ -274,7 +278,7 @@ def near_classes(
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = more if links is None else links.unionByName(more)
         labels = components(links)
-        if turn < ROUNDS - 1:
+        if turn < len(CENTERS) - 1:
             placed = _placed(buckets, labels)
     per_text = texts.join(labels, "id", "left").select(
         "text_hash", F.coalesce("label", "id").alias("class_id")
