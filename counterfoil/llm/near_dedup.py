@@ -150,7 +150,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: float)
     their hash. The later joins are plain ones on an id, so a text with very many
     partners is split by adaptive execution.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     keys = texts.select("id", "text_hash").join(ids, "id", "left_semi")
     hashed = docs.select(F.col("doc_id").alias("id"), F.unhex(F.md5("text")).alias("text_hash"), "text")
     used = hashed.join(keys, ["id", "text_hash"], "left_semi").groupBy("id").agg(F.first("text").alias("text"))
