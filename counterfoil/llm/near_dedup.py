@@ -20,9 +20,11 @@ no rows. Texts are read whole.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,10 @@ SMALL = 32
 # Texts each bucket compares with its others, round by round: one first, to which most of
 # a large group joins, so that the next round meets few texts of another class.
 CENTERS = (1, 4)
+# Texts on each side of a block, about, when what the centers left open is compared.
+BLOCK = 512
+# Bins of a text's histogram of shingles, by which most pairs of a block are ruled out.
+BINS = 256
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 # Elements of the table of hashes worked on at once.
 _AT_ONCE = 1 << 18
@@ -61,6 +67,12 @@ def labelled(found: np.ndarray) -> np.ndarray:
     return mixed(found + nth * np.uint64(0xA24BAED4963EE407))
 
 
+def histogram(found: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each bin, 255 standing for more too."""
+    counts = np.bincount((found % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
 def sketches(found: np.ndarray) -> list[int]:
     """The order MinHash sketches of a text's shingles, each as a signed 64-bit key."""
     if not len(found):
@@ -135,11 +147,13 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 "text_hash": [hashlib.md5(t.encode()).digest() for t in batch["text"]],
                 "n_shingles": [len(f) for f in found],
                 "sketches": [sketches(f) for f in found],
+                "bins": [histogram(f).tobytes() for f in found],
             }
 
     return map_columns(
-        docs, make, "doc_id long, text_hash binary, n_shingles int, sketches array<long>"
-    )
+        docs, make,
+        "doc_id long, text_hash binary, n_shingles int, sketches array<long>, bins binary",
+    )
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -231,6 +245,73 @@ def _cross_pairs(placed: DataFrame, least: float) -> DataFrame:
     return _as_pairs(placed.join(other, "key").where("id < c"), least)
 
 
+def may_be_similar(
+    n: int, own: np.ndarray, others: np.ndarray, bins: np.ndarray, least: float
+) -> np.ndarray:
+    """Whether a text can be similar enough to others, from numbers of shingles and bins.
+
+    What one bin holds more of on one side than on the other has no partner there, so the
+    result is false only where the similarity is below `least`.
+    """
+    total = others + n
+    need = np.ceil(np.round(least * total / (1 + least), 9))
+    most = np.maximum(bins, own)
+    here = n - (most - bins).sum(axis=1, dtype=np.int64)
+    there = others - (most - own).sum(axis=1, dtype=np.int64)
+    return np.minimum(here, there) >= need
+
+
+def _block_pairs(placed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """All pairs of different classes in open buckets that can be similar enough.
+
+    Texts outside a bucket's largest class meet all texts of the bucket, in blocks by size
+    band and salts: similar texts are in one band or in neighbouring ones.
+    """
+    width = math.log(1 / least) + 1e-9
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(width))
+    classes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    largest = classes.groupBy("key").agg(F.max(F.struct("size", "label"))["label"].alias("main"))
+    open_ = placed.join(largest, "key").select(
+        "key", "id", "n", "label", band.alias("band"), (F.col("label") != F.col("main")).alias("minor")
+    )
+    near = F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band")
+    minor = open_.where("minor").select("key", "id", "n", "label", near, "minor")
+    some = minor.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"))
+    all_ = open_.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns"))
+    # buckets' bands with both sides, and how many blocks they take
+    cut = written(some.join(all_, ["key", "band"]), "blocks")
+
+    def dealt(side: DataFrame, own: str, other: str, left: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id", "key"), F.col(own)).alias(own[0])
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[0])
+        both = side.join(cut, ["key", "band"]).select(
+            "key", "band", "id", "n", "label", "minor", F.lit(left).alias("left"), mine, each
+        )
+        return both.select("key", "band", "r", "c", "id", "n", "label", "minor", "left")
+
+    sides = dealt(minor, "rows", "columns", True).unionByName(dealt(open_, "columns", "rows", False))
+    sides = sides.join(texts.select("id", "bins"), "id")
+
+    def meet(block: pa.Table) -> pa.Table:
+        ids, n, label, is_minor, left = (
+            block[c].to_numpy() for c in ("id", "n", "label", "minor", "left")
+        )
+        bins = np.frombuffer(b"".join(block["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
+        n = n.astype(np.int64)
+        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in np.flatnonzero(left):
+            # two texts outside the largest class meet twice
+            fits = ~left & (label != label[k]) & (~is_minor | (ids > ids[k]))
+            fits &= np.minimum(n, n[k]) >= least * np.maximum(n, n[k])
+            at = np.flatnonzero(fits)
+            at = at[may_be_similar(n[k], bins[k], n[at], bins[at], least)]
+            found_a.append(np.minimum(ids[at], ids[k]))
+            found_b.append(np.maximum(ids[at], ids[k]))
+        return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+
+    return sides.groupBy("key", "band", "r", "c").applyInArrow(meet, "a long, b long")
+
+
 def _new(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
     pairs = pairs.distinct()
     if compared is not None:
@@ -249,9 +330,9 @@ def near_classes(
     so far. A round costs that many comparisons per text and bucket at most, however large
     the bucket. Buckets of
     at most SMALL texts that still hold several classes after the rounds before the last
-    are compared in full. A link
-    goes unseen only if its texts share large buckets alone, meet no common center in
-    any of them in any round, and are not joined through other texts either.
+    are compared in full. What larger buckets still hold of different classes after the
+    rounds is compared in full as well, in blocks, so no two similar texts that share a
+    sketch stay in different classes.
     """
     plain = id_and_text(docs, id_col, text_col)
     found = written(_sketched(plain), "sketches")
@@ -260,6 +341,7 @@ def near_classes(
         F.min("doc_id").alias("id"),
         F.first("n_shingles").alias("n"),
         F.first("sketches").alias("sketches"),
+        F.first("bins").alias("bins"),
     )
     texts = written(texts.where("id IS NOT NULL"), "near-ids")
     every = texts.select("id", "n", F.explode("sketches").alias("key"))
@@ -280,6 +362,11 @@ def near_classes(
         labels = components(links)
         if turn < len(CENTERS) - 1:
             placed = _placed(buckets, labels)
+    placed = _placed(buckets.where(F.col("members") > SMALL), labels)
+    if not placed.isEmpty():
+        pairs = _new(_block_pairs(placed, texts, least), compared)
+        more = written(_verified(pairs, texts, plain, least), "links")
+        labels = components(links.unionByName(more))
     per_text = texts.join(labels, "id", "left").select(
         "text_hash", F.coalesce("label", "id").alias("class_id")
     )

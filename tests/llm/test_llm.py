@@ -290,6 +290,31 @@ def test_near_dedup_of_odd_rows(odd, none):
     assert near_dedup.deduplicated(odd).count() == len(ODD) - 3
 
 
+def test_near_dedup_of_one_large_bucket(spark):
+    # pairs that have hardly more in common than all texts have
+    def own(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    texts = {
+        k: " ".join([*own("all", 340), *own(f"pair{k // 2}x", 18), *own(f"own{k}x", 42)])
+        for k in range(300)
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.near_classes(df).collect()}
+    shingled = {k: near_dedup.shingles(t) for k, t in texts.items()}
+    assert [near_dedup.similarity(shingled[0], shingled[k]) > 0 for k in (1, 2, 3)] == [True, False, False]
+    assert found == {k: k - k % 2 for k in texts}
+
+
+def test_near_dedup_bound_is_exact():
+    for _ in range(300):
+        a = np.array([rng.randint(0, 99) for _ in range(rng.randint(1, 900))], np.uint64)
+        b = np.array([x if rng.random() < 0.95 else rng.randint(0, 99) for x in a], np.uint64)
+        own, other = near_dedup.histogram(a), near_dedup.histogram(b)
+        may = near_dedup.may_be_similar(len(a), own, np.array([len(b)]), other[None, :], 0.8)
+        assert may[0] or near_dedup.similarity(a, b) < 0.8
+
+
 def test_common_in_order():
     for _ in range(2000):
         a = [rng.randint(0, 6) for _ in range(rng.randint(0, 25))]
