@@ -49,7 +49,10 @@ PLACEHOLDERS = re.compile(
 THRESHOLD = 0.5
 
 _PAIR = re.compile(
-    r"""(?<![\w.-])(?P<q>["']?)(?P<name>[A-Za-z_][\w.-]*+)(?P=q)[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+"""
+    r"""(?<![\w.-])(?P<q>["']?)(?P<name>[A-Za-z_][\w.-]*+)(?P=q)(?:(?<=["'])[ \t]*+\])?[ \t]*+"""
+    # a type may stand between the name and =, as in name: str | None = "x"
+    r"""(?:\??:[ \t]*+(?P<type>[A-Za-z_][\w.]*+)(?:\[[\w., |\[\]]{0,80}\])?(?:[ \t]*+[|?][ \t]*+[\w.\[\]]*+){0,8}[ \t]*+=(?![=>])"""
+    r"""|:=|=>|=(?!=)|:(?![:/]))[ \t]*+"""
 )
 _VALUE = re.compile(
     r""""(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|(?P<name>[A-Za-z_][\w.]*+)(?![\w+/=$@!#%^&*~-])|(?P<bare>[^\s"',;()\[\]{}]++)"""
@@ -93,6 +96,7 @@ def assigned_literals(text: str) -> list[tuple[str, str, int, int]]:
     found = []
     for pair in _PAIR.finditer(text):
         name, at = pair["name"], pair.end()
+        kind = pair["type"]
         reached: list[tuple[str, int, int]] = []
         while value := _VALUE.match(text, at):
             if value["name"] is not None:
@@ -110,6 +114,10 @@ def assigned_literals(text: str) -> list[tuple[str, str, int, int]]:
             at = plus.end()
         known[name] = reached
         found += [(name, *x) for x in reached]
+        if kind is not None:  # `note: password = "x"` looks like a type too
+            found += [(kind, *x) for x in reached]
+            found += [(name, *x) for x in known.get(kind, [(kind, *pair.span("type"))])]
+            known[kind] = reached
     return found
 
 

@@ -250,6 +250,19 @@ def test_secrets_base_and_literals():
     assert secrets.masked(LONG) == LONG
 
 
+def test_secrets_typed_and_subscripted():
+    for text in (
+        'password: str = "S3cr3tValue99"', 'pwd: str | None = "S3cr3tValue99"',
+        "const pwd: string = 'S3cr3tValue99';", 'pwd: Optional[str]="S3cr3tValue99"',
+        'let pwd?: string = "S3cr3tValue99"', 'note: pwd = "S3cr3tValue99"', 'os.environ["DB_PASSWORD"] = "S3cr3tValue99"',
+        "config['api_key'] = 'S3cr3tValue99'", 'conf["a"]["pwd" ]: str = "S3cr3tValue99"',
+    ):
+        assert "S3cr3tValue99" in [text[a:b] for _, a, b in secrets.literal_spans(text)]
+        assert "S3cr3tValue99" not in secrets.masked(text)
+    for text in ('name: str = "S3cr3tValue99"', "items[0] = 'S3cr3tValue99'", 'pwd["a"] == "S3cr3tValue99"'):
+        assert secrets.literal_spans(text) == []
+
+
 def test_secrets_of_odd_rows(spark, odd, none):
     found = {r.doc_id: r for r in secrets.find_secrets(odd).collect()}
     assert [s.kind for s in found[13].base] == ["assign", "access"]
