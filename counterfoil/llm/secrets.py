@@ -40,10 +40,19 @@ SENSITIVE = {
     "secretkey": 1.0, "authkey": 1.0, "signingkey": 0.9, "encryptionkey": 0.9, "bearer": 0.9,
     "auth": 0.7, "authorization": 0.8, "dsn": 0.7, "key": 0.5, "pass": 0.7,
 }
-# Literals that stand for a secret without being one.
-PLACEHOLDERS = re.compile(
+# Literals that stand for a secret without being one. The whole literal has to
+# be such words, with separators between them, or a reference to a value kept elsewhere.
+_PLACEHOLDER = (
     r"(?:your|my|example|sample|dummy|changeme|placeholder|redacted|todo|none|null|true|false"
-    r"|undefined|x{4,}|\*{3,}|\.{3,}|<|\$\{|\{\{|%\()",
+    r"|undefined|x{4,}|\*{3,}|\.{3,})"
+)
+_FILLER = (
+    r"(?:here|goes|the|value|string|name|user|id|api|app|db|client|access|private|auth|key|token"
+    r"|secret|password|passwd|pwd|passphrase|credentials?)"
+)
+PLACEHOLDERS = re.compile(
+    rf"{_PLACEHOLDER}(?:[-_. :]+(?:{_PLACEHOLDER}|{_FILLER}))*+[0-9]{{0,4}}[.!]*"
+    r"|<[A-Za-z][A-Za-z_ -]*>?|\$\{[^{}]*\}|\{\{[^{}]*\}\}|%\([^()]*\)[sd]?",
     re.IGNORECASE,
 )
 THRESHOLD = 0.5
@@ -79,15 +88,19 @@ def sensitivity(name: str) -> float:
 
 
 def strength(literal: str) -> float:
-    """How much a literal looks like a secret, 0 to 1: length, variety and kinds of character."""
-    if len(literal) < 8 or PLACEHOLDERS.match(literal) or " " in literal:
+    """How much a literal looks like a secret, 0 to 1: length, variety and kinds of character.
+
+    Blanks are no kind of their own; words in small letters count as a weak passphrase.
+    """
+    if len(literal) < 8 or PLACEHOLDERS.fullmatch(literal):
         return 0.0
     counts = Counter(literal).values()
     bits = -sum(c / len(literal) * math.log2(c / len(literal)) for c in counts)
     kinds = sum(
-        bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")
+        bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9 ]")
     )
-    return min(1.0, bits / 3) * (1.0 if kinds > 1 else 0.4)
+    one_kind = 0.6 if " " in literal.strip() else 0.4
+    return min(1.0, bits / 3) * (1.0 if kinds > 1 else one_kind)
 
 
 def assigned_literals(text: str) -> list[tuple[str, str, int, int]]:

@@ -263,6 +263,21 @@ def test_secrets_typed_and_subscripted():
         assert secrets.literal_spans(text) == []
 
 
+def test_secrets_that_begin_like_placeholders():
+    for text in (
+        'pwd = "MyK8fh2LqZ91x"', 'credential = "true7Kx9QzLp2"', 'pwd = "xxxxK8fh2LqZ9"',
+        'passphrase = "correct Horse 9 staple"', 'passphrase = "correct horse battery staple"',
+        'pwd = "<K8fh2LqZ91x"', 'pwd = "${A}K8fh2LqZ91x"',
+    ):
+        assert len(secrets.literal_spans(text)) == 1
+        assert secrets.masked(text).endswith('"[SECRET]"')
+    for literal in (
+        "your-api-key-here", "my_secret", "changeme123", "<your password>", "${DB_PASSWORD}",
+        "{{ token }}", "%(password)s", "xxxx-xxxx-xxxx", "********", "EXAMPLE KEY", "        ",
+    ):
+        assert secrets.literal_spans(f'pwd = "{literal}"') == []
+
+
 def test_secrets_of_odd_rows(spark, odd, none):
     found = {r.doc_id: r for r in secrets.find_secrets(odd).collect()}
     assert [s.kind for s in found[13].base] == ["assign", "access"]
