@@ -9,6 +9,9 @@ enough words after it on both sides (positional filter); what passes is counted.
 templates are a parameter of fixed size, so their words are literals of the plan, and
 blocks are met inside their own row, without any shuffle.
 
+With `wrapped`, blocks are besides all runs of neighbouring words of a paragraph as long as
+the template's text over the threshold, so a notice may be broken over lines.
+
 Definite results: a null text is the empty text; null ids are kept; repeated rows are
 scanned one by one; blank blocks meet nothing; an empty table gives no rows.
 """
@@ -59,6 +62,7 @@ TEMPLATES = (
 )
 THRESHOLD = 0.8
 
+_BLANK_LINE = r"\n[\x20\x09\x0D]*\n"
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -111,6 +115,7 @@ def _phrase_places(words: Column, phrase: tuple[str, ...]) -> Column:
 def scanned(
     docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
     threshold: float = THRESHOLD, separator: str = "\n", text_col: str = "text",
+    wrapped: bool = False,
 ) -> DataFrame:
     """docs with l_n_words, the places of each base phrase in l_places, and l_hits.
 
@@ -122,6 +127,8 @@ def scanned(
     order = word_order(docs, vocabulary, text_col)
     rank = {w: k for k, w in enumerate(order)}
     sets = [(label, sorted(words, key=rank.__getitem__)) for label, words in sets]
+    lengths = [len(re.findall(r"[0-9a-z]+", text.lower())) for _, text in templates]
+    spans = [math.ceil(round(n / threshold, 9)) for n in lengths]
     needs = [needed(len(words), threshold) for _, words in sets]
     prefixes = [words[: len(words) - k + 1] for (_, words), k in zip(sets, needs, strict=True)]
 
@@ -166,13 +173,39 @@ def scanned(
 
         return F.coalesce(F.array_max(F.transform("l_blocks", common)), F.lit(0))
 
+    def in_window(own: list[str], need: int, span: int) -> Column:
+        template = _strings(own)
+
+        def most(words: Column) -> Column:
+            starts = F.filter(
+                F.sequence(F.lit(0), F.size(words) - 1),
+                lambda i: F.array_contains(template, F.get(words, i)),
+            )
+            return F.array_max(
+                F.transform(
+                    starts, lambda i: F.size(F.array_intersect(template, F.slice(words, i + 1, span)))
+                )
+            )
+
+        # windows are looked at only where the paragraph holds enough words
+        paragraphs = F.filter(
+            F.transform(F.split("l_text", _BLANK_LINE), words_in),
+            lambda p: F.size(F.array_intersect(template, p)) >= need,
+        )
+        enough = F.size(F.array_intersect(template, "l_words")) >= need
+        return F.when(enough, F.coalesce(F.array_max(F.transform(paragraphs, most)), F.lit(0))).otherwise(0)
+
+    def score(own: list[str], prefix: list[str], need: int, span: int) -> Column:
+        line = best(own, prefix, need)
+        return F.greatest(line, in_window(own, need, span)) if wrapped else line
+
     hits = [
         F.struct(
             F.lit(label).alias("label"),
-            (best(own, prefix, need) / F.lit(float(len(own)))).alias("score"),
+            (score(own, prefix, need, span) / F.lit(float(len(own)))).alias("score"),
             F.lit(need / len(own)).alias("need"),
         )
-        for (label, own), prefix, need in zip(sets, prefixes, needs, strict=True)
+        for (label, own), prefix, need, span in zip(sets, prefixes, needs, spans, strict=True)
     ]
     found = F.filter(F.array(*hits), lambda h: h["score"] >= h["need"] - 1e-9)
     no_hits = F.array().cast("array<struct<label: string, score: double, need: double>>")
@@ -181,6 +214,6 @@ def scanned(
         only_once(
             F.size("l_words").cast("long").alias("l_n_words"),
             places.alias("l_places"),
-            F.when(F.size("l_blocks") > 0, found).otherwise(no_hits).alias("l_hits"),
+            F.when(F.lit(wrapped) | (F.size("l_blocks") > 0), found).otherwise(no_hits).alias("l_hits"),
         ),
     ).select(*map(named, docs.columns), "l.*")

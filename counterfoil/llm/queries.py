@@ -81,7 +81,7 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_license_scans(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.scanned(table(spark, folder, "documents"))
+    found = licenses.scanned(table(spark, folder, "documents"), wrapped=True)
     places = F.concat(*(F.col(f"l_places.{label}") for label in licenses.PHRASES))
     base = F.array_compact(
         F.array(

@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import textwrap
 import zlib
 from pathlib import Path
 
@@ -380,6 +381,26 @@ def test_licenses_of_odd_rows(odd, none):
     assert licenses.scanned(none).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark, odd, tmp_path):
+    def wrap(text, width):
+        return "/*\n * " + "\n * ".join(textwrap.wrap(text, width)) + "\n */\nint x;"
+
+    texts = [(k, label, wrap(t, w)) for w in (20, 45, 72) for k, (label, t) in enumerate(licenses.TEMPLATES)]
+    apart = "Licensed under CC\n \nBY-SA 4.0."
+    far = "Released " + prose(9) + " under " + prose(9) + " the\n" + prose(9) + " MIT " + prose(9) + "\nLicense"
+    rows = [*texts, (90, "", apart), (91, "", far)]
+    df = spark.createDataFrame(rows, "doc_id long, wanted string, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op8_license_scans"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    wanted = {k: label for k, label, _ in rows}
+    for r in found:
+        labels = set(r.labels.split(","))
+        assert wanted[r.doc_id] in labels and (r.score == 1.0) == (r.doc_id < 90)
+    hit = {r.doc_id: r for r in licenses.scanned(odd, wrapped=True).collect()}[12]
+    assert sorted(h.label for h in hit.l_hits) == ["all-rights-reserved", "mit"]
+
+
 def _check_packing(found, capacity):
     used = {}
     for r in found:
