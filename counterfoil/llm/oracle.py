@@ -8,6 +8,61 @@ from counterfoil.llm.licenses import TEMPLATES, THRESHOLD
 
 _TEMPLATES = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(TEMPLATES))
 
+
+def _floor(total: str, n: str) -> str:
+    """Whole-number division that goes down, also below zero."""
+    return f"(({total}) - ((({total}) % ({n})) + ({n})) % ({n})) // ({n})"
+
+
+_GAP = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _centroid_rounds(rounds: int = 3, clusters: int = 16) -> str:
+    """The tables c0, a0, c1, a1, ...: centroids, and each vector's least distance * clusters + c."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (
+  select k, min({_GAP.format("v.v", "c.v")}::bigint * {clusters} + c) as m from v, c{r} as c group by k
+)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} as (
+  select m % {clusters} as c, pos, {_floor("sum(x)::bigint", "count(*)")} as x
+  from (select k, unnest(v) as x, unnest(range(len(v))) as pos from v) join a{r} using (k)
+  group by 1, 2
+), c{r + 1} as materialized (
+  select c, coalesce(n.v, o.v) as v from c{r} as o
+  left join (select c, list(x order by pos) as v from s{r} group by c) as n using (c)
+)""")
+    return ",".join(steps)
+
+
+def _codebook_rounds(rounds: int = 4, entries: int = 256) -> str:
+    """The tables b0, a0, b1, a1, ...: codebooks, and each part's least error * entries + entry."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (
+  select k, part, min({_GAP.format("p.v", "b.v")}::bigint * {entries} + entry) as m
+  from p join b{r} as b using (part) group by k, part
+)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} as (
+  select part, m % {entries} as entry, pos, {_floor("sum(x)::bigint", "count(*)")} as x
+  from (select k, part, unnest(v) as x, unnest(range(len(v))) as pos from p)
+  join a{r} using (k, part) group by 1, 2, 3
+), b{r + 1} as materialized (
+  select part, entry, coalesce(n.v, o.v) as v from b{r} as o
+  left join (select part, entry, list(x order by pos) as v from s{r} group by 1, 2) as n
+  using (part, entry)
+)""")
+    return ",".join(steps)
+
+
+_FINITE = "len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
 ORACLES = {
     "op2_chat_formatting": f"""
 with turns as (
@@ -74,4 +129,34 @@ select doc_id, len(ws) as n_words, coalesce(n, 0) as n_base, a as first_word, b
   coalesce(places.labels, '') as base_labels, coalesce(named.labels, '') as labels,
   coalesce(score, 0.0)::double as score
 from w left join places using (k) left join named using (k)""",
+    "op12_centroid_clustering": f"""
+with v as materialized (
+  select row_number() over () as k, vec_id,
+    list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings where len(embedding) = 64 and {_FINITE}
+), c0 as (
+  select row_number() over (order by sha256('1:' || vec_id), v) - 1 as c, v from v qualify c < 16
+), {_centroid_rounds()}
+select vec_id, (m % 16)::int as cluster, m // 16 as distance,
+  (sum(m // 16) over (partition by m % 16))::bigint as cluster_inertia,
+  (sum(m // 16) over ())::bigint as inertia,
+  sha256(list_aggregate(c3.v, 'string_agg', ',')) as centroid_sha256
+from a3 join v using (k) join c3 on c3.c = m % 16""",
+    "op13_vector_codes": f"""
+with v as materialized (
+  select row_number() over (order by vec_id) as k, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+  from embeddings where len(embedding) > 0 and {_FINITE}
+), p as materialized (
+  select k, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] as v from v, range(4) r(part)
+), b0 as (
+  select part, k - 1 as entry, v from p where k <= 256
+), {_codebook_rounds()}, errors as (
+  select k, sum(m // 256)::bigint as error, string_agg(printf('%02x', m % 256), '' order by part) as code
+  from a4 group by k
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(list_aggregate(v, 'string_agg', ','), ',' order by part, entry)) from b4)
+    as codebooks_sha256
+from errors join v using (k)""",
 }

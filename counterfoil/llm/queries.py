@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.llm import (
     bpe,
+    centroids,
     chat,
     exact_dedup,
     licenses,
@@ -17,8 +18,10 @@ from counterfoil.llm import (
     packing,
     quality,
     secrets,
+    sharding,
     suffixes,
     token_files,
+    vector_codes,
 )
 from counterfoil.llm.common import table
 from counterfoil.llm.oracle import ORACLES  # noqa: F401
@@ -116,6 +119,39 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, folder, "documents"))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.sharded(table(spark, folder, "documents"), columns=[])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.clustered(table(spark, folder, "embeddings"))
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        centroids.components_sha256("centroid").alias("centroid_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found, books = vector_codes.compressed(table(spark, folder, "embeddings"))
+    digest = None if books is None else centroids.joined_sha256(books)
+    return found.select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).cast("string").alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -129,5 +165,8 @@ QUERIES: dict[str, Query] = {
         op8_license_scans,
         op9_best_fit_packing,
         op10_near_dedup,
+        op11_sharding,
+        op12_centroid_clustering,
+        op13_vector_codes,
     )
 }
