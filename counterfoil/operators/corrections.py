@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from counterfoil.functions.money import in_money
 from counterfoil.functions.times import micros
-from counterfoil.operators.timeline import attach, count_before
+from counterfoil.operators.timeline import count_before
 
 # Activity that counts as a sign of a session.
 SESSION_ACTIVITY = ("page_view", "add_to_cart")
@@ -67,20 +67,27 @@ def session_check(client: DataFrame, minutes: int = 60) -> DataFrame:
     without a user, a time or an event id have no preceding activity.
     """
     name = F.col("event_name")
-    events = client.withColumn("at_us", micros(F.col("event_at")))
-    is_purchase = name == "purchase_intent"
-    browsed = name.isin(*SESSION_ACTIVITY) & F.col("event_id").isNotNull()
-    counts = count_before(
-        events.where(is_purchase | browsed).select(
-            "user_id",
-            "at_us",
-            F.when(browsed, 1).otherwise(0).alias("weight"),
-            is_purchase.alias("is_probe"),
+    events = client.withColumns(
+        {
+            "key": F.col("user_id"),
+            "at_us": micros(F.col("event_at")),
+            "tie": F.xxhash64("event_id"),
+        }
+    )
+    placed = F.col("key").isNotNull() & F.col("at_us").isNotNull() & F.col("event_id").isNotNull()
+    bought = name == "purchase_intent"
+    counted = count_before(
+        events.where(placed & bought).select(
+            "key", "at_us", "tie", F.struct(*client.columns).alias("row")
+        ),
+        events.where(placed & name.isin(*SESSION_ACTIVITY)).select(
+            "key", "at_us", "tie", F.lit(1).alias("weight")
         ),
         minutes * 60,
-    )
-    found = F.when(F.col("event_id").isNull(), 0).otherwise(F.coalesce("preceding", F.lit(0)))
-    return attach(events.where(is_purchase), counts, F.col("event_id")).select(
+    ).select("row.*", "preceding")
+    none = events.where(bought & ~placed).select(*client.columns, F.lit(0).alias("preceding"))
+    found = F.col("preceding")
+    return counted.unionByName(none).select(
         *client.columns,
         (found > 0).alias("has_preceding_session_activity"),
         found.alias("preceding_event_count"),

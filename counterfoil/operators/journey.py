@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from counterfoil.functions.times import micros, seconds_between
-from counterfoil.operators.timeline import attach, nearest
+from counterfoil.operators.timeline import SECOND, nearest
 
 # Columns taken over from the two staging tables, in order.
 CLIENT_COLUMNS = (
@@ -34,34 +34,66 @@ SERVER_COLUMNS = (
 )
 
 
+# Spaces of a timeline: events and transactions of one user, or with one event id.
+BY_USER, BY_LINK = 0, 1
+
+
 def transaction(server: DataFrame) -> Column:
     """The transaction columns of a journey as one struct."""
-    return F.struct(*[F.col(c) for c in SERVER_COLUMNS ])
+    return F.struct(*[F.col(c) for c in SERVER_COLUMNS])
+
+
+def _candidates(
+    client: DataFrame, server: DataFrame, window_s: int, prefer_link: bool
+) -> DataFrame:
+    """Client events with struct `tx`: the nearest transaction of their user or none.
 
+    With `prefer_link`, transactions that name an event are left to it, and the nearest
+    of those that name it (`_linked` = 1) is a second candidate of an event. Both kinds of match
+    go through one lookup.
+    """
+    event_us, transaction_us = micros(F.col("event_at")), micros(F.col("transaction_at"))
+    link = F.col("client_event_id")
+    row = F.struct(*CLIENT_COLUMNS)
+    placed = F.col("user_id").isNotNull() & F.col("event_at").isNotNull()
+
+    def asked(events: DataFrame, space: int, key: str, reach: int | None) -> DataFrame:
+        return events.select(
+            F.lit(space).alias("space"),
+            F.col(key).alias("key"),
+            event_us.alias("at_us"),
+            F.lit(reach).cast("bigint").alias("reach_us"),
+            F.xxhash64("event_id", "user_id", "event_at").alias("tie"),
+            F.struct(F.lit(space).alias("_linked"), row.alias("event")).alias("row"),
+        )
 
-def _nearest_rows(client: DataFrame, server: DataFrame, window_s: int) -> DataFrame:
-    """Every client event with the nearest transaction of its user as struct `tx`."""
-    events = client.select(*CLIENT_COLUMNS, micros(F.col("event_at")).alias("at_us"))
-    hits = nearest(
-        events,
-        server.select(
-            "user_id",
-            micros(F.col("transaction_at")).alias("at_us"),
+    def offered(transactions: DataFrame, space: int, key: str) -> DataFrame:
+        return transactions.select(
+            F.lit(space).alias("space"),
+            F.col(key).alias("key"),
+            transaction_us.alias("at_us"),
             F.col("transaction_id").alias("id"),
             transaction(server).alias("target"),
-        ),
-        window_s,
-    )
-    rows = attach(events, hits, F.col("event_id"))
-    return rows.withColumnRenamed("target", "tx").drop("at_us")
-
+        )
 
-def _linked_rows(client: DataFrame, server: DataFrame) -> DataFrame:
-    """Client events with each transaction that names them as struct `tx`."""
-    named = server.where("client_event_id IS NOT NULL").select(
-        F.col("client_event_id").alias("event_id"), transaction(server).alias("tx")
+    timed = server.where("user_id IS NOT NULL AND transaction_at IS NOT NULL")
+    probes = asked(client.where(placed), BY_USER, "user_id", window_s * SECOND)
+    if prefer_link:
+        named = client.where("event_id IS NOT NULL")
+        probes = probes.unionByName(asked(named, BY_LINK, "event_id", None))
+        targets = offered(timed.where(link.isNull()), BY_USER, "user_id").unionByName(
+            offered(server.where(link.isNotNull()), BY_LINK, "client_event_id")
+        )
+    else:
+        targets = offered(timed, BY_USER, "user_id")
+    found = nearest(probes, targets).select(
+        "row.event.*", F.col("row._linked").alias("_linked"), F.col("target").alias("tx")
     )
-    return client.select(*CLIENT_COLUMNS).join(named, "event_id")
+    nothing = F.lit(None).cast(found.schema["tx"].dataType)
+    unplaced = client.where(~placed).select(
+        *CLIENT_COLUMNS, F.lit(BY_USER).alias("_linked"), nothing.alias("tx")
+    )
+    return found.where(f"_linked = {BY_USER} OR tx IS NOT NULL").unionByName(unplaced)
 
 
 def _best_per_event(rows: DataFrame) -> DataFrame:
@@ -111,13 +143,5 @@ def user_journey(
     time. A transaction may serve several events. Where event ids are known to
     be unique, `unique_ids` saves the last shuffle (time matching only).
     """
-    if prefer_link:
-        by_time = _nearest_rows(client, server.where("client_event_id IS NULL"), window_s)
-        rows = (
-            _linked_rows(client, server)
-            .withColumn("_linked", F.lit(1))
-            .unionByName(by_time.withColumn("_linked", F.lit(0)))
-        )
-        return best_journey(rows)
-    rows = _nearest_rows(client, server, window_s)
-    return _journey_columns(rows) if unique_ids else best_journey(rows)
+    rows = _candidates(client, server, window_s, prefer_link)
+    return _journey_columns(rows) if unique_ids and not prefer_link else best_journey(rows)

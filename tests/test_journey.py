@@ -4,8 +4,10 @@ import random
 
 import pytest
 
+from counterfoil.operators import journey
+from counterfoil.operators.corrections import session_check
 from counterfoil.operators.journey import user_journey
-from counterfoil.operators.timeline import count_before, nearest
+from counterfoil.operators.timeline import borders, count_before, nearest, with_part
 from tests.helpers import at, by, client_table, server_table
 
 
@@ -107,27 +109,33 @@ def test_nearest_equals_brute_force(spark, seed):
     def moment():
         return rng.randrange(-200, 200) * 50_000_000 + rng.choice([0, 0, 1, -1])
 
-    probes = [(rng.choice("abc"), moment()) for _ in range(400)]
-    targets = [(rng.choice("abc"), moment(), f"t{i:03d}") for i in range(150)]
+    def near(when):
+        return (when if rng.random() > 0.1 else None)
+
+    probes = [(k, rng.choice("abc"), near(moment()), rng.choice([None, 300_000_000])) for k in range(400)]
+    targets = [(rng.choice("abc"), near(moment()), f"t{i:03d}") for i in range(150)]
     got = nearest(
-        spark.createDataFrame(probes, "user_id string, at_us long"),
-        spark.createDataFrame(targets, "user_id string, at_us long, id string").selectExpr(
-            "*", "named_struct('name', id) AS target"
+        spark.createDataFrame(probes, "n long, key string, at_us long, reach_us long").selectExpr(
+            "1 AS space", "key", "at_us", "reach_us", "n AS tie", "named_struct('n', n) AS row"
+        ),
+        spark.createDataFrame(targets, "key string, at_us long, id string").selectExpr(
+            "1 AS space", "*", "named_struct('name', id) AS target"
         ),
-        300,
     )
     expected = {}
-    for user, when in set(probes):
-        best = min(
-            (abs(when - t), t, name)
-            for u, t, name in [*targets, (user, when + 10**12, "none")]
-            if u == user
-        )
-        if best[0] <= 300_000_000:
-            expected[user, when] = best[2]
+    for n, key, when, reach in probes:
+        expected[n] = None
+        own = [(t, name) for k, t, name in targets if k == key]
+        timed = [(abs(when - t), t, name) for t, name in own if when is not None and t is not None]
+        if timed:
+            gap, _, name = min(timed)
+            if reach is None or gap <= reach:
+                expected[n] = name
+        elif reach is None:
+            expected[n] = min((t is not None, t or 0, name) for t, name in own)[2]
     rows = got.collect()
-    assert len(rows) == len(expected) > 50
-    assert {(r.user_id, r.at_us): r.target.name for r in rows} == expected
+    assert len(rows) == len(expected)
+    assert {r.row.n: r.target and r.target.name for r in rows} == expected
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -137,26 +145,107 @@ def test_count_before_equals_brute_force(spark, seed):
     def moment():
         return rng.randrange(-100, 100) * 600_000_000 + rng.choice([0, 0, 1, -1])
 
-    rows = [(rng.choice("abc"), moment(), rng.choice([0, 1]), rng.random() < 0.5) for _ in range(600)]
+    probes = [(n, rng.choice("abc"), moment()) for n in range(300)]
+    activity = [(n, rng.choice("abc"), moment(), rng.choice([0, 1, 2])) for n in range(400)]
     got = count_before(
-        spark.createDataFrame(
-            rows, "user_id string, at_us long, weight long, is_probe boolean"
+        spark.createDataFrame(probes, "tie long, key string, at_us long").selectExpr(
+            "*", "named_struct('n', tie) AS row"
         ),
+        spark.createDataFrame(activity, "tie long, key string, at_us long, weight int"),
         3600,
     )
     expected = {
-        (user, when): sum(
-            w for u, t, w, _ in rows if u == user and when - 3_600_000_000 <= t < when
-        )
-        for user, when, _, probe in rows
-        if probe
+        n: sum(w for _, k, t, w in activity if k == key and when - 3_600_000_000 <= t < when)
+        for n, key, when in probes
     }
     result = got.collect()
-    assert len(result) == len(expected)
-    assert {(r.user_id, r.at_us): r.preceding for r in result} == expected
+    assert len(result) == len(expected) and sum(expected.values()) > 50
+    assert {r.row.n: r.preceding for r in result} == expected
+
+
+def test_parts_of_one_busy_hour(spark):
+    """One user holds a third of all rows within one hour, half of those at one instant."""
+    n = 60_000
+    rows = spark.range(n).selectExpr(
+        "0 AS space",
+        "IF(id % 3 = 0, 'busy', concat('u', id % 1000)) AS key",
+        "CASE WHEN id % 6 = 0 THEN 1800000000 WHEN id % 3 = 0 THEN id * 60000 ELSE id * 7000000 END AS at_us",
+        "1 AS kind",
+        "xxhash64(id) AS tie",
+    )
+    cuts = borders(rows)
+    sizes = [r["count"] for r in with_part(rows, cuts).groupBy("part").count().collect()]
+    assert len(sizes) == len(cuts) + 1 >= 24
+    assert max(sizes) < 2.5 * n / len(sizes)
+    ordered = with_part(rows, cuts).orderBy("space", "key", "at_us", "kind", "tie").select("part").collect()
+    assert [r.part for r in ordered] == sorted(r.part for r in ordered)
 
 
-def test_busy_user_is_spread_over_cells(spark):
+def test_parts_follow_the_order_of_any_place(spark):
+    places = [(0, k, at, kind, tie) for k in (None, "", "a", "é", "\U0001f600") for at in (None, -5, 0, 7)
+              for kind in (0, 1) for tie in (-(1 << 63), 3)]
+    rows = spark.createDataFrame(places, "space int, key string, at_us long, kind int, tie long")
+    ordered = [tuple(r) for r in rows.orderBy("key", "at_us", "kind", "tie").collect()]
+    cuts = ordered[3::7]
+    parts = {tuple(r)[:5]: r.part for r in with_part(rows, cuts).collect()}
+    assert [parts[p] for p in ordered] == [sum(ordered.index(c) <= k for c in cuts) for k in range(len(ordered))]
+
+
+def links_by_brute_force(events, transactions):
+    """Rows of (id, user, time) and (id, user, link, time) to the transaction of each event id."""
+    best = {}
+    for event, user, when in events:
+        pairs = [(0, None if when is None or t is None else abs(when - t), t, name)
+                 for name, _, link, t in transactions if link is not None and link == event]
+        pairs += [(1, abs(when - t), t, name) for name, u, link, t in transactions
+                  if link is None and None not in (when, t, u) and u == user and abs(when - t) <= 300]
+        pairs.append((2, None, None, None))
+        for kind, gap, t, name in pairs:
+            key = (kind != 0, gap is None, gap or 0, t is not None, t or 0, name or "", when is not None,
+                   when or 0, user or "")
+            if event not in best or key < best[event][0]:
+                best[event] = (key, name)
+    return {event: name for event, (_, name) in best.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+
+    def maybe(value):
+        return value if rng.random() > 0.15 else None
+
+    events = [(maybe(f"e{rng.randrange(40)}"), maybe(rng.choice("uvw")), maybe(rng.randrange(3000)))
+              for _ in range(150)]
+    transactions = [(f"t{k:03d}", maybe(rng.choice("uvw")), maybe(f"e{rng.randrange(50)}"),
+                     maybe(rng.randrange(3000))) for k in range(120)]
+    client = client_table(spark, [ev(e, u, w if w is None else at(w)) for e, u, w in events])
+    server = server_table(spark, [tx(i, u, l, t if t is None else at(t)) for i, u, l, t in transactions])
+    found = user_journey(client, server, prefer_link=True).collect()
+    wanted = links_by_brute_force(events, transactions)
+    assert {r.event_id: r.transaction_id for r in found} == wanted
+    assert len(found) == len(wanted)
+
+
+def test_links_of_a_repeated_id_form_no_pairs(spark, monkeypatch):
+    """300 copies of one event and 400 transactions that name it: 700 rows, not 120,000."""
+    client = client_table(spark, [ev("e", f"u{k}", at(10 * k)) for k in range(300)])
+    server = server_table(spark, [tx(f"t{k}", "x", "e", at(100_000 - 7 * k)) for k in range(400)])
+    seen = []
+
+    def counted(probes, targets):
+        rows = [df.where("space = 1").count() for df in (probes, targets)]
+        found = nearest(probes, targets)
+        seen.append((rows, found.where("target IS NOT NULL").count()))
+        return found
+
+    monkeypatch.setattr(journey, "nearest", counted)
+    rows = user_journey(client, server, prefer_link=True).collect()
+    assert [(r.event_at, r.transaction_id) for r in rows] == [(at(2990), "t399")]
+    assert seen == [([300, 400], 300)]
+
+
+def test_busy_user_is_spread_over_parts(spark):
     """One user holds every row; the rows still reach many tasks, and the result is whole."""
     n = 20_000
     client = spark.range(n).selectExpr(
@@ -171,30 +260,39 @@ def test_busy_user_is_spread_over_cells(spark):
         "1.0D AS transaction_amount", "'completed' AS transaction_status", "true AS is_completed",
         "false AS is_failed", "false AS is_refunded", "true AS is_revenue_recognized",
     )
-    journey = user_journey(client, server)
-    row = journey.selectExpr(
+    matched = user_journey(client, server)
+    row = matched.selectExpr(
         "count(*) AS n", "count_if(substr(event_id, 2) = substr(transaction_id, 2)) AS same",
         "max(time_delta_seconds) AS gap",
     ).first()
     assert tuple(row) == (n, n, 7.0)
-    plan = journey._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(user_id" in plan and "cell" in plan
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_one_cell_holds_everything(spark):
-    """Within a cell the work is one pass, not a comparison of all pairs."""
+def test_close_rows_of_one_user(spark):
+    """The work is one pass, not a comparison of all pairs, and parts join without a seam."""
     n = 300_000
     rows = spark.range(n).selectExpr(
-        "'u' AS user_id", "1767225600000000 + id * 100 AS at_us", "1L AS weight", "true AS is_probe"
-    )
-    targets = spark.range(n).selectExpr(
-        "'u' AS user_id", "1767225600000000 + id * 100 + 30 AS at_us", "concat('t', id) AS id",
-        "named_struct('place', id) AS target",
+        "0 AS space", "'u' AS key", "1767225600000000 + id * 100 AS at_us", "300000000L AS reach_us",
+        "id AS tie", "named_struct('id', id) AS row", "1L AS weight",
+    )
+    targets = rows.selectExpr(
+        "space", "key", "at_us + 30 AS at_us", "concat('t', tie) AS id",
+        "named_struct('place', tie) AS target",
     )
-    found = nearest(rows, targets, 300).selectExpr(
-        "count(*) AS n", "count_if(target.place * 100 = at_us - 1767225600000000) AS right"
+    found = nearest(rows, targets).selectExpr(
+        "count(*) AS n", "count_if(target.place = row.id) AS right"
     )
     assert tuple(found.first()) == (n, n)
-    counted = count_before(rows, 3600).selectExpr("count(*) AS n", "sum(preceding) AS total")
+    counted = count_before(rows, rows, 3600).selectExpr("count(*) AS n", "sum(preceding) AS total")
     assert tuple(counted.first()) == (n, n * (n - 1) // 2)
+
+
+def test_no_targets_and_no_rows(spark):
+    client = client_table(spark, [ev("e", "u", at(0))])
+    none = server_table(spark, [])
+    assert [r.transaction_id for r in user_journey(client, none, prefer_link=True).collect()] == [None]
+    assert user_journey(client.limit(0), none).collect() == []
+    assert session_check(client.limit(0)).collect() == []

@@ -71,9 +71,10 @@ def test_shuffles(staged, no_broadcast):
     assert exchanges(summaries.summary_mart(mart)) == 3
     assert exchanges(corrections.correct_marketing(mart)) == 2
     assert exchanges(corrections.tag_channel(server)) == 0
-    assert exchanges(corrections.session_check(client)) == 4
-    assert exchanges(journey.user_journey(client, server, unique_ids=True)) == 5
-    assert exchanges(journey.user_journey(client, server)) == 6
+    assert exchanges(corrections.session_check(client)) == 1
+    assert exchanges(journey.user_journey(client, server, unique_ids=True)) == 3
+    assert exchanges(journey.user_journey(client, server)) == 4
+    assert exchanges(journey.user_journey(client, server, prefer_link=True)) == 4
 
 
 def test_dedup_combines_copies_before_its_only_shuffle(tables):
