@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from counterfoil.functions.money import LIMIT, fits
 from counterfoil.functions.times import is_iso
@@ -56,35 +58,87 @@ def key_text(df: DataFrame, name: str) -> Column:
     )
 
 
+def key_hash(df: DataFrame, key_cols: Sequence[str]) -> Column:
+    """128 bits of the key columns, each with its length, so that columns do not run together."""
+    texts = [key_text(df, c) for c in key_cols]
+    sized = [part for t in texts for part in (F.octet_length(t).cast("string"), F.lit(":"), t)]
+    # Never null, which the optimiser must know or it works the hash out twice.
+    return F.coalesce(F.unhex(F.md5(F.concat(*sized).cast("binary"))), F.lit(b""))
+
+
+def arrival(df: DataFrame, order_col: str) -> tuple[DataFrame, Column, Column]:
+    """df with what its order needs, the order of its rows as one number, and their number.
+
+    Both are whole numbers of 64 bits. Rows of a landed table have a number of their own;
+    their order is that of their file block, ranked over all blocks, and then of the row.
+    """
+    kind = df.schema[order_col].dataType
+    if not isinstance(kind, T.StructType):
+        number = F.col(order_col).cast("bigint")
+        return df, number, number
+    pos = F.col(order_col)
+    block = [pos["file"].alias("_file"), pos["block"].alias("_block")]
+    blocks = df.select(*block).distinct()
+    ranked = blocks.withColumn("_rank", F.row_number().over(W.orderBy("_file", "_block")))
+    same = (pos["file"] == F.col("_file")) & (pos["block"] == F.col("_block"))
+    row = pos["row"].bitwiseAND(F.lit((1 << 33) - 1))  # within its task
+    order = F.shiftleft(F.col("_rank").cast("bigint"), 33).bitwiseOR(row)
+    return df.join(ranked, same), order, pos["row"]
+
+
+def _decided(
+    df: DataFrame, key_cols: Sequence[str], order_col: str, **values: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows (_key, _order, _number and values), and the groups of their keys.
+
+    A group is its first row's order, the values of that row, and its number of records.
+    Nothing here has a buffer of changing width, so groups are hashed, not sorted.
+    """
+    columns = [c for c in df.columns if c in {order_col, *key_cols}]
+    source = df.select(*columns) if not values else df
+    ordered, order, number = arrival(source, order_col)
+    narrow = ordered.select(
+        key_hash(df, key_cols).alias("_key"),
+        order.alias("_order"),
+        number.alias("_number"),
+        *[v.alias(name) for name, v in values.items()],
+    )
+    groups = narrow.groupBy("_key").agg(
+        F.min("_order").alias("_first"),
+        F.count(F.lit(1)).alias("_copies"),
+        *[F.min_by(name, "_order").alias(name) for name in values],
+    )
+    return narrow, groups
+
+
 def dedup(
     df: DataFrame, key_cols: Sequence[str], order_col: str = "pos", copies: str | None = None
 ) -> DataFrame:
     """Keep the first record per key in arrival order.
 
-    Keys are compared column by column. Records of a key are combined before the
-    shuffle, so at most one per key leaves each task and a key that holds a large
-    share of the feed does not gather anywhere. `copies` names a column for the
-    number of records the kept one stands for.
+    Keys are compared column by column, by a hash of 128 bits. Which record stays is
+    decided on rows of hash and position alone; then only the losers are taken out of the
+    records, which are neither sorted nor, where losers are few enough to be broadcast,
+    moved. `order_col` is the position of a landed record or a whole number, and differs
+    from record to record. `copies` names a column for the number of records the kept one
+    stands for.
     """
-    keys = [f"_key_{i}" for i, _ in enumerate(key_cols)]
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    return (
-        df.select(
-            *[key_text(df, c).alias(k) for k, c in zip(keys, key_cols)],
-            F.col(order_col).alias("_order"),
-            F.struct(*[c for c in df.columns if c != order_col]).alias("_record"),
-        )
-        # Numbers sort faster than texts with the same beginning, so a hash leads;
-        # the texts behind it keep different keys apart.
-        .withColumn("_hash", F.xxhash64(*keys))
-        .groupBy("_hash", *keys)
-        .agg(
-            F.min_by("_record", "_order").alias("_record"),
-            F.min("_order").alias(order_col),
-            *counted,
-        )
-        .select("_record.*", order_col, *([copies] if copies else []))
+    narrow, groups = _decided(df, key_cols, order_col)
+    repeated = narrow.join(groups.where("_copies > 1"), "_key")
+    number = F.col(order_col)
+    if isinstance(df.schema[order_col].dataType, T.StructType):
+        number = number["row"]
+    marked = repeated.select(
+        "_number", F.when(F.col("_order") == F.col("_first"), F.col("_copies")).alias("_stands_for")
     )
+    if copies is None:
+        marked = marked.where("_stands_for IS NULL")
+    # Not an anti join: that would be repeated for each part of a union.
+    found = df.join(marked, number == F.col("_number"), "left").where(
+        "_number IS NULL OR _stands_for IS NOT NULL"
+    )
+    counted = [F.coalesce("_stands_for", F.lit(1)).cast("bigint").alias(copies)] if copies else []
+    return found.select(*df.columns, *counted)
 
 
 # --- violations -------------------------------------------------------------------
@@ -325,9 +379,18 @@ def stats_of_kept(kept: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
-def extraction_stats(records: DataFrame, feed: Feed) -> DataFrame:
-    """The counts of one feed straight from its raw records."""
-    return stats_of_kept(with_counts(records, feed), feed)
+def extraction_stats(records: DataFrame, feed: Feed, order_col: str = "pos") -> DataFrame:
+    """The counts of one feed straight from its raw records, which are read once.
+
+    Every record's violations are counted where it is read, so only hash, position and
+    that count are moved.
+    """
+    rules = checks(records, feed)
+    count = reduce(Column.__add__, [F.when(rule.broken, 1).otherwise(0) for rule in rules])
+    _, groups = _decided(
+        with_schemas(records, feed), feed.key, order_col, violations=count.cast("bigint")
+    )
+    return stats_of_kept(groups.withColumnRenamed("_copies", "copies"), feed)
 
 
 def total_violations(stats: DataFrame) -> DataFrame:

@@ -37,6 +37,9 @@ STATUS = """
       ELSE 'completed' END
 """
 
+# Repeats arrive after all first deliveries.
+SECOND_DELIVERY = 1 << 62
+
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -100,12 +103,12 @@ def raw_client(events_df: DataFrame) -> DataFrame:
         ).alias("user_id"),
         F.expr(EVENT_NAME).cast("variant").alias("event_name"),
         F.when(F.col("event_type") != "error", F.parse_json("props")).alias("properties"),
-        F.struct(F.lit(0).alias("delivery"), F.col("event_id").alias("row")).alias("pos"),
+        F.col("event_id").cast("bigint").alias("pos"),
     )
     repeats = (
         base.where(F.expr("event_name::string") == "purchase_intent")
         .withColumn("event_id", F.expr("concat('again-', event_id::string)::variant"))
-        .withColumn("pos", F.struct(F.lit(1).alias("delivery"), F.col("pos.row").alias("row")))
+        .withColumn("pos", F.col("pos") + SECOND_DELIVERY)
     )
     return base.unionByName(repeats)
 
@@ -124,12 +127,12 @@ def raw_server(events_df: DataFrame) -> DataFrame:
         F.expr(STATUS).alias("status"),
         F.expr(AMOUNT).alias("amount"),
         F.expr(EXT_ID).alias("ext_id"),
-        F.struct(F.lit(0).alias("delivery"), F.col("event_id").alias("row")).alias("pos"),
+        F.col("event_id").cast("bigint").alias("pos"),
     )
     repeats = (
         base.where(F.col("status") == "failed")
         .withColumn("amount", F.col("amount") + 1)
-        .withColumn("pos", F.struct(F.lit(1).alias("delivery"), F.col("pos.row").alias("row")))
+        .withColumn("pos", F.col("pos") + SECOND_DELIVERY)
     )
     return base.unionByName(repeats).select(
         "tx_id",

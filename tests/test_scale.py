@@ -77,12 +77,35 @@ def test_shuffles(staged, no_broadcast):
     assert exchanges(journey.user_journey(client, server, prefer_link=True)) == 4
 
 
-def test_dedup_combines_copies_before_its_only_shuffle(tables):
+def test_dedup_decides_on_narrow_rows(tables):
+    """Records are neither sorted nor shuffled; hash and position alone are grouped."""
     kept = ingest.dedup(tables.raw_client, CLIENT.key)
-    assert exchanges(kept) == 1 and "partial_min_by" in plan(kept)
+    text = plan(kept)
+    assert exchanges(kept) == 1 and "partial_min(_order" in text
+    assert text.count("BroadcastExchange") == 2
+    for text in (text, plan(ingest.extraction_stats(tables.raw_client, CLIENT))):
+        assert not re.search(r"SortAggregate|ObjectHashAggregate|Sort \[", text)
+    assert exchanges(ingest.extraction_stats(tables.raw_client, CLIENT)) == 2
     assert exchanges(ingest.drift(tables.raw_client, CLIENT)) == 0
 
 
+def test_dedup_without_broadcast_never_sorts_whole_groups(tables, no_broadcast):
+    text = plan(ingest.dedup(tables.raw_client, CLIENT.key))
+    assert "Aggregate" in text and "SortAggregate" not in text
+
+
+def test_a_third_of_the_records_share_a_key(spark):
+    hot = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('t', id) END AS tx_id",
+        "id AS amount",
+        "9000000000 - id AS pos",
+    )
+    kept = ingest.dedup(hot, ["tx_id"], copies="copies")
+    row = kept.selectExpr("count(*)", "sum(copies)", "min_by(amount, tx_id = 'hot')", "max(copies)")
+    last = kept.where("tx_id = 'hot'").select("amount", "copies").collect()
+    assert tuple(row.first())[:2] == (20_001, 30_000) and [tuple(r) for r in last] == [(29_997, 10_000)]
+
+
 def test_sample_is_a_top_k(tables):
     assert "TakeOrderedAndProject" in plan(summaries.sample(tables.mart, "both"))
 
