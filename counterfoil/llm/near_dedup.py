@@ -12,9 +12,9 @@ At a similarity of 0.8 two texts share a sketch with probability of about 0.41,
 sketches miss with 0.59^24, 3 in a million.
 
 Definite results: a null text is the empty text; texts without words are copies of each
-other only if they are equal; null ids are kept, and never stand for a class that has
-another id; rows that repeat an id get the class of their own text; an empty table gives
-no rows. Texts are read whole.
+other only if they are equal; rows with a null id are documents as others are, and stand
+for a class only if it has no other id; rows that repeat an id get the class of their own
+text; an empty table gives no rows. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import Columns, id_and_text, map_columns, named, written
+from counterfoil.llm.common import Columns, id_and_text, map_columns, written
 from counterfoil.llm.graph import components
 from counterfoil.llm.words import mixed, window_hashes, word_hashes
 
@@ -157,17 +157,18 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of ids whose texts are similar enough: a, b, similarity.
+    """Pairs (a, b) of numbers of texts that are similar enough: a, b, similarity.
 
-    texts: id and text_hash of the folded texts; docs: doc_id and text. Texts without a
-    partner are left out by the first join; rows that repeat an id are told apart by
-    their hash. The later joins are plain ones on an id, so a text with very many
-    partners is split by adaptive execution.
+    texts: id (a number) and text_hash of the folded texts; docs: doc_id and text. Texts
+    without a partner are left out by the first join. The later joins are plain ones on a
+    number, so a text with very many partners is split by adaptive execution.
     """
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    keys = texts.select("id", "text_hash").join(ids, "id", "left_semi")
-    hashed = docs.select(F.col("doc_id").alias("id"), F.unhex(F.md5("text")).alias("text_hash"), "text")
-    used = hashed.join(keys, ["id", "text_hash"], "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    keys = texts.join(ids, "id", "left_semi").select("id", F.col("text_hash").alias("own"), "first_id")
+    hashed = docs.select("doc_id", F.unhex(F.md5("text")).alias("text_hash"), "text")
+    # rows with the smallest id of their text: copies of a hot text are not moved
+    same = (F.col("text_hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    used = hashed.join(keys, same).groupBy("id").agg(F.first("text").alias("text"))
     used = written(used, "near-texts")
     with_b = pairs.join(used.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(used.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -210,15 +211,16 @@ def _as_pairs(both: DataFrame, least: float) -> DataFrame:
 def _center_pairs(placed: DataFrame, turn: int, least: float) -> DataFrame:
     """Each text with the centers of its buckets, other ones each round.
 
-    The smallest id comes first: it is often what the others were copied from.
+    The smallest doc_id comes first: it is often what the others were copied from.
     """
     text = F.struct("id", "n", "label")
+    last = F.lit((1 << 63) - 1)
     seeds = range(sum(CENTERS[:turn]) + 1, sum(CENTERS[: turn + 1]))
     picks = [
         F.min(F.struct(F.xxhash64("id", "key", F.lit(seed)).alias("h"), text.alias("t")))["t"]
         for seed in seeds
     ]
-    first = F.min(text) if turn == 0 else F.max(text)
+    first = (F.min_by if turn == 0 else F.max_by)(text, F.coalesce("first_id", last))
     centers = placed.groupBy("key").agg(F.array_distinct(F.array(first, *picks)).alias("centers"))
     # a text has at most SKETCHES buckets, so what it meets is bounded; each center once
     met = (
@@ -322,9 +324,13 @@ def _new(pairs: DataFrame, compared: DataFrame | None) -> DataFrame:
 def near_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), kept, text_hash.
+    """One row per document: doc_id, class_id, kept, text_hash, class_hash.
 
-    Equal texts are folded first, by content hash. Then come rounds, one for each number in
+    A class is named by the row that stands for it: the smallest doc_id (nulls last), and
+    of texts with that id the one with the smallest hash, class_hash.
+
+    Equal texts are folded first, by content hash, and numbered: texts are told apart by
+    that number, never by an id, which may repeat or be null. Then come rounds, one for each number in
     CENTERS: each bucket of texts with a common sketch picks so many of its texts, other
     ones each round, and compares them with those of the bucket that are in another class
     so far. A round costs that many comparisons per text and bucket at most, however large
@@ -338,13 +344,13 @@ def near_classes(
     found = written(_sketched(plain), "sketches")
     # one id for each distinct text; a third of all rows with one text fold in their tasks
     texts = found.groupBy("text_hash").agg(
-        F.min("doc_id").alias("id"),
+        F.min("doc_id").alias("first_id"),
         F.first("n_shingles").alias("n"),
         F.first("sketches").alias("sketches"),
         F.first("bins").alias("bins"),
     )
-    texts = written(texts.where("id IS NOT NULL"), "near-ids")
-    every = texts.select("id", "n", F.explode("sketches").alias("key"))
+    texts = written(texts.withColumn("id", F.monotonically_increasing_id()), "near-ids")
+    every = texts.select("id", "first_id", "n", F.explode("sketches").alias("key"))
     sizes = every.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     buckets = written(every.join(sizes.where("members > 1"), "key"), "buckets")
 
@@ -367,22 +373,35 @@ def near_classes(
         pairs = _new(_block_pairs(placed, texts, least), compared)
         more = written(_verified(pairs, texts, plain, least), "links")
         labels = components(links.unionByName(more))
-    per_text = texts.join(labels, "id", "left").select(
-        "text_hash", F.coalesce("label", "id").alias("class_id")
+    named_by = F.struct(
+        F.col("first_id").isNull().alias("unknown"), F.col("first_id").alias("id"), "text_hash"
+    )
+    label = F.coalesce("label", "id").alias("label")
+    per_text = written(
+        texts.join(labels, "id", "left").select("text_hash", "first_id", label), "near-classes"
+    )
+    classes = per_text.groupBy("label").agg(F.min(named_by).alias("by"))
+    per_text = per_text.join(classes, "label").select(
+        "text_hash", F.col("by.id").alias("class_id"), F.col("by.text_hash").alias("class_hash")
+    )
+    stands = F.col("doc_id").eqNullSafe(F.col("class_id")) & (
+        F.col("text_hash") == F.col("class_hash")
     )
-    return found.select("doc_id", "text_hash").join(per_text, "text_hash", "left").select(
+    return found.select("doc_id", "text_hash").join(per_text, "text_hash").select(
         "doc_id",
         "class_id",
-        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+        stands.alias("kept"),
         F.lower(F.hex("text_hash")).alias("text_hash"),
+        F.lower(F.hex("class_hash")).alias("class_hash"),
     )
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stand for their class, all columns as they came."""
-    marks = near_classes(docs, id_col, text_col).where("kept")
-    marks = marks.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).distinct()
-    own = F.md5(F.coalesce(named(text_col).cast("string"), F.lit("")))
-    same = named(id_col).eqNullSafe(F.col("m_id")) & (own == F.col("m_hash"))
-    return docs.join(marks, same, "left_semi")
+    """The rows that stand for their class, all columns as they came.
 
+    Rows that equal each other in id and text stay together.
+    """
+    marks = near_classes(docs, id_col, text_col).where("kept").select("doc_id", "text_hash").distinct()
+    own = F.md5(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")))
+    same = docs[f"`{id_col}`"].eqNullSafe(marks["doc_id"]) & (own == marks["text_hash"])
+    return docs.join(marks, same, "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
@@ -319,6 +320,34 @@ def test_near_dedup_of_odd_rows(odd, none):
     assert near_dedup.deduplicated(odd).count() == len(ODD) - 3
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_near_dedup_loses_no_text_of_a_repeated_id(spark, turned):
+    """Texts that share an id have classes of their own; texts without an id have them too."""
+    a, b, c = (prose(120).split() for _ in range(3))
+
+    def near(words):
+        return " ".join([*words[:60], "changed", *words[61:]])
+
+    rows = [(8, " ".join(b)), (8, " ".join(a)), (3, near(b)), (9, near(a)), (None, " ".join(c)),
+            (None, near(c)), (None, " ".join(c)), (None, ""), (5, None)]
+    df = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string")
+    df = df.withColumns({"m_id": F.lit("x"), "m_hash": F.lit(1), "class_id": F.lit(None).cast("int")})
+    found = near_dedup.near_classes(df).collect()
+    assert len(found) == len(rows)
+    digest = {hashlib.md5(t.encode()).hexdigest(): t for t in {t or "" for _, t in rows}}
+    classes = {(r.doc_id, digest[r.text_hash]): (r.class_id, digest[r.class_hash]) for r in found}
+    smallest = min(" ".join(c), near(c), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert classes == {
+        (8, " ".join(b)): (3, near(b)), (3, near(b)): (3, near(b)),
+        (8, " ".join(a)): (8, " ".join(a)), (9, near(a)): (8, " ".join(a)),
+        (None, " ".join(c)): (None, smallest), (None, near(c)): (None, smallest),
+        (None, ""): (5, ""), (5, ""): (5, ""),
+    }
+    kept = [(r.doc_id, r.text or "") for r in near_dedup.deduplicated(df).collect()]
+    wanted = {(3, near(b)), (8, " ".join(a)), (None, smallest), (5, "")}
+    assert set(kept) == wanted and near_dedup.deduplicated(df).columns == df.columns
+
+
 def test_near_dedup_of_one_large_bucket(spark):
     # pairs that have hardly more in common than all texts have
     def own(name, n):
