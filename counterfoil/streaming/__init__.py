@@ -1,6 +1,6 @@
 """Structured Streaming forms of deduplication and time matching."""
 
-from counterfoil.streaming.dedup import stream_dedup, stream_records
+from counterfoil.streaming.dedup import Upserted, stream_dedup, stream_records, upsert_records
 from counterfoil.streaming.journey import (
     best_candidates,
     journey_between,
@@ -12,6 +12,7 @@ from counterfoil.streaming.journey import (
 from counterfoil.streaming.run import drain
 
 __all__ = [
+    "Upserted",
     "best_candidates",
     "drain",
     "journey_between",
@@ -21,4 +22,5 @@ __all__ = [
     "stream_journey",
     "stream_records",
     "untimed_journey",
+    "upsert_records",
 ]

@@ -595,3 +595,6 @@ FROM raw""",
     "stream_landed_journey": f"WITH {STAGED} {JOURNEY}",
     "stream_journey": f"WITH {STAGED} {JOURNEY}",
 }
+
+# A stream that takes all files in keeps what batch keeps.
+ORACLES["stream_upsert"] = ORACLES["dedup_client"]

@@ -13,6 +13,7 @@ from counterfoil import streaming
 from counterfoil.operators.ingest import dedup
 from counterfoil.operators.journey import user_journey
 from counterfoil.sources import CLIENT, read_records
+from counterfoil.streaming.dedup import fold_batch
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -59,6 +60,51 @@ def test_repeats_in_later_files(spark, tmp_path):
     assert ours.exceptAll(batch).isEmpty()
 
 
+def test_upsert_keeps_what_batch_keeps_in_any_order_of_arrival(spark, tmp_path):
+    """A file that sorts before all others comes last, after a restart."""
+    folder, table = tmp_path / "feed", str(tmp_path / "kept")
+    folder.mkdir()
+
+    def write(name, rows):
+        lines = [r if isinstance(r, str) else json.dumps(
+            {"event_id": f"{name}{k}", "timestamp": r[0], "user_id": r[1], "event_name": "x",
+             "properties": {"from": name}}) for k, r in enumerate(rows)]
+        (folder / f"{name}.json").write_text("".join(line + "\n" for line in lines))
+        moment = 1_700_000_000 + len(list(folder.iterdir()))
+        os.utime(folder / f"{name}.json", (moment, moment))
+
+    def batch():
+        records = read_records(spark, str(folder), CLIENT, lines=True)
+        return dedup(records, CLIENT.key).select(*CLIENT.types)
+
+    def same(ours):
+        texts = [F.to_json(c).alias(c) for c in CLIENT.types]
+        a, b = ours.select(*texts), batch().select(*texts)
+        return a.count() == b.count() and a.exceptAll(b).isEmpty()
+
+    write("c", [("t1", "u"), ("t2", "u"), ("t2", "u"), "{broken"])
+    write("d", [("t1", "u"), ("t3", None)])
+    first = streaming.upsert_records(spark, str(folder), CLIENT, table, 1)
+    assert same(first.kept) and first.late.isEmpty()
+    assert [r.unreadable for r in first.unreadable.collect()] == ["{broken"]
+
+    write("a", [("t3", None), ("t9", "v"), ("t3", None)])
+    write("b", [("t1", "u"), ("t3", None)])
+    second = streaming.upsert_records(spark, str(folder), CLIENT, table, 1)
+    assert same(second.kept)
+    replaced = {r.event_id.toPython(): r.replaced.file[-6:] for r in second.late.collect()}
+    assert replaced == {"b0": "c.json", "a0": "d.json"}
+
+    # a batch that is done again replaces what it wrote
+    number, late = second.late.agg(F.max("batch"), F.count("*")).first()
+    again = spark.read.parquet(f"{table}-incoming")
+    held = str(tmp_path / "held")
+    again.select("*", "pos.file", "pos.block").drop("pos").write.parquet(held)
+    fold_batch(spark.read.parquet(held), number, table, CLIENT)
+    third = streaming.upsert_records(spark, str(folder), CLIENT, table, 1)
+    assert same(third.kept) and third.late.count() == late
+
+
 def test_journey_over_files(spark, tmp_path, tables):
     """Files in time order: candidates are complete, and events without any appear in time."""
 
