@@ -43,8 +43,8 @@ def transaction(server: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in SERVER_COLUMNS])
 
 
-def _candidates(
-    client: DataFrame, server: DataFrame, window_s: int, prefer_link: bool
+def candidates(
+    client: DataFrame, server: DataFrame, window_s: int = 300, prefer_link: bool = False
 ) -> DataFrame:
     """Client events with struct `tx`: the nearest transaction of their user or none.
 
@@ -93,7 +93,8 @@ def _candidates(
     unplaced = client.where(~placed).select(
         *CLIENT_COLUMNS, F.lit(BY_USER).alias("_linked"), nothing.alias("tx")
     )
-    return found.where(f"_linked = {BY_USER} OR tx IS NOT NULL").unionByName(unplaced)
+    every = found.where(f"_linked = {BY_USER} OR tx IS NOT NULL").unionByName(unplaced)
+    return every if prefer_link else every.drop("_linked")
 
 
 def _best_per_event(rows: DataFrame) -> DataFrame:
@@ -143,5 +144,5 @@ def user_journey(
     time. A transaction may serve several events. Where event ids are known to
     be unique, `unique_ids` saves the last shuffle (time matching only).
     """
-    rows = _candidates(client, server, window_s, prefer_link)
+    rows = candidates(client, server, window_s, prefer_link)
     return _journey_columns(rows) if unique_ids and not prefer_link else best_journey(rows)

@@ -2,8 +2,11 @@
 
 Two ways. `stream_journey` joins the two streams and gives candidates at once;
 what it writes grows with the transactions a user has within the window. For
-feeds with very busy users, `land` only appends both streams to tables by hour,
-and `journey_between` matches the hours that are complete in linear time.
+feeds with very busy users, `land` only appends both streams to tables by hour, and
+`match_landed` matches every hour whose rows, or those around it, have changed since it
+was matched: a row that comes late, however late, is matched with its hour again.
+`frontier` is the hour from which on rows may still be missing in the ordinary course,
+and `late_rows` counts what came behind it.
 """
 
 from __future__ import annotations
@@ -11,12 +14,18 @@ from __future__ import annotations
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from counterfoil.functions.times import micros
-from counterfoil.operators.journey import CLIENT_COLUMNS, best_journey, transaction, user_journey
+from counterfoil.operators.journey import (
+    CLIENT_COLUMNS,
+    best_journey,
+    candidates,
+    transaction,
+    user_journey,
+)
 from counterfoil.operators.timeline import SECOND, cell_of, cell_width
-from counterfoil.streaming.run import drain
 
 # Fixed value: hours in this form sort as texts.
 HOUR = "yyyy-MM-dd-HH"
@@ -76,15 +85,107 @@ def _unmatched(client: DataFrame, like: DataFrame) -> DataFrame:
     return client.select(*CLIENT_COLUMNS, F.lit(None).cast(like.schema["tx"].dataType).alias("tx"))
 
 
-def land(stream: DataFrame, time_col: str, path: str, files_per_hour: int = 1) -> DataFrame:
-    """Append a staged stream to a table partitioned by the hour of `time_col`.
+def land(stream: DataFrame, time_col: str, path: str) -> DataFrame:
+    """Append a staged stream to a table by `batch` and by the `hour` of `time_col`.
 
-    A run adds at most `files_per_hour` files to an hour; raise it for feeds whose hours
-    are too large for one task. Rows without a time lie in an hour of their own (null).
+    A batch writes a folder of its own, so one that failed half-way is replaced when it
+    is repeated. Hours are dealt to tasks by their size: a large one is split, small ones
+    are put together. Rows without a time lie in an hour of their own (null).
     """
-    by_hour = stream.withColumn("hour", F.date_format(time_col, HOUR))
-    salt = F.pmod(F.xxhash64(*stream.columns), F.lit(files_per_hour))
-    return drain(by_hour.repartition("hour", salt), "landed", path, partition_by="hour")
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        by_hour = batch.withColumn("hour", F.date_format(time_col, HOUR))
+        sized = by_hour.hint("rebalance", "hour")
+        sized.write.mode("overwrite").partitionBy("hour").parquet(f"{path}/batch={number}")
+
+    # a table to read even before anything has come
+    none = spark.createDataFrame([], stream.schema).withColumn("hour", F.lit(None).cast("string"))
+    none.write.mode("ignore").partitionBy("hour").parquet(f"{path}/batch=-1")
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{path}-state")
+        .trigger(availableNow=True)
+    )
+    query.start().awaitTermination()
+    schema = none.withColumn("batch", F.lit(0).cast("bigint")).schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def frontier(client: DataFrame, server: DataFrame) -> str | None:
+    """The hour both landed streams have reached: hours before it are complete in the
+    ordinary course. None while one of them has nothing."""
+    last = [table.agg(F.max("hour")).first()[0] for table in (client, server)]
+    return None if None in last else min(last)
+
+
+def late_rows(landed: DataFrame) -> DataFrame:
+    """Rows per batch that fell into an hour before the last one an earlier batch had reached."""
+    by_hour = landed.where("hour IS NOT NULL").groupBy("batch", "hour").agg(F.count("*").alias("n"))
+    earlier = W.orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
+    # one row per batch
+    reached = by_hour.groupBy("batch").agg(F.max("hour").alias("last"))
+    reached = reached.select("batch", F.max("last").over(earlier).alias("reached"))
+    late = by_hour.join(reached, "batch").where("hour < reached")
+    return late.groupBy("batch").agg(F.sum("n").alias("late_rows"))
+
+
+def _hours(table: DataFrame, name: str) -> DataFrame:
+    """Rows of each hour, by its number."""
+    number = (F.unix_seconds(F.to_timestamp("hour", HOUR)) / 3600).cast("bigint")
+    rows = table.where("hour IS NOT NULL").groupBy("hour").agg(F.count("*").alias(name))
+    return rows.select("hour", number.alias("number"), name)
+
+
+def match_landed(client: DataFrame, server: DataFrame, path: str, window_s: int = 300) -> DataFrame:
+    """Match what has landed and was not matched yet, or not with all that is there now.
+
+    Landed tables only grow, so an hour has to be matched again if it has more events, or
+    it and the hours within reach have more transactions, than when it was. The matches of
+    an hour are replaced whole; what they were made from is written after them, so a run
+    that failed half-way is made up for by the next. Gives the journey rows of everything
+    that has landed, the same as one batch over it, whatever order it came in.
+    """
+    spark = client.sparkSession
+    reach = -(-window_s // 3600)
+    near = F.explode(F.sequence(F.col("number") - reach, F.col("number") + reach)).alias("number")
+    offered = _hours(server, "n").select("n", near).groupBy("number").agg(F.sum("n").alias("offered"))
+    now = _hours(client, "events").join(offered, "number", "left").select(
+        "hour", "number", "events", F.coalesce("offered", F.lit(0)).alias("offered")
+    )
+    done = f"{path}/hours"
+    state = "hour string, events long, offered long"
+    spark.createDataFrame([], state).write.mode("ignore").parquet(done)
+    before = spark.read.schema(state).parquet(done).groupBy("hour").agg(
+        F.max("events").alias("had_events"), F.max("offered").alias("had_offered")
+    )
+    changed = now.join(before, "hour", "left").where(
+        "had_events IS NULL OR events > had_events OR offered > had_offered"
+    )
+    # a row per hour: bounded by the time the tables span
+    stale = changed.select(*now.columns).collect()
+    if stale:
+        hours = [r.hour for r in stale]
+        around = {n + d for r in stale for n in (r.number,) for d in range(-reach, reach + 1)}
+        names = [datetime.fromtimestamp(3600 * n, UTC).strftime("%Y-%m-%d-%H") for n in sorted(around)]
+        found = candidates(
+            client.where(F.col("hour").isin(hours)), server.where(F.col("hour").isin(names)), window_s
+        )
+        (
+            found.withColumn("hour", F.date_format("event_at", HOUR))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("hour")
+            .parquet(f"{path}/matches")
+        )
+        rows = [(r.hour, r.events, r.offered) for r in stale]
+        spark.createDataFrame(rows, state).write.mode("append").parquet(done)
+    untimed = _unmatched(client.where("hour IS NULL"), server.select(transaction(server).alias("tx")))
+    if not stale and now.isEmpty():
+        return best_journey(untimed)
+    kinds = untimed.withColumn("hour", F.lit("")).schema
+    matched = spark.read.schema(kinds).parquet(f"{path}/matches").drop("hour")
+    return best_journey(matched.unionByName(untimed))
 
 
 def landed_span(client: DataFrame) -> tuple[datetime, datetime] | None:

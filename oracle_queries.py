@@ -594,6 +594,7 @@ SELECT DISTINCT CASE WHEN numeric_user THEN user_id ELSE {quoted('user_id')} END
 FROM raw""",
     "stream_landed_journey": f"WITH {STAGED} {JOURNEY}",
     "stream_journey": f"WITH {STAGED} {JOURNEY}",
+    "stream_matched_journey": f"WITH {STAGED} {JOURNEY}",
 }
 
 # A stream that takes all files in keeps what batch keeps.

@@ -172,3 +172,44 @@ def test_landing_goes_on_and_spans_join_up(spark, tmp_path, tables):
     plan = spans[1]._jdf.queryExecution().executedPlan().toString()
     filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan)
     assert filters and all("hour" in f for f in filters)
+
+
+def test_late_rows_are_matched_again_and_counted(spark, tmp_path, tables):
+    """Files out of order give what one batch gives; only hours that changed are matched again."""
+    n = F.pmod(F.xxhash64("user_id"), F.lit(50))
+    day = F.to_date("at").cast("string")
+    pieces = [day >= "2024-01-10", (day < "2024-01-10") & (n != 0), (day < "2024-01-10") & (n == 0)]
+    path = str(tmp_path / "matched")
+    seen = []
+    for piece in pieces:
+        landed = []
+        for name, df, time_col in (("client", tables.client, "event_at"), ("server", tables.server, "transaction_at")):
+            folder = str(tmp_path / name)
+            df.withColumn("at", F.col(time_col)).where(piece).drop("at").write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(df.schema).parquet(folder)
+            landed.append(streaming.land(stream, time_col, f"{folder}-landed"))
+        found = streaming.match_landed(*landed, path)
+        whole = user_journey(*(t.select(*df.columns) for t, df in zip(landed, (tables.client, tables.server))))
+        assert found.count() == whole.count() and found.exceptAll(whole).isEmpty()
+        seen.append(spark.read.parquet(f"{path}/hours").count())
+    assert found.count() == tables.client.count()
+    hours = landed[0].select("hour").distinct().count()
+    assert seen[0] < seen[1] and seen[2] < seen[1] + hours
+    for table, df, time_col in zip(landed, (tables.client, tables.server), ("event_at", "transaction_at")):
+        late = {r.batch: r.late_rows for r in streaming.late_rows(table).collect()}
+        assert sum(late.values()) == df.where(F.to_date(time_col) < F.lit("2024-01-10")).count()
+        assert table.count() == df.count()
+    last = [df.agg(F.date_format(F.max(c), "yyyy-MM-dd-HH")).first()[0]
+            for df, c in ((tables.client, "event_at"), (tables.server, "transaction_at"))]
+    assert streaming.frontier(*landed) == min(last)
+
+
+def test_nothing_has_landed(spark, tmp_path, tables):
+    landed = []
+    for name, df, time_col in (("c", tables.client, "event_at"), ("s", tables.server, "transaction_at")):
+        df.where("false").write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
+        landed.append(streaming.land(stream, time_col, str(tmp_path / f"{name}-landed")))
+    assert streaming.frontier(*landed) is None
+    assert streaming.late_rows(landed[0]).isEmpty()
+    assert streaming.match_landed(*landed, str(tmp_path / "matched")).isEmpty()
