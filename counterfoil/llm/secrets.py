@@ -3,7 +3,15 @@
 The lexer finds name-literal pairs of source and configuration text (`name = "x"`,
 `name: x`, `"name": "x"`, `NAME=x`, `name := 'a' + 'b'`), follows names that stand on
 the right of a later assignment back to their literals, and scores each literal by the
-most sensitive name that it reaches.
+most sensitive name that it reaches. Texts joined by + are scored as one. A call's
+quoted arguments count as what it gives (of a lookup by name, all but the first); so do
+triple-quoted texts, a value on the next line in parentheses, and an element's text
+(`<pwd>x</pwd>`). A name or a path of names without quotes is a reference, not a literal,
+unless letters and digits alternate in it as in no name, and it is not called or
+subscripted.
+
+The plain patterns take references too, and their spans are reported as they are;
+`masked` leaves those alone, so that code stays code.
 
 Definite results: a null text is the empty text and has no spans; null ids are kept;
 repeated rows are scanned one by one; equal spans of one kind count once. Texts are
@@ -64,12 +72,38 @@ _PAIR = re.compile(
     r"""|:=|=>|=(?!=)|:(?![:/]))[ \t]*+"""
 )
 _VALUE = re.compile(
-    r""""(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|(?P<name>[A-Za-z_][\w.]*+)(?![\w+/=$@!#%^&*~-])|(?P<bare>[^\s"',;()\[\]{}]++)"""
+    r"""(?:[fFrRbBuU]{1,2}(?=["']))?+(?:\"\"\"(?P<t>(?:[^"\\]|\\.|"(?!""))*+)\"\"\"|'''(?P<u>(?:[^'\\]|\\.|'(?!''))*+)'''"""
+    r"""|"(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)')|(?P<name>[A-Za-z_][\w.]*+)(?![\w+/=$@!#%^&*~-])|(?P<bare>[^\s"',;()\[\]{}]++)""",
+    re.DOTALL,
 )
+_GROUPS = ("t", "u", "d", "s", "bare")
+# What may follow an assignment before its value: a parenthesis, and then another line.
+_OPEN = re.compile(r"\((?:[ \t]*+\r?\n)?[ \t]*+")
+# The arguments of a call up to the end of its line, without calls inside.
+_ARGUMENTS = re.compile(r"""[(\[](?:[^()\[\]"'\n]|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')*+[)\]]""")
+_QUOTED = re.compile(r""""((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'""")
+# Calls that look a value up by the name in their first argument.
+LOOKUPS = ("get", "getenv", "getproperty", "getorelse", "getordefault", "pop", "setdefault", "env")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)>([^<>\s]{8,})</\1>")
+_PATH = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*")
+_TURNS = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 _PLUS = re.compile(r"[ \t]*+[+.][ \t]*+(?=[\"'A-Za-z_])")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|[^A-Za-z0-9]+")
 
 
+def is_reference(word: str, after: str) -> bool:
+    """Whether a word without quotes names a value: `after` is the text behind it.
+
+    Names seldom change between letters and digits more than once (`key2`, `v2Key`);
+    secrets do.
+    """
+    if not _PATH.fullmatch(word):
+        return False
+    if after[:1] in {"(", "["}:
+        return True
+    return all(len(_TURNS.findall(name)) < 3 for name in word.split("."))
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost matches of the plain patterns; matches that fail a length rule are dropped."""
     found = [
@@ -111,26 +145,40 @@ def assigned_literals(text: str) -> list[tuple[str, str, int, int]]:
         name, at = pair["name"], pair.end()
         kind = pair["type"]
         reached: list[tuple[str, int, int]] = []
+        if opened := _OPEN.match(text, at):
+            at = opened.end()
         while value := _VALUE.match(text, at):
+            end = value.end()
             if value["name"] is not None:
                 word = value["name"]
-                if word in known:
+                call = _ARGUMENTS.match(text, end)
+                if call:
+                    quoted = list(_QUOTED.finditer(text, *call.span()))
+                    lookup = word.rpartition(".")[2].lower() in LOOKUPS or call[0][0] == "["
+                    for q in quoted[lookup:]:
+                        found.append((name, q[q.lastindex or 1], *q.span(q.lastindex or 1)))
+                    end = call.end()
+                elif word in known:
                     reached += known[word]
-                elif not reached:  # an unquoted word, as in configuration files
-                    reached.append((word, *value.span()))
+                elif not reached and not is_reference(word, text[end : end + 1]):
+                    reached.append((word, *value.span()))  # as in configuration files
             else:
-                group = next(g for g in ("d", "s", "bare") if value[g] is not None)
-                reached.append((value[group], *value.span(group)))
-            plus = _PLUS.match(text, value.end())
+                group = next(g for g in _GROUPS if value[g] is not None)
+                if group != "bare" or not is_reference(value[group], text[end : end + 1]):
+                    reached.append((value[group], *value.span(group)))
+            plus = _PLUS.match(text, end)
             if not plus:
                 break
             at = plus.end()
         known[name] = reached
-        found += [(name, *x) for x in reached]
+        # what is joined is one text, and each of its parts gives it away
+        whole = "".join(literal for literal, _, _ in reached)
+        found += [(name, whole, start, end) for _, start, end in reached]
         if kind is not None:  # `note: password = "x"` looks like a type too
-            found += [(kind, *x) for x in reached]
+            found += [(kind, whole, start, end) for _, start, end in reached]
             found += [(name, *x) for x in known.get(kind, [(kind, *pair.span("type"))])]
             known[kind] = reached
+    found += [(m[1], m[2], *m.span(2)) for m in _ELEMENT.finditer(text)]
     return found
 
 
@@ -187,10 +235,26 @@ def count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _takes_reference(text: str, start: int, stop: int) -> bool:
+    """Whether the value of a plain assignment is a path of names, or is called."""
+    value = _ASSIGN.match(text, start)
+    if value is None or text[value.start(2) - 1] in "\"'":
+        return False
+    after = text[stop : stop + 1]
+    # a single word that is neither a path nor called may be a password
+    joint = "." in value[2] or "_" in value[2] or after in {"(", "["}
+    return joint and is_reference(value[2], after)
+
+
 def masked(text: str, mark: str = "[SECRET]") -> str:
     """The text with every span, overlapping ones together, replaced by a mark."""
+    plain = [
+        (kind, start, stop)
+        for kind, start, stop in base_spans(text)
+        if kind != "assign" or not _takes_reference(text, start, stop)
+    ]
     out, at, end = [], 0, -1
-    for _, start, stop in listed(base_spans(text) + literal_spans(text)):
+    for _, start, stop in listed(plain + literal_spans(text)):
         if start >= end:
             out += [text[at:start], mark]
         end = max(end, stop)
