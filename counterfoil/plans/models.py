@@ -15,7 +15,7 @@ from counterfoil.operators.staging import stg_client_events, stg_server_logs
 from counterfoil.plans.tables import written
 from counterfoil.sources.feeds import CLIENT, SERVER
 from counterfoil.sources.records import read_clean
-from counterfoil.sources.sinks import save_models, write_json
+from counterfoil.sources.sinks import publish, published, save_models, save_version, write_json
 
 
 def build_models(
@@ -29,13 +29,14 @@ def build_models(
 
     With `write` the tables that others read (both staging tables and the
     reconciliation mart) are written to the shared work folder first; with `db` they
-    are saved as tables there instead, and the rest is built from those.
+    are saved there, as a version that is not published yet, and the rest is built from those.
     """
+    spark = client_clean.sparkSession
+    version = None if db is None else published(spark, db) + 1
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         if db is not None:
-            save_models({name: df}, db)
-            return df.sparkSession.table(f"`{db}`.`{name}`")
+            return save_version(df, db, name, version)
         return written(df, name) if write else df
 
     client = stg_client_events(client_clean, strict)
@@ -66,8 +67,9 @@ def derive_models(
     if db is None:
         save_models(models)
     else:
-        rest = {n: models[n] for n in ("int_user_journey", "mart_revenue_summary")}
-        save_models(rest, db)
-        models |= {name: spark.table(f"`{db}`.`{name}`") for name in rest}
+        version = published(spark, db) + 1
+        for name in ("int_user_journey", "mart_revenue_summary"):
+            models[name] = save_version(models[name], db, name, version)
+        publish(spark, db, list(models), version)
     write_json(models["mart_reconciliation"], f"{out}/mart_reconciliation")
     return model_row_counts(models), attribution_snapshot(models["mart_reconciliation"])

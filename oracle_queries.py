@@ -599,3 +599,5 @@ FROM raw""",
 
 # A stream that takes all files in keeps what batch keeps.
 ORACLES["stream_upsert"] = ORACLES["dedup_client"]
+# A published version holds what session views hold.
+ORACLES["save_models_db"] = ORACLES["save_models"]

@@ -2,9 +2,12 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from counterfoil import __main__ as command
 from counterfoil.plans import derive_models, extract_feeds, report_findings
 from counterfoil.sources import CLIENT, SERVER, read_clean
+from counterfoil.sources.sinks import published, save_models, save_version
 from tests.test_ingest import CLIENT_RECORDS, SERVER_RECORDS, as_array
 
 
@@ -81,6 +84,36 @@ def test_models_as_tables(spark, tmp_path):
     assert spark.table("recon_test.int_user_journey").count() == 4
 
 
+def test_readers_see_one_whole_version(spark):
+    """Before, during and after a run; the version before the last stays for those at work."""
+    db = "versions_test"
+
+    def models(n):
+        return {name: spark.range(n).withColumn("n", F.lit(n)) for name in ("first", "second")}
+
+    def seen():
+        return [(spark.table(f"{db}.{m}").count(), spark.table(f"{db}.{m}").agg(F.max("n")).first()[0])
+                for m in ("first", "second")]
+
+    assert published(spark, db) == 0
+    save_models(models(3), db)
+    assert seen() == [(3, 3), (3, 3)] and published(spark, db) == 1
+    open_ = spark.table(f"{db}.first")
+    for name, df in models(5).items():
+        save_version(df, db, name, 2)
+        assert seen() == [(3, 3), (3, 3)]
+    # a run that failed half-way is replaced by the next one
+    save_models(models(7), db)
+    assert seen() == [(7, 7), (7, 7)] and published(spark, db) == 2
+    assert open_.count() in (3, 7)
+    save_models(models(9), db)
+    assert seen() == [(9, 9), (9, 9)]
+    kept = [r[0] for r in spark.sql(f"SHOW PARTITIONS {db}.first_versions").collect()]
+    assert sorted(kept) == ["version=2", "version=3"]
+    plan = spark.table(f"{db}.first")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan
+
+
 def test_command_line(spark, tmp_path, capsys):
     out = str(tmp_path / "out")
     client = as_array(tmp_path / "client.json", CLIENT_RECORDS)
