@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     extract.add_argument("--server", required=True)
     extract.add_argument("--out", required=True)
     extract.add_argument("--lines", action="store_true", help="JSON Lines, not one array per file")
+    extract.add_argument("--split", action="store_true", help="read each array by many tasks")
     extract.add_argument("--strict", action="store_true", help="fail on unreadable records")
 
     models = steps.add_parser("models", help="clean tables to marts")
@@ -35,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.step == "extract":
         counts = extract_feeds(
-            spark, args.client, args.server, args.out, args.lines, args.strict
+            spark, args.client, args.server, args.out, args.lines, args.strict, args.split
         )
         counts.show(truncate=False)
     elif args.step == "models":

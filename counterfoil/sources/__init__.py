@@ -2,8 +2,10 @@
 
 from counterfoil.sources.feeds import CLIENT, SERVER, Feed
 from counterfoil.sources.records import (
+    land_array,
     land_records,
     number_records,
+    read_array,
     read_clean,
     read_records,
     readable,
@@ -14,8 +16,10 @@ __all__ = [
     "CLIENT",
     "SERVER",
     "Feed",
+    "land_array",
     "land_records",
     "number_records",
+    "read_array",
     "read_clean",
     "read_records",
     "readable",

@@ -601,3 +601,5 @@ FROM raw""",
 ORACLES["stream_upsert"] = ORACLES["dedup_client"]
 # A published version holds what session views hold.
 ORACLES["save_models_db"] = ORACLES["save_models"]
+# Arrays hold what lines hold.
+ORACLES["read_array"] = ORACLES["read_records"]
