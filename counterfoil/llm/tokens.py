@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 # Distinct words a worker remembers; the table starts anew beyond that.
@@ -17,6 +19,8 @@ MEMO_WORDS = 800_000
 TOGETHER = 500
 # Words whose characters all keep their place when the tokenizer normalizes them.
 _PLAIN = re.compile(r"(?:[^\W_]|[!-;=-~])+")
+# Letters that normalization keeps and lower-casing maps one to one, and ASCII marks.
+_SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-;=-~]+")
 
 
 @cache
@@ -34,8 +38,38 @@ def id_type(tokenizer: Tokenizer) -> np.dtype:
     return np.dtype("<u2" if tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
 
 
+def word_parts(tokenizer: Tokenizer) -> regex.Pattern | None:
+    """The pattern whose matches in a lower-cased word are encoded each for itself.
+
+    None for tokenizers that do more than lower-casing before they split.
+    """
+    told = json.loads(tokenizer.to_str())
+    steps = [n["type"] for n in (told["normalizer"] or {}).get("normalizers", [])]
+    split = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in split] != ["Split", "ByteLevel"]:
+        return None
+    first, last = split
+    whole = first["behavior"] == "Removed" and first["invert"] and "Regex" in first["pattern"]
+    if not whole or last["use_regex"] or last["add_prefix_space"]:
+        return None
+    return regex.compile(first["pattern"]["Regex"])
+
+
+def last_ids(tokenizer: Tokenizer) -> np.ndarray:
+    """Whether each id ends what it is a part of, by the mark of the vocabulary."""
+    mark = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or "\0"
+    vocabulary = tokenizer.get_vocab(True)
+    found = np.zeros(max(vocabulary.values()) + 1, bool)
+    found[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+    return found
+
+
+def _lists(words: list[str]) -> Iterator[list[str]]:
+    return (words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER))
+
+
 class WordMemo:
-    """Ids of whole texts, each distinct word encoded once.
+    """Ids of whole texts, each distinct part of a word encoded once.
 
     Fits vocabularies that drop white space and end each word with a mark: the ids of
     a text are then the ids of its words one after the other. Texts are cut at ASCII
@@ -46,6 +80,8 @@ class WordMemo:
         self.tokenizer = load(path)
         self.kind = id_type(self.tokenizer)
         self.known: dict[str, bytes] = {}
+        self.parts = word_parts(self.tokenizer)
+        self.last = last_ids(self.tokenizer)
 
     def _learn(self, words: list[str]) -> None:
         """Encode words as one text, which is faster, and part the ids by where they stand."""
@@ -56,18 +92,45 @@ class WordMemo:
         for word, a, b in zip(words, [0, *parts[:-1]], parts, strict=True):
             self.known[word] = ids[a * width : b * width]
 
+    def _learn_parts(self, parts: list[str]) -> None:
+        """The same for parts that are not split further: each ends with its only end mark."""
+        found = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ids = np.array(found, self.kind)
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != len(parts):
+            self._learn(parts)
+            return
+        whole, ends = ids.tobytes(), (stops * self.kind.itemsize).tolist()
+        start = 0
+        for part, end in zip(parts, ends, strict=True):
+            self.known[part] = whole[start:end]
+            start = end
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as bytes of `kind`."""
         split = [_blank(t).split(" ") for t in texts]
         if len(self.known) > MEMO_WORDS:
             self.known.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.known))
+        new = set(chain.from_iterable(split)).difference(self.known)
+        # a word is its parts, which many words share: `Mine!!` is `mine` and `!!`
+        parted = {}
+        if self.parts:
+            simple = [w for w in new if _SIMPLE.fullmatch(w)]
+            find = self.parts.findall
+            parted = {w: find(w.lower()) for w in simple if not (w.isalpha() and w.islower())}
+            parts = set(chain.from_iterable(parted.values())).difference(self.known)
+            parts.update(w for w in simple if w not in parted)
+            new.difference_update(simple)
+            for some in _lists(list(parts)):
+                self._learn_parts(some)
         plain = [w for w in new if _PLAIN.fullmatch(w)]
-        for start in range(0, len(plain), TOGETHER):
-            self._learn(plain[start : start + TOGETHER])
-        for word in set(new).difference(plain):
+        for some in _lists(plain):
+            self._learn(some)
+        for word in new.difference(plain):
             found = self.tokenizer.encode(word, add_special_tokens=False)
             self.known[word] = np.array(found.ids, self.kind).tobytes()
+        for word, own in parted.items():
+            self.known[word] = b"".join([self.known[p] for p in own])
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

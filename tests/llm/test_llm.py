@@ -71,6 +71,18 @@ def odd(spark):
     ).withColumnRenamed("label", "key")
 
 
+def test_word_parts_give_the_ids_of_whole_texts():
+    own = random.Random(4)
+    marks = [*"'’!?.,;:-_()[]{}<>|/&%#@~^`\"=+*$\\", "'s", "'LL", "'Re", "''", "<|endoftext|>", "é", "É", "ß", "ÿ", "İ",
+             "ſ", "µ", "ª", "ñ", "n\u0303", "\u00a0", "7", "42", "٣", "中", "ǅ", "a", "Bc", "the", "Ing"]
+    texts = [" ".join("".join(own.choices(marks, k=own.randint(1, 6))) for _ in range(own.randint(0, 30)))
+             for _ in range(400)]
+    memo = word_memo(WORDS)
+    plain = Tokenizer.from_file(WORDS)
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, memo.kind).tolist() for ids in memo.encode(texts)] == wanted
+
+
 @pytest.fixture(scope="module")
 def none(odd):
     return odd.where("false")
