@@ -7,7 +7,7 @@ of a part's first id in the whole output is the prefix sum of the earlier parts.
 
 Definite results: a null text is the empty text (its end id alone); a null id comes
 first, and is written as the smallest int64; rows that repeat an id follow each other,
-ordered by text; an empty table gives no parts. Texts are never cut.
+ordered by a hash of the text and then the text; an empty table gives no parts. Texts are never cut.
 """
 
 from __future__ import annotations
@@ -45,16 +45,18 @@ def write_token_files(
 ) -> DataFrame:
     """Write the files below folder; returns a row per part: part, n_docs, n_ids, base.
 
-    Rows are dealt by ranges of doc_id, so the work of a part is bounded by the number
-    of partitions. A task writes under a name of its own and renames at its end, so a
+    Rows are dealt by ranges of doc_id and a hash of the text, so the work of a part is
+    bounded by the number of partitions, also where very many texts share an id. A task writes under a name of its own and renames at its end, so a
     repeated task replaces a part by the same bytes.
     """
     spark = docs.sparkSession
     folder = folder or work_folder(spark, "token-files")
     ordered = (
         id_and_text(docs, id_col, text_col)
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("own", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "own")
+        .sortWithinPartitions("doc_id", "own", "text")
+        .drop("own")
     )
 
     def write(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -136,7 +138,9 @@ def read_token_files(parts: DataFrame, with_ids: bool = False) -> DataFrame:
                         yield out
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    spread = parts.select("part", "width", "folder", "base").repartition(F.col("part"))
+    # a task per part: a number that is given is not merged by adaptive execution
+    n = max(1, parts.count())
+    spread = parts.select("part", "width", "folder", "base").repartition(n, "part")
     return map_columns(spread, read, schema + ", ids array<long>" * with_ids)
 
 

@@ -248,6 +248,20 @@ def test_token_files(spark, small, odd, none):
     assert token_files.read_token_files(token_files.write_token_files(none, WORDS, 2)).count() == 0
 
 
+def test_token_files_of_one_id_are_many(spark):
+    rows_ = [(None if k % 3 == 0 else k, f"text {k} of many") for k in range(2400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = token_files.write_token_files(spark.createDataFrame(rows_, "doc_id long, text string"), WORDS, 2)
+        sizes = [r.n_docs for r in parts.collect()]
+        read = token_files.read_token_files(parts)
+        assert read.rdd.getNumPartitions() == len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 2400 and max(sizes) < 800
+    assert read.where("doc_id IS NULL").count() == 800
+
+
 def test_secrets_base_and_literals():
     text = (
         'k = "hunter2Fgh8z"\npassword = k\nclientSecret: \'abC9\' + k\nexport DB_PASS=Tr0ub4dor3x\n'
