@@ -13,8 +13,10 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-# Distinct words a worker remembers; the table starts anew beyond that.
-MEMO_WORDS = 800_000
+# Distinct words and parts of words a worker remembers; a table starts anew beyond that.
+# Words are put together from parts cheaply, so parts are kept longer.
+MEMO_WORDS = 500_000
+MEMO_PARTS = 800_000
 # New words encoded as one text.
 TOGETHER = 500
 # Words whose characters all keep their place when the tokenizer normalizes them.
@@ -80,17 +82,18 @@ class WordMemo:
         self.tokenizer = load(path)
         self.kind = id_type(self.tokenizer)
         self.known: dict[str, bytes] = {}
+        self.known_parts: dict[str, bytes] = {}
         self.parts = word_parts(self.tokenizer)
         self.last = last_ids(self.tokenizer)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
         """Encode words as one text, which is faster, and part the ids by where they stand."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ends = np.cumsum([len(w) + 1 for w in words])
         parts = np.searchsorted([place[0] for place in found.offsets], ends).tolist()
         ids, width = np.array(found.ids, self.kind).tobytes(), self.kind.itemsize
         for word, a, b in zip(words, [0, *parts[:-1]], parts, strict=True):
-            self.known[word] = ids[a * width : b * width]
+            known[word] = ids[a * width : b * width]
 
     def _learn_parts(self, parts: list[str]) -> None:
         """The same for parts that are not split further: each ends with its only end mark."""
@@ -98,12 +101,12 @@ class WordMemo:
         ids = np.array(found, self.kind)
         stops = np.flatnonzero(self.last[ids]) + 1
         if len(stops) != len(parts):
-            self._learn(parts)
+            self._learn(parts, self.known_parts)
             return
         whole, ends = ids.tobytes(), (stops * self.kind.itemsize).tolist()
         start = 0
         for part, end in zip(parts, ends, strict=True):
-            self.known[part] = whole[start:end]
+            self.known_parts[part] = whole[start:end]
             start = end
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
@@ -111,26 +114,30 @@ class WordMemo:
         split = [_blank(t).split(" ") for t in texts]
         if len(self.known) > MEMO_WORDS:
             self.known.clear()
+        if len(self.known_parts) > MEMO_PARTS:
+            self.known_parts.clear()
         new = set(chain.from_iterable(split)).difference(self.known)
         # a word is its parts, which many words share: `Mine!!` is `mine` and `!!`
         parted = {}
         if self.parts:
             simple = [w for w in new if _SIMPLE.fullmatch(w)]
             find = self.parts.findall
-            parted = {w: find(w.lower()) for w in simple if not (w.isalpha() and w.islower())}
-            parts = set(chain.from_iterable(parted.values())).difference(self.known)
-            parts.update(w for w in simple if w not in parted)
+            parted = {w: [w] if w.isalpha() and w.islower() else find(w.lower()) for w in simple}
+            parts = set(chain.from_iterable(parted.values())).difference(self.known_parts)
             new.difference_update(simple)
             for some in _lists(list(parts)):
                 self._learn_parts(some)
         plain = [w for w in new if _PLAIN.fullmatch(w)]
         for some in _lists(plain):
-            self._learn(some)
+            self._learn(some, self.known)
         for word in new.difference(plain):
             found = self.tokenizer.encode(word, add_special_tokens=False)
             self.known[word] = np.array(found.ids, self.kind).tobytes()
         for word, own in parted.items():
-            self.known[word] = b"".join([self.known[p] for p in own])
+            if len(own) == 1:
+                self.known[word] = self.known_parts[own[0]]
+            else:
+                self.known[word] = b"".join([self.known_parts[p] for p in own])
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
