@@ -20,7 +20,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import tiktoken
@@ -30,10 +29,9 @@ from counterfoil.llm.common import Columns, id_and_text, map_columns
 from counterfoil.llm.tokens import load
 
 # The rolling hash looks at so many characters; one place in MEAN ends a chunk.
-WINDOW, MEAN = 8, 128
-# What a worker remembers, in entries; a table starts anew beyond that.
+WINDOW, MEAN = 8, 256
+# Chunks a worker remembers; the table starts anew beyond that.
 MEMO_CHUNKS = 100_000
-MEMO_WORDS = 400_000
 # Fixed value: how byte-level vocabularies of this kind split texts.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _FACTOR = np.uint32(0x9E3779B1)
@@ -56,11 +54,20 @@ def chunks(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(starts, ends, strict=True) if b > a]
 
 
+def _last_break(text: str) -> int:
+    """The start of the last certain break of a text that has one."""
+    at = text.rfind(" ", 1, len(text) - 1)
+    while text[at - 1].isspace() or text[at + 1].isspace():
+        at = text.rfind(" ", 1, at)
+    return at
+
+
 class ChunkEncoder:
-    """Whole texts to ids through remembered chunks, seams and words.
+    """Whole texts to ids through remembered chunks and the seams between them.
 
-    New words are merged by rank, which takes a vocabulary whose ids follow the order
-    of its merges; texts that hold a special token go through the tokenizer as they are.
+    Chunks and seams are merged by rank, which takes a vocabulary whose ids follow the
+    order of its merges; texts that hold a special token go through the tokenizer as
+    they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,39 +77,24 @@ class ChunkEncoder:
         self.merge = tiktoken.Encoding(
             "ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self.words: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[str, array | None, str]] = {}
+        self.asked = self.encoded = 0  # chunks met, and those of them that were new
         self.specials = tuple(t.content for t in added.values())
 
-    def pieces(self, text: str) -> list[int]:
-        """Ids of a text between two certain breaks, a remembered word at a time."""
-        words = _BREAK.sub("\0 ", text).split("\0") if "\0" not in text else [text]
-        known = self.words
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > MEMO_WORDS:
-                known.clear()
-                new = list(set(words))
-            for word in new:
-                known[word] = self.merge(word)
-        return list(chain.from_iterable(map(known.__getitem__, words)))
-
     def chunk(self, text: str) -> tuple[str, array | None, str]:
         """Left seam, inner ids, right seam; without a certain break (text, None, "")."""
+        self.asked += 1
         found = self.chunks.get(text)
         if found is None:
+            self.encoded += 1
             first = _BREAK.search(text)
             if first is None:
                 found = (text, None, "")
             else:
-                # the last one: characters before and after the blank lie inside the chunk
-                last = first.start()
-                for m in _BREAK.finditer(text, last):
-                    last = m.start()
-                inner = text[first.start() : last]
-                ids = array("I", self.pieces(inner) if inner else [])
-                found = (text[: first.start()], ids, text[last:])
-            if len(self.chunks) > MEMO_CHUNKS:
+                start, stop = first.start(), _last_break(text)
+                ids = array("I", self.merge(text[start:stop]) if stop > start else [])
+                found = (text[:start], ids, text[stop:])
+            if len(self.chunks) >= MEMO_CHUNKS:
                 self.chunks.clear()
             self.chunks[text] = found
         return found
@@ -116,11 +108,11 @@ class ChunkEncoder:
             left, inner, right = self.chunk(part)
             seam.append(left)
             if inner is not None:
-                ids += self.pieces("".join(seam))
+                ids += self.merge("".join(seam))
                 ids += inner
                 seam = [right]
         if seam:
-            ids += self.pieces("".join(seam))
+            ids += self.merge("".join(seam))
         return ids
 
 

@@ -204,6 +204,17 @@ def test_bpe_is_exact():
         assert bpe.decode(ids, BYTES) == tokenizer.decode(ids, skip_special_tokens=False) == text
 
 
+def test_shared_passages_are_encoded_once():
+    own = bpe.ChunkEncoder(BYTES)
+    passage = " ".join(rng.choices(["rain", "falls, ", "on\nthe", "42", "plain."], k=4000))
+    first = own.encode(passage)
+    before = own.encoded
+    assert own.encode(passage) == first and own.encoded == before
+    both = own.encode("An opening " + passage + " and an end")
+    assert bpe.decode(both, BYTES) == "An opening " + passage + " and an end"
+    assert own.encoded <= before + 4
+
+
 def test_bpe_query(spark, small, odd, none):
     tokenizer = Tokenizer.from_file(BYTES)
     for r in QUERIES["op3_bpe_round_trip"](spark, SMALL).collect():
