@@ -29,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_prefix(docs: DataFrame, wanted: str) -> str:
+    """wanted, longer by underscores while any column of docs starts with it in either case."""
+    while any(c.lower().startswith(wanted) for c in docs.columns):
+        wanted += "_"
+    return wanted
+
+
 def named(name: str) -> Column:
     """A column by its whole name, dots included."""
     return F.col(f"`{name}`")

@@ -13,7 +13,8 @@ With `wrapped`, blocks are besides all runs of neighbouring words of a paragraph
 the template's text over the threshold, so a notice may be broken over lines.
 
 Definite results: a null text is the empty text; null ids are kept; repeated rows are
-scanned one by one; blank blocks meet nothing; an empty table gives no rows.
+scanned one by one; blank blocks meet nothing; an empty table gives no rows. Result columns
+start with `l_`; where a column of the input does too, they start with `l__` (and so on).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import named
+from counterfoil.llm.common import free_prefix, named
 from counterfoil.llm.quality import only_once
 
 # Phrases and labels of the base scan.
@@ -132,10 +133,11 @@ def scanned(
     needs = [needed(len(words), threshold) for _, words in sets]
     prefixes = [words[: len(words) - k + 1] for (_, words), k in zip(sets, needs, strict=True)]
 
+    p = free_prefix(docs, "l_")
     prepared = docs.withColumn(
-        "l_text", lowered(F.coalesce(named(text_col).cast("string"), F.lit("")))
-    ).withColumn("l_words", words_in(F.col("l_text")))
-    words = F.col("l_words")
+        f"{p}text", lowered(F.coalesce(named(text_col).cast("string"), F.lit("")))
+    ).withColumn(f"{p}words", words_in(F.col(f"{p}text")))
+    words = F.col(f"{p}words")
     none = F.array().cast("array<int>")
     places = F.struct(
         *(
@@ -148,14 +150,14 @@ def scanned(
     # template words of each block, rarest first, of documents with any prefix word
     blocks = F.filter(
         F.transform(
-            F.split("l_text", separator),
+            F.split(f"{p}text", separator),
             lambda b: F.array_intersect(_strings(order), words_in(b)),
         ),
         lambda b: F.size(b) >= min(needs, default=1),
     )
     any_prefix = _strings(sorted({w for p in prefixes for w in p}))
     prepared = prepared.withColumn(
-        "l_blocks",
+        f"{p}blocks",
         F.when(F.arrays_overlap(words, any_prefix), blocks).otherwise(
             F.array().cast("array<array<string>>")
         ),
@@ -171,7 +173,7 @@ def scanned(
             may = (F.size(block) >= need) & first.isNotNull() & (room >= need)
             return F.when(may, F.size(F.array_intersect(template, block))).otherwise(0)
 
-        return F.coalesce(F.array_max(F.transform("l_blocks", common)), F.lit(0))
+        return F.coalesce(F.array_max(F.transform(f"{p}blocks", common)), F.lit(0))
 
     def in_window(own: list[str], need: int, span: int) -> Column:
         template = _strings(own)
@@ -189,10 +191,10 @@ def scanned(
 
         # windows are looked at only where the paragraph holds enough words
         paragraphs = F.filter(
-            F.transform(F.split("l_text", _BLANK_LINE), words_in),
-            lambda p: F.size(F.array_intersect(template, p)) >= need,
+            F.transform(F.split(f"{p}text", _BLANK_LINE), words_in),
+            lambda own_words: F.size(F.array_intersect(template, own_words)) >= need,
         )
-        enough = F.size(F.array_intersect(template, "l_words")) >= need
+        enough = F.size(F.array_intersect(template, f"{p}words")) >= need
         return F.when(enough, F.coalesce(F.array_max(F.transform(paragraphs, most)), F.lit(0))).otherwise(0)
 
     def score(own: list[str], prefix: list[str], need: int, span: int) -> Column:
@@ -210,10 +212,10 @@ def scanned(
     found = F.filter(F.array(*hits), lambda h: h["score"] >= h["need"] - 1e-9)
     no_hits = F.array().cast("array<struct<label: string, score: double, need: double>>")
     return prepared.withColumn(
-        "l",
+        f"{p}all",
         only_once(
-            F.size("l_words").cast("long").alias("l_n_words"),
-            places.alias("l_places"),
-            F.when(F.lit(wrapped) | (F.size("l_blocks") > 0), found).otherwise(no_hits).alias("l_hits"),
+            F.size(f"{p}words").cast("long").alias(f"{p}n_words"),
+            places.alias(f"{p}places"),
+            F.when(F.lit(wrapped) | (F.size(f"{p}blocks") > 0), found).otherwise(no_hits).alias(f"{p}hits"),
         ),
-    ).select(*map(named, docs.columns), "l.*")
+    ).select(*map(named, docs.columns), f"{p}all.*")

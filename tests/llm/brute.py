@@ -59,6 +59,20 @@ def mean_ratios(docs: dict[int, str | None], trusted: set[int], buckets: int) ->
     return {k: sum(ratio[b] for b in g) / len(g) / 1e6 for k, t in docs.items() if (g := grams(t, buckets))}
 
 
+def left_out_ratio(docs: dict[int, str | None], trusted: set[int], k: int, buckets: int) -> float:
+    """The mean ratio of document k under a target of all other trusted documents."""
+    raw, target = Counter(), Counter()
+    for i, text in docs.items():
+        own = grams(text, buckets)
+        raw.update(own)
+        if i in trusted and i != k:
+            target.update(own)
+    raw_sum, target_sum = raw.total() + buckets, target.total() + buckets
+    own = grams(docs[k], buckets)
+    ratios = (math.log((target[b] + 1) / target_sum) - math.log((raw[b] + 1) / raw_sum) for b in own)
+    return sum(ratios) / len(own)
+
+
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
