@@ -52,21 +52,26 @@ def deduplicated(
     """One whole row per distinct text, all columns as they came; null texts count as empty.
 
     Of rows that tie in the id, the other columns decide, so the result is the same in
-    every run.
+    every run; where one of them has no order (maps, variants), their JSON does.
     """
     pick = F.min if keep == "smallest" else F.max
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     row = F.struct(
-        named(id_col).isNull().alias("no_id") if keep == "smallest" else named(id_col).isNotNull(),
+        (named(id_col).isNull() if keep == "smallest" else named(id_col).isNotNull()).alias("no_id"),
         named(id_col).alias("id"),
         named(text_col).alias("text"),
         *(named(c).alias(f"c{i}") for i, c in enumerate(rest)),
     )
+    chosen = pick("r")
+    if any(k in docs.schema[c].dataType.simpleString() for c in rest for k in ("map<", "variant")):
+        pick_by = F.min_by if keep == "smallest" else F.max_by
+        order = F.struct(*(F.col("r")[k] for k in ("no_id", "id", "text")), F.to_json("r"))
+        chosen = pick_by("r", order)
     text = F.coalesce(named(text_col), F.lit(""))
     found = (
         docs.select(F.unhex(F.md5(text)).alias("h"), text.alias("t"), row.alias("r"))
         .groupBy("h", "t")
-        .agg(pick("r").alias("r"))
+        .agg(chosen.alias("r"))
     )
     back = {id_col: "id", text_col: "text"} | {c: f"c{i}" for i, c in enumerate(rest)}
     return found.select(*(F.col(f"r.{back[c]}").alias(c) for c in docs.columns))

@@ -126,12 +126,12 @@ def _pack_group(capacity: int):
 
 _OUT = {
     "doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long",
-    "sequence_id": "long", "offset": "long",
+    "sequence_id": "long", "offset": "long", "part": "int", "row": "long",
 }
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Each piece with its sequence and its place there.
+    """Each piece with its sequence and its place there; (part, row) stays its number.
 
     Pieces are dealt into groups by a hash of their own number, so groups are even
     whatever the ids, and their count grows with the table.
@@ -153,11 +153,12 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
-    """The filled sequences: sequence_id, ids. pieces: from cut(with_ids=True).
+    """The filled sequences: sequence_id, ids, whatever the documents' ids.
 
-    Needs ids that do not repeat; a sequence is bounded by its capacity.
+    pieces: from cut(with_ids=True), written; placed: what pack made of that same table.
+    A sequence is bounded by its capacity.
     """
-    both = placed.join(pieces.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    both = placed.join(pieces.select("part", "row", "ids"), ["part", "row"])
     return both.groupBy("sequence_id").agg(
         F.flatten(
             F.transform(
