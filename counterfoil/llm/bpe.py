@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from counterfoil.llm.common import Columns, id_and_text, map_columns
-from counterfoil.llm.tokens import load
+from counterfoil.llm.tokens import byte_alphabet, load
 
 # The rolling hash looks at so many characters; one place in MEAN ends a chunk.
 WINDOW, MEAN = 8, 256
@@ -124,15 +124,8 @@ def encoder(path: str) -> ChunkEncoder:
 
 @cache
 def token_bytes(path: str) -> list[bytes]:
-    """The bytes of every id: the inverse of the byte alphabet of the vocabulary.
-
-    Printable Latin-1 characters stand for their own byte, the other bytes in order for
-    the characters from U+0100 on.
-    """
-    tokenizer = load(path)
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(own)]
-    alphabet = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(other)}
+    """The bytes of every id: the inverse of the byte alphabet of the vocabulary."""
+    tokenizer, alphabet = load(path), byte_alphabet()
     return [
         bytes(alphabet[c] for c in tokenizer.id_to_token(i))
         for i in range(tokenizer.get_vocab_size(True))

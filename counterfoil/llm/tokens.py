@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 # Distinct words and parts of words a worker remembers; a table starts anew beyond that.
@@ -19,8 +20,9 @@ MEMO_WORDS = 500_000
 MEMO_PARTS = 800_000
 # New words encoded as one text.
 TOGETHER = 500
-# Words whose characters all keep their place when the tokenizer normalizes them.
-_PLAIN = re.compile(r"(?:[^\W_]|[!-;=-~])+")
+# Words whose characters all keep their place when the tokenizer normalizes them. Nothing
+# is tried twice: both alternatives hold letters.
+_PLAIN = re.compile(r"(?:[^\W_]|[!-;=-~])++")
 # Letters that normalization keeps and lower-casing maps one to one, and ASCII marks.
 _SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-;=-~]+")
 
@@ -57,6 +59,42 @@ def word_parts(tokenizer: Tokenizer) -> regex.Pattern | None:
     return regex.compile(first["pattern"]["Regex"])
 
 
+def byte_alphabet() -> dict[str, int]:
+    """Characters of byte-level vocabularies, and the bytes they stand for.
+
+    Printable Latin-1 characters stand for their own byte, the other bytes in order for
+    the characters from U+0100 on.
+    """
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+def part_merger(tokenizer: Tokenizer) -> Callable[[str], list[int]] | None:
+    """From parts of words, each with a blank behind it, to the ids of all.
+
+    The blank stands for the vocabulary's end mark, so that whole parts merge by rank;
+    parts hold no blank of their own. None where the ids do not follow the merges:
+    single bytes first, then those with the end mark, then merged ones.
+    """
+    mark = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    added, alphabet = tokenizer.get_added_tokens_decoder(), byte_alphabet()
+    ranks: dict[bytes, int] = {}
+    for token, i in tokenizer.get_vocab(True).items():
+        if i in added:
+            continue
+        ended = bool(mark) and token.endswith(mark)
+        whole = bytes(alphabet[c] for c in (token[: -len(mark)] if ended else token))
+        ranks[whole + b" " * ended] = i
+        if len(whole) == 1 and i >= 512 or len(whole) > 1 and i < 512:
+            return None
+    if not mark or len(ranks) + len(added) != tokenizer.get_vocab_size(True):
+        return None
+    return tiktoken.Encoding(
+        "parts", pat_str="[^ ]* ", mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+
+
 def last_ids(tokenizer: Tokenizer) -> np.ndarray:
     """Whether each id ends what it is a part of, by the mark of the vocabulary."""
     mark = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or "\0"
@@ -83,7 +121,8 @@ class WordMemo:
         self.kind = id_type(self.tokenizer)
         self.known: dict[str, bytes] = {}
         self.known_parts: dict[str, bytes] = {}
-        self.parts = word_parts(self.tokenizer)
+        self.merge = part_merger(self.tokenizer)
+        self.parts = word_parts(self.tokenizer) if self.merge else None
         self.last = last_ids(self.tokenizer)
 
     def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
@@ -96,9 +135,8 @@ class WordMemo:
             known[word] = ids[a * width : b * width]
 
     def _learn_parts(self, parts: list[str]) -> None:
-        """The same for parts that are not split further: each ends with its only end mark."""
-        found = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
-        ids = np.array(found, self.kind)
+        """The same for parts that are not split further, by rank: each ends with its only end mark."""
+        ids = np.array(self.merge(" ".join(parts) + " "), self.kind)
         stops = np.flatnonzero(self.last[ids]) + 1
         if len(stops) != len(parts):
             self._learn(parts, self.known_parts)

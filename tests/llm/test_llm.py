@@ -84,6 +84,15 @@ def test_word_parts_give_the_ids_of_whole_texts():
     assert [np.frombuffer(ids, memo.kind).tolist() for ids in memo.encode(texts)] == wanted
 
 
+def test_every_token_of_the_vocabulary_as_a_word():
+    plain, memo = Tokenizer.from_file(WORDS), word_memo(WORDS)
+    assert memo.merge is not None
+    texts = sorted({plain.decode([i]).strip() for i in range(plain.get_vocab_size())})
+    texts = [*texts, *(a + b for a, b in zip(texts, texts[7:], strict=False)), "a" * 60 + "<", "é" * 60 + "_\x1f"]
+    wanted = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, memo.kind).tolist() for ids in memo.encode(texts)] == wanted
+
+
 @pytest.fixture(scope="module")
 def none(odd):
     return odd.where("false")
