@@ -5,7 +5,11 @@ multinomials over the buckets, one of trusted documents and one of all documents
 each bucket a log ratio; a document's score is the mean ratio of its n-grams. Ratios are
 rounded to whole millionths, so scores do not depend on the order of any sum, and every
 document is kept or rejected by the same threshold: a low quantile of the scores that
-trusted documents get when their own n-grams are taken out of the target.
+trusted documents get when their own n-grams are taken out of the target. The target and
+the threshold rest on every trusted document, however many there are.
+
+Base counts and buckets are worked out once per document and written below the shared
+folder; counts, threshold and scores are taken from there.
 
 Definite results: a null text has no words and fails the base rules; null ids are kept;
 repeated rows are judged one by one and count in the corpus as often as they stand
@@ -17,16 +21,14 @@ does too, they start with `q__` (and so on), and the input's columns stay as the
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from counterfoil.llm.common import free_prefix, named
+from counterfoil.llm.common import free_prefix, named, written
 
 BUCKETS = 1 << 13
-# The most trusted documents the target is fitted on, by hash of their id: a bound for
-# what is broadcast (ids only). The corpus side counts all documents.
-TRUSTED_ROWS = 20_000
 # The share of trusted documents that pass the base rules which may lie below the threshold.
 LOST_SHARE = 0.0001
 _MICRO = 1_000_000
@@ -49,17 +51,18 @@ def _windows(words: str, n: int) -> Column:
 
 
 def _grams(words: str, buckets: int) -> Column:
-    """Buckets of all words and of all pairs of neighbours."""
-    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+    """Buckets of all words and of all pairs of neighbours, two bytes each where they fit."""
+    kind = "short" if buckets <= 1 << 15 else "int"
+    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast(kind))
     twos = F.when(
         F.size(words) >= 2,
         F.transform(
             F.sequence(F.lit(0), F.size(words) - 2),
             lambda i: F.pmod(
                 F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)
-            ).cast("int"),
+            ).cast(kind),
         ),
-    ).otherwise(F.array().cast("array<int>"))
+    ).otherwise(F.array().cast(f"array<{kind}>"))
     return F.concat(ones, twos)
 
 
@@ -129,34 +132,63 @@ def base_failed(base: str) -> Column:
     return (n < 50) | (100 * F.col(f"{base}.n_repeat_words") > 50 * n)
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good, at most `rows`, the same ones in every run."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good, each once."""
     good = labels.where((named("quality") == 1) & named("doc_id").isNotNull())
-    ids = good.select(named("doc_id").cast("long").alias("trusted_id")).distinct()
-    return ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(rows)
+    return good.select(named("doc_id").cast("long").alias("trusted_id")).distinct()
 
 
-def bucket_ratios(
-    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id",
-    text_col: str = "text",
+def measured(
+    docs: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Per bucket that occurs: bucket, raw and target counts over all documents."""
-    grams = docs.select(
-        named(id_col).cast("long").alias("id"), words_of(named(text_col)).alias("words")
+    """Per row of docs its columns `keep` (default: all), base, buckets, id and row, after a prefix.
+
+    row: a number of its own, counted up from row to row; it is settled once the result is written.
+    """
+    p = free_prefix(docs, "q_")
+    prepared = _prepared(docs, text_col, p).withColumn(f"{p}grams", _grams(f"{p}words", buckets))
+    own = only_once(
+        _base_counts(p).alias(f"{p}base"),
+        F.col(f"{p}grams").alias(f"{p}buckets"),
+        named(id_col).cast("long").alias(f"{p}id"),
     )
-    marked = grams.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left").select(
-        F.col("trusted_id").isNotNull().alias("is_trusted"), "words"
+    columns = docs.columns if keep is None else keep
+    found = prepared.withColumn(f"{p}all", own).select(*map(named, columns), f"{p}all.*")
+    return found.withColumn(f"{p}row", F.monotonically_increasing_id())
+
+
+def trusted_marks(rows: DataFrame, trusted: DataFrame, p: str = "q_") -> DataFrame:
+    """group, mask: a bit for each trusted row of a written `measured`, 64 neighbours to a group.
+
+    Only ids and row numbers are moved, and what is handed on is some 64 times smaller than ids.
+    """
+    own = rows.select(F.col(f"{p}id").alias("id"), F.col(f"{p}row").alias("row"))
+    own = own.join(trusted, F.col("id") == F.col("trusted_id"), "left_semi")
+    bit = F.expr("shiftleft(1L, int(row & 63L))")
+    return own.groupBy(F.shiftright("row", 6).alias("group")).agg(F.bit_or(bit).alias("mask"))
+
+
+def marked(rows: DataFrame, marks: DataFrame, p: str = "q_") -> DataFrame:
+    """rows with the flag trusted; whether the marks are broadcast is left to Spark."""
+    bit = F.expr(f"shiftright(mask, int({p}row & 63L)) & 1L") == 1
+    return rows.join(marks, F.shiftright(f"{p}row", 6) == F.col("group"), "left").select(
+        f"{p}base", f"{p}buckets", F.coalesce(bit, F.lit(False)).alias(f"{p}trusted")
     )
-    each = marked.select("is_trusted", F.explode(_grams("words", buckets)).alias("bucket"))
+
+
+def bucket_counts(rows: DataFrame, p: str = "q_") -> DataFrame:
+    """Per bucket that occurs in rows of `marked`: bucket, raw and target counts."""
+    each = rows.select(F.col(f"{p}trusted").alias("own"), F.explode(f"{p}buckets").alias("bucket"))
     return each.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("raw"), F.count_if("is_trusted").alias("target")
+        F.count(F.lit(1)).alias("raw"), F.count_if("own").alias("target")
     )
 
 
 class Ratios:
     """The counts of all buckets, and their log ratios in millionths, each count raised by one.
 
-    counts: rows of bucket_ratios; one per bucket, a number fixed by `buckets`.
+    counts: rows of bucket_counts; one per bucket, a number fixed by `buckets`.
     """
 
     def __init__(self, counts: DataFrame, buckets: int = BUCKETS) -> None:
@@ -175,97 +207,99 @@ class Ratios:
             for r, t in zip(self.raw, self.target, strict=True)
         ]
 
-    def without_own(self, grams: Column) -> Column:
+    def without_own(self, ordered: str, ends: str) -> Column:
         """The sum of ratios of a trusted document's buckets, its own counts taken from the target.
 
-        Equal buckets stand next to each other once sorted; each run is added as it ends.
+        ordered: its sorted buckets, ends: the last place of each run of equal ones.
         """
-        target, raw = _numbers(self.target), _numbers(self.raw)
-        rest = (F.lit(self.target_sum) - F.size(grams)).cast("double")
+        target = _numbers(self.target, "long")
+        raw = _numbers([math.log((r + 1) / self.raw_sum) for r in self.raw], "double")
+        rest = (F.lit(self.target_sum) - F.size(ordered)).cast("double")
 
-        def run(bucket: Column, n: Column) -> Column:
+        def run(end: Column, k: Column) -> Column:
+            n = end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
+            bucket = F.get(ordered, end)
             own = F.log((F.get(target, bucket) - n + 1) / rest)
-            every = F.log((F.get(raw, bucket) + 1) / F.lit(float(self.raw_sum)))
-            found = n * F.round(_MICRO * (own - every)).cast("long")
-            return F.when(bucket < 0, F.lit(0).cast("long")).otherwise(found)
-
-        def step(s: Column, bucket: Column) -> Column:
-            same = bucket == s["bucket"]
-            return F.struct(
-                bucket.alias("bucket"),
-                F.when(same, s["n"] + 1).otherwise(F.lit(1).cast("long")).alias("n"),
-                F.when(same, s["sum"]).otherwise(s["sum"] + run(s["bucket"], s["n"])).alias("sum"),
-            )
+            return n * F.round(_MICRO * (own - F.get(raw, bucket))).cast("long")
 
         zero = F.lit(0).cast("long")
-        start = F.struct(F.lit(-1).alias("bucket"), zero.alias("n"), zero.alias("sum"))
-        ended = F.concat(F.sort_array(grams), F.array(F.lit(-1)))
-        return F.aggregate(ended, start, step, lambda s: s["sum"])
+        return F.aggregate(F.transform(ends, run), zero, lambda s, found: s + found)
 
 
-def _numbers(values: list[int]) -> Column:
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+def _numbers(values: Sequence[int | float], kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _scored(docs: DataFrame, ratios: list[int], buckets: int, text_col: str, p: str) -> DataFrame:
-    table = _numbers(ratios)
-    scored = _prepared(docs, text_col, p).withColumn(f"{p}buckets", _grams(f"{p}words", buckets))
-    ratio = F.aggregate(f"{p}buckets", F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
-    found = scored.withColumn(
-        f"{p}all",
-        only_once(
-            _base_counts(p).alias(f"{p}base"),
-            ratio.alias(f"{p}ratio"),
-            F.size(f"{p}buckets").cast("long").alias(f"{p}grams"),
+def left_out_means(rows: DataFrame, ratios: Ratios, p: str = "q_") -> DataFrame:
+    """mean: the leave-one-out score of each trusted row of `marked` that passes the base rules."""
+    own = rows.where(F.col(f"{p}trusted") & ~base_failed(f"{p}base"))
+    ordered = own.select(F.sort_array(f"{p}buckets").alias("ordered"))
+    runs = ordered.withColumn(
+        "ends",
+        F.filter(
+            F.sequence(F.lit(0), F.size("ordered") - 1),
+            lambda k: ~F.get("ordered", k).eqNullSafe(F.get("ordered", k + 1)),
         ),
-    ).select(*map(named, docs.columns), f"{p}all.*")
-    return found.withColumn(f"{p}failed", base_failed(f"{p}base"))
+    )
+    sums = only_once(
+        ratios.without_own("ordered", "ends").alias("total"), F.size("ordered").alias("grams")
+    )
+    return runs.select(sums.alias("own")).select(
+        F.expr("(own.total - pmod(own.total, own.grams)) div own.grams").alias("mean")
+    )
 
 
-def threshold_of(trusted_texts: DataFrame, ratios: Ratios, lost_share: float = LOST_SHARE) -> int:
-    """The lowest mean ratio that is kept, in millionths.
+def quantile(values: DataFrame, share: float) -> int | None:
+    """The least whole number in the only column that at least this share of its rows does not exceed.
 
-    trusted_texts: text of the trusted documents. The exact quantile of whole numbers, so
-    every run gives the same threshold; of up to 1 / lost_share documents it is the least.
+    Exact: counts by steps of 8,192 tell in which step it lies, counts of the values in that
+    step which it is. For mean ratios both counts have some 10,000 rows at most.
     """
-    prepared = _prepared(trusted_texts, "text", "q_").withColumn(
-        "q_buckets", _grams("q_words", ratios.buckets)
-    )
-    own = only_once(
-        _base_counts("q_").alias("base"),
-        ratios.without_own(F.col("q_buckets")).alias("total"),
-        F.size("q_buckets").alias("grams"),
-    )
-    means = (
-        prepared.select(own.alias("own"))
-        .select("own.*")
-        .where(~base_failed("base"))
-        .select(F.expr("(total - pmod(total, grams)) div grams").alias("mean"))
-    )
-    quantile = F.expr(f"percentile_disc({lost_share:f}) WITHIN GROUP (ORDER BY mean)")
-    found = means.agg(quantile.alias("least")).first()["least"]
-    return -_MICRO if found is None else int(found)
+    column = F.col(values.columns[0])
+    place, value = None, None
+    for step in (F.shiftright(column, 13), column):
+        counts = sorted(map(tuple, values.groupBy(step.alias("step")).count().collect()))
+        if place is None:
+            place = max(1, math.ceil(share * sum(n for _, n in counts)))
+        for value, n in counts:
+            if place <= n:
+                break
+            place -= n
+        values = values.where(step == value)
+    return value
 
 
 def judged(
     docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, lost_share: float = LOST_SHARE,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """docs with q_base, q_ratio (sum in millionths), q_grams, q_failed and q_kept.
 
-    Reads docs for the counts of the corpus, for the scores of the trusted documents, and
-    to judge all.
+    trusted: all trusted ids, in column trusted_id. keep: the columns of docs that the result
+    holds, all by default. Reads docs once and writes tables of its own.
     """
     p = free_prefix(docs, "q_")
-    ratios = Ratios(bucket_ratios(docs, trusted, buckets, id_col, text_col), buckets)
+    rows = written(measured(docs, buckets, id_col, text_col, keep), "quality")
+    known = marked(rows, written(trusted_marks(rows, trusted, p), "quality-trusted"), p)
+    ratios = Ratios(bucket_counts(known, p), buckets)
     threshold = 0
     if ratios.known:
-        own = docs.select(named(id_col).cast("long").alias("id"), named(text_col).alias("text"))
-        own = own.join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left_semi")
-        threshold = threshold_of(own.select("text"), ratios, lost_share)
+        least = quantile(written(left_out_means(known, ratios, p), "quality-means"), lost_share)
+        threshold = -_MICRO if least is None else least
+    table = _numbers(ratios.table(), "long")
+    ratio = F.aggregate(f"{p}buckets", F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
+    grams = F.size(f"{p}buckets").cast("long")
+    found = rows.select(
+        *map(named, docs.columns if keep is None else keep),
+        only_once(
+            F.col(f"{p}base"), ratio.alias(f"{p}ratio"), grams.alias(f"{p}grams")
+        ).alias(f"{p}all"),
+    )
+    found = found.select(*map(named, found.columns[:-1]), f"{p}all.*")
     enough = F.col(f"{p}ratio") >= F.lit(threshold).cast("long") * F.col(f"{p}grams")
-    scored = _scored(docs, ratios.table(), buckets, text_col, p)
-    return scored.withColumn(f"{p}kept", ~F.col(f"{p}failed") & enough)
+    return found.withColumn(f"{p}failed", base_failed(f"{p}base")).withColumn(
+        f"{p}kept", ~F.col(f"{p}failed") & enough
+    )
 
 
 def passed(

@@ -31,7 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = quality.trusted_ids(table(spark, folder, "labels"))
-    return quality.judged(table(spark, folder, "documents"), trusted).select(
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, trusted, keep=["doc_id"]).select(
         "doc_id",
         "q_base.*",
         F.col("q_failed").alias("base_failed"),

@@ -159,6 +159,51 @@ def test_quality_of_odd_rows(odd, none):
     assert no_target.where("q_ratio <> 0 OR q_kept = q_failed").count() == 0
 
 
+def _many_trusted(spark, n: int = 20_500):
+    """n documents, all labelled good, and their labels."""
+    words = [F.concat(F.lit(f"w{k}x"), (F.col("id") * (k + 7) % 1009).cast("string")) for k in range(4)]
+    text = F.concat_ws(" ", *words, *[F.lit(f"c{k}") for k in range(50)])
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+        F.length(text).cast("long").alias("n_chars"),
+    )
+    return docs, spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")
+    )
+
+
+def test_quality_counts_every_trusted_document(spark):
+    """Where all documents are trusted, both models are the same, and every ratio is zero."""
+    docs, labels = _many_trusted(spark)
+    found = quality.judged(docs, quality.trusted_ids(labels.unionAll(labels.limit(5))))
+    assert found.count() == 20_500
+    assert found.where("q_ratio <> 0 OR q_grams <> 107").count() == 0
+
+
+def test_quality_without_broadcast(spark, odd):
+    """Trusted ids that are too many to broadcast; null and repeated ids among the rows."""
+    trusted = odd.select(F.col("doc_id").alias("trusted_id")).where("trusted_id IN (1, 7, 8, 9)")
+    docs = odd.select("doc_id", "text")
+    wanted = sorted(map(repr, rows(quality.judged(docs, trusted))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sorted(map(repr, rows(quality.judged(docs, trusted))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(found) == len(ODD) and found == wanted
+
+
+def test_quality_quantile(spark):
+    own = random.Random(5)
+    for n, spreads in ((1, 10), (300, 9), (25_000, 40_000), (30_001, 9_000_000)):
+        values = [own.randint(-spreads, spreads) for _ in range(n)]
+        table = spark.createDataFrame([(v,) for v in values], "mean long")
+        for share in (0.0001, 0.3):
+            assert quality.quantile(table, share) == sorted(values)[max(1, math.ceil(share * n)) - 1]
+    assert quality.quantile(table.where("false"), 0.0001) is None
+
+
 def test_columns_of_any_name_stay(spark, odd):
     """Names that the operators use themselves, in either case, and a map."""
     own = {n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in
