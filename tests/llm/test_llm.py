@@ -703,6 +703,20 @@ def test_pipeline(spark, small):
     _check_packing(found, packing.CAPACITY)
 
 
+def test_pipeline_keeps_what_all_trusted_documents_tell(spark, tmp_path):
+    """Of 20,500 good documents the last 500 by hash of their id have words of their own."""
+    docs, labels = _many_trusted(spark)
+    late = labels.orderBy(F.xxhash64("doc_id"), "doc_id").offset(20_000)
+    late = late.select("doc_id", F.lit(True).alias("late"))
+    text = F.when(F.col("late"), F.replace("text", F.lit(" c"), F.lit(" r"))).otherwise(F.col("text"))
+    docs = docs.join(late, "doc_id", "left").withColumn("text", text).drop("late")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert docs.where("text LIKE '% r7 %'").count() == 500
+    assert corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).count() == 20_500
+
+
 def test_components(spark):
     for size in (0, 1, 40):
         links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(size)]
