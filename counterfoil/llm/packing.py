@@ -59,6 +59,7 @@ def cut(
                         out["ids"].append(np.frombuffer(own, "<u4").tolist())
                     row += 1
             yield out
+        memo.rest()
 
     schema = PIECES + ", ids array<long>" * with_ids
     return map_columns(id_and_text(docs, id_col, text_col), make, schema)

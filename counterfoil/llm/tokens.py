@@ -18,6 +18,8 @@ from tokenizers import Tokenizer
 # Words are put together from parts cheaply, so parts are kept longer.
 MEMO_WORDS = 500_000
 MEMO_PARTS = 800_000
+# Of both together, what a worker may go on holding while it waits or works for others.
+KEPT_BETWEEN = 200_000
 # New words encoded as one text.
 TOGETHER = 500
 # Words whose characters all keep their place when the tokenizer normalizes them. Nothing
@@ -179,6 +181,11 @@ class WordMemo:
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
+    def rest(self) -> None:
+        """At the end of a task: tables that have grown large go, as workers outlive their stage."""
+        if len(self.known) + len(self.known_parts) > KEPT_BETWEEN:
+            self.known, self.known_parts = {}, {}
+
 
 def _blank(text: str) -> str:
     for other in "\n\t\r\x0b\x0c":

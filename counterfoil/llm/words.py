@@ -2,36 +2,21 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import xxhash
 
-MEMO_WORDS = 800_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _HALF = np.uint64(32)
 
 
-class _Hashes(dict):
-    """Hashes of words, each computed once; starts anew when it grows too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-@cache
-def _hashes() -> _Hashes:
-    return _Hashes()
-
-
 def word_hashes(text: str) -> np.ndarray:
-    """One hash per word; words are parted by ASCII blanks."""
+    """One hash per word; words are parted by ASCII blanks.
+
+    Hashing a word again takes less time than looking it up, and nothing is kept.
+    """
     words = text.encode("utf-8", "surrogatepass").split()
-    return np.fromiter(map(_hashes().__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

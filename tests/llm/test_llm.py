@@ -8,8 +8,10 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -31,6 +33,7 @@ from counterfoil.llm import (
     secrets,
     suffixes,
     token_files,
+    tokens,
 )
 from counterfoil.llm.common import written
 from counterfoil.llm.queries import ORACLES, QUERIES
@@ -728,3 +731,38 @@ def test_components(spark):
                     label[a] = label[b] = min(label[a], label[b])
         found = graph.components(spark.createDataFrame(links, "a long, b long"))
         assert dict(rows(found)) == label
+
+
+def test_word_hashes_keep_nothing():
+    """Workers of the pipeline outlive near_dedup; what they hold then adds to the next stages."""
+    words_of_a_text = " ".join(f"word{k}" for k in range(100_000))
+    near_dedup.shingles("a first text")
+    tracemalloc.start()
+    try:
+        near_dedup.shingles(words_of_a_text)
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 1_000_000
+
+
+def test_packing_leaves_no_large_tables(monkeypatch, spark):
+    """At the end of a task a worker drops its tables of words if they have grown large."""
+    made = {}
+    monkeypatch.setattr(packing, "map_columns", lambda docs, make, schema: made.update(make=make))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: _FIRST_TASK))
+    packing.cut(spark.createDataFrame([(1, "a")], "doc_id long, text string"), WORDS, 1)
+    memo = word_memo(WORDS)
+    monkeypatch.setattr(memo, "known", {})
+    monkeypatch.setattr(memo, "known_parts", {})
+    few = [{"doc_id": [1, None], "text": ["some words", "more words"]}]
+    first = list(made["make"](iter(few)))
+    assert {"some", "more", "words"} <= set(memo.known)  # small tables serve the next task
+    monkeypatch.setattr(tokens, "KEPT_BETWEEN", 1_000, raising=False)
+    many = {"doc_id": [2], "text": [" ".join(f"w{k}x" for k in range(1_500))]}
+    list(made["make"](iter([many])))
+    assert not memo.known and not memo.known_parts
+    assert list(made["make"](iter(few))) == first
+
+
+_FIRST_TASK = SimpleNamespace(partitionId=lambda: 0)
