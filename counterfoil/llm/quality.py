@@ -6,7 +6,8 @@ each bucket a log ratio; a document's score is the mean ratio of its n-grams. Ra
 rounded to whole millionths, so scores do not depend on the order of any sum, and every
 document is kept or rejected by the same threshold: a low quantile of the scores that
 trusted documents get when their own n-grams are taken out of the target. The target and
-the threshold rest on every trusted document, however many there are.
+the threshold rest on every trusted document, however many there are. In those scores the
+logarithms of a bucket's counts and of the target's sum are rounded one by one.
 
 Base counts and buckets are worked out once per document and written below the shared
 folder; counts, threshold and scores are taken from there.
@@ -41,33 +42,43 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), BLANKS), "")
 
 
-def _windows(words: str, n: int) -> Column:
-    """Neighbouring words, n at a time, joined by one blank."""
-    joined = F.transform(
-        F.sequence(F.lit(0), F.size(words) - n),
-        lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(n))),
-    )
-    return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+def _pair_hashes(words: str) -> Column:
+    """Hash of each word with its right neighbour, by where it stands; of the last word alone."""
+    return F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
+
 
+def _first(array: str, n: Column) -> Column:
+    return F.slice(array, 1, F.greatest(n, F.lit(0)))
 
-def _grams(words: str, buckets: int) -> Column:
+
+def _grams(words: str, pairs: str, buckets: int) -> Column:
     """Buckets of all words and of all pairs of neighbours, two bytes each where they fit."""
     kind = "short" if buckets <= 1 << 15 else "int"
-    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast(kind))
-    twos = F.when(
-        F.size(words) >= 2,
-        F.transform(
-            F.sequence(F.lit(0), F.size(words) - 2),
-            lambda i: F.pmod(
-                F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)
-            ).cast(kind),
-        ),
-    ).otherwise(F.array().cast(f"array<{kind}>"))
-    return F.concat(ones, twos)
+
+    def bucket(found: Column) -> Column:
+        return F.pmod(found, F.lit(buckets)).cast(kind)
+
+    return F.concat(
+        F.transform(words, lambda w: bucket(F.xxhash64(w))),
+        F.transform(_first(pairs, F.size(words) - 1), bucket),
+    )
+
+
+def _beside_equal(rows: Column, field: str) -> Column:
+    """The rows whose field is that of a row next to them."""
+
+    def equal(row: Column, k: Column) -> Column:
+        return (row[field] == F.get(rows, k - 1)[field]) | (row[field] == F.get(rows, k + 1)[field])
+
+    return F.filter(rows, equal)
 
 
 def _prepared(docs: DataFrame, text_col: str, p: str) -> DataFrame:
-    """docs with the arrays that the counts are taken from, under names that start with p."""
+    """docs with the arrays that the counts are taken from, under names that start with p.
+
+    Windows of three words are told apart by hashes; those that share theirs with another
+    are compared as texts (`same`, null where no hash repeats), so counts stay exact.
+    """
     lines = F.filter(
         F.split(F.coalesce(named(text_col), F.lit("")), "\n"),
         lambda line: line.rlike(r"[^\x20\x09-\x0D]"),
@@ -78,33 +89,40 @@ def _prepared(docs: DataFrame, text_col: str, p: str) -> DataFrame:
             f"{p}lines": lines,
         }
     ).withColumn(f"{p}words", words_of(F.col(f"{p}text")))
-    windows = F.col(f"{p}windows")
-    prepared = prepared.withColumn(f"{p}windows", _windows(f"{p}words", 3))
-    return prepared.withColumn(
-        f"{p}sorted",
+    words, pairs, keys, ordered = (p + name for name in ("words", "pairs", "keys", "ordered"))
+    prepared = prepared.withColumn(pairs, _pair_hashes(words))
+    prepared = prepared.withColumn(
+        keys,
+        F.transform(
+            _first(pairs, F.size(words) - 2), lambda h, i: F.xxhash64(h, F.get(pairs, i + 1))
+        ),
+    )
+    prepared = prepared.withColumn(
+        ordered,
         F.when(
-            F.size(windows) > F.size(F.array_distinct(windows)),
-            F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))),
+            F.size(keys) > F.size(F.array_distinct(keys)),
+            F.sort_array(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
+    shared = _beside_equal(F.col(ordered), "h")
 
+    def window(i: Column) -> Column:
+        return F.concat_ws(" ", *(F.get(words, i + d) for d in range(3)))
 
-def _base_counts(p: str) -> Column:
-    words, lines, ordered = (F.col(p + name) for name in ("words", "lines", "sorted"))
+    return prepared.withColumn(
+        f"{p}same",
+        F.sort_array(
+            F.transform(shared, lambda x: F.struct(window(x["i"]).alias("w"), x["i"].alias("i")))
+        ),
+    )
 
-    def word(k: Column) -> Column:
-        return F.get(ordered, k)["w"]
 
+def _base_counts(p: str) -> Column:
+    words, lines, same = (F.col(p + name) for name in ("words", "lines", "same"))
     # equal windows stand next to each other; each one covers three words
-    places = F.filter(
-        F.sequence(F.lit(0), F.size(ordered) - 1),
-        lambda k: (word(k) == word(k - 1)) | (word(k) == word(k + 1)),
-    )
+    places = _beside_equal(same, "w")
     covered = F.flatten(
-        F.transform(
-            places,
-            lambda k: F.array(*(F.get(ordered, k)["i"] + d for d in range(3))),
-        )
+        F.transform(places, lambda x: F.array(*(x["i"] + d for d in range(3)))),
     )
     counts = {
         "n_words": F.size(words).cast("long"),
@@ -112,7 +130,7 @@ def _base_counts(p: str) -> Column:
         "n_symbols": F.regexp_count(f"{p}text", F.lit("[#*$%&|<>]")).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "n_repeat_words": F.when(
-            ordered.isNull(), F.lit(0)
+            same.isNull(), F.lit(0)
         ).otherwise(F.size(F.array_distinct(covered))).cast("long"),
     }
     return F.struct(*(v.alias(k) for k, v in counts.items()))
@@ -147,9 +165,11 @@ def measured(
     row: a number of its own, counted up from row to row; it is settled once the result is written.
     """
     p = free_prefix(docs, "q_")
-    prepared = _prepared(docs, text_col, p).withColumn(f"{p}grams", _grams(f"{p}words", buckets))
+    prepared = _prepared(docs, text_col, p).withColumns(
+        {f"{p}grams": _grams(f"{p}words", f"{p}pairs", buckets), f"{p}counts": _base_counts(p)}
+    )
     own = only_once(
-        _base_counts(p).alias(f"{p}base"),
+        F.col(f"{p}counts").alias(f"{p}base"),
         F.col(f"{p}grams").alias(f"{p}buckets"),
         named(id_col).cast("long").alias(f"{p}id"),
     )
@@ -207,23 +227,29 @@ class Ratios:
             for r, t in zip(self.raw, self.target, strict=True)
         ]
 
-    def without_own(self, ordered: str, ends: str) -> Column:
+    def without_own(self, ordered: str, again: str, ends: str) -> Column:
         """The sum of ratios of a trusted document's buckets, its own counts taken from the target.
 
-        ordered: its sorted buckets, ends: the last place of each run of equal ones.
+        ordered: its sorted buckets, again: of these each equal to the next one, ends: the last
+        place there of each run. Buckets that stand once are looked up, and others put right.
         """
-        target = _numbers(self.target, "long")
-        raw = _numbers([math.log((r + 1) / self.raw_sum) for r in self.raw], "double")
-        rest = (F.lit(self.target_sum) - F.size(ordered)).cast("double")
-
-        def run(end: Column, k: Column) -> Column:
-            n = end - F.coalesce(F.get(ends, k - 1), F.lit(-1))
-            bucket = F.get(ordered, end)
-            own = F.log((F.get(target, bucket) - n + 1) / rest)
-            return n * F.round(_MICRO * (own - F.get(raw, bucket))).cast("long")
+        raw = [math.log((r + 1) / self.raw_sum) for r in self.raw]
+        # before the sum of what is left of the target, which is taken off at the end
+        once = [round(_MICRO * (math.log(t or 1) - r)) for t, r in zip(self.target, raw, strict=True)]
+        first, target = _numbers(once, "long"), _numbers(self.target, "long")
+        whole = _numbers(raw, "double")
+
+        def more(end: Column, k: Column) -> Column:
+            n = end - F.coalesce(F.get(ends, k - 1), F.lit(-1)) + 1
+            bucket = F.get(again, end)
+            own = F.log(F.get(target, bucket) - n + 1) - F.get(whole, bucket)
+            return n * (F.rint(_MICRO * own).cast("long") - F.get(first, bucket))
 
         zero = F.lit(0).cast("long")
-        return F.aggregate(F.transform(ends, run), zero, lambda s, found: s + found)
+        looked_up = F.aggregate(ordered, zero, lambda s, b: s + F.get(first, b))
+        put_right = F.aggregate(F.transform(ends, more), zero, lambda s, found: s + found)
+        rest = F.log((F.lit(self.target_sum) - F.size(ordered)).cast("double"))
+        return looked_up + put_right - F.size(ordered) * F.rint(_MICRO * rest).cast("long")
 
 
 def _numbers(values: Sequence[int | float], kind: str) -> Column:
@@ -233,16 +259,22 @@ def _numbers(values: Sequence[int | float], kind: str) -> Column:
 def left_out_means(rows: DataFrame, ratios: Ratios, p: str = "q_") -> DataFrame:
     """mean: the leave-one-out score of each trusted row of `marked` that passes the base rules."""
     own = rows.where(F.col(f"{p}trusted") & ~base_failed(f"{p}base"))
-    ordered = own.select(F.sort_array(f"{p}buckets").alias("ordered"))
-    runs = ordered.withColumn(
+    # compact: of arrays that cannot hold nulls the numbers are sorted as such
+    ordered = own.select(F.sort_array(F.array_compact(f"{p}buckets")).alias("ordered"))
+    again = ordered.withColumn(
+        "again", F.filter("ordered", lambda b, k: b == F.get("ordered", k + 1))
+    )
+    runs = again.withColumn(
         "ends",
-        F.filter(
-            F.sequence(F.lit(0), F.size("ordered") - 1),
-            lambda k: ~F.get("ordered", k).eqNullSafe(F.get("ordered", k + 1)),
+        F.array_compact(
+            F.transform(
+                "again", lambda b, k: F.when(~b.eqNullSafe(F.get("again", k + 1)), k)
+            )
         ),
     )
     sums = only_once(
-        ratios.without_own("ordered", "ends").alias("total"), F.size("ordered").alias("grams")
+        ratios.without_own("ordered", "again", "ends").alias("total"),
+        F.size("ordered").alias("grams"),
     )
     return runs.select(sums.alias("own")).select(
         F.expr("(own.total - pmod(own.total, own.grams)) div own.grams").alias("mean")

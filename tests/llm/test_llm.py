@@ -207,6 +207,42 @@ def test_quality_quantile(spark):
     assert quality.quantile(table.where("false"), 0.0001) is None
 
 
+@pytest.mark.parametrize("hashes", [1, 2, None])
+def test_quality_base_counts_whatever_hashes_repeat(spark, monkeypatch, hashes):
+    """Windows are compared as texts where their hashes repeat, and only there."""
+    own = random.Random(11)
+    texts = [prose(60), "", "a b", "a b a", "a b c a b c", "x x x x", "é ü é ü é", None]
+    texts += [" ".join(own.choices("abcd", k=own.randint(1, 60))) for _ in range(40)]
+    if hashes is not None:
+        hashed = quality._pair_hashes
+        monkeypatch.setattr(
+            quality, "_pair_hashes", lambda w: F.transform(hashed(w), lambda h: F.pmod(h, F.lit(hashes)))
+        )
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: tuple(r.q_base) for r in quality.measured(docs).collect()}
+    assert found == {k: brute.base_counts(t) for k, t in enumerate(texts)}
+    if hashes is None:
+        same = quality._prepared(docs, "text", "q_").where("q_same IS NOT NULL").select("doc_id")
+        assert {r.doc_id for r in same.collect()} == {k for k, n in found.items() if n[-1]}
+
+
+def test_quality_left_out_means_with_repeats(spark):
+    """Buckets that stand in a document once, twice and very often, against brute force."""
+    own = random.Random(12)
+    lots = [[f"w{int(own.paretovariate(0.6)) % 400}" for _ in range(150)] for _ in range(30)]
+    texts = dict(enumerate([*map(" ".join, lots), " ".join(f"u{k}" for k in range(80)), "few words"]))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    trusted = spark.createDataFrame([(k,) for k in texts if k % 3 or k == 30], "trusted_id long")
+    ids = {r.trusted_id for r in trusted.collect()}
+    rows = quality.written(quality.measured(docs), "quality")
+    known = quality.marked(rows, quality.trusted_marks(rows, trusted))
+    means = quality.left_out_means(known, quality.Ratios(quality.bucket_counts(known)))
+    good = [k for k in ids if not rows.where(f"doc_id = {k}").select(quality.base_failed("q_base")).first()[0]]
+    wanted = sorted(1e6 * brute.left_out_ratio(texts, ids, k, quality.BUCKETS) for k in good)
+    found = sorted(r.mean for r in means.collect())
+    assert len(found) > 10 and found == pytest.approx(wanted, abs=3)
+
+
 def test_columns_of_any_name_stay(spark, odd):
     """Names that the operators use themselves, in either case, and a map."""
     own = {n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in
